@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.config import apply_session_settings
 from rollcall.functions.codec import to_json_text
 from rollcall.schemas import EVENT_FIELDS, PERSON_FIELDS
 
@@ -72,8 +73,7 @@ DUCKDB_MILLIS = "epoch_us(ts) // 1000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return apply_session_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # The JVM compiles no method above 8000 bytecodes.  Beyond that Spark does better
+    # with split projections than with one whole-stage method that stays interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

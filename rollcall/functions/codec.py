@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,3 +25,13 @@ def from_json_text(value: Column, schema: T.StructType) -> Column:
     return F.from_json(
         value.cast("string"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
+
+
+def decode_column(df: DataFrame, value: str, schema: T.StructType, keep: list[str]) -> DataFrame:
+    """The columns `keep`, and the fields of the JSON text in `value` as columns.
+
+    The record is unfolded by a generator.  Catalyst moves later filters below a
+    projection, where each would decode the text again; it leaves them above a
+    generator, so every text is decoded once.
+    """
+    return df.select(*keep, F.inline(F.array(from_json_text(F.col(value), schema))))

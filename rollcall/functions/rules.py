@@ -18,6 +18,7 @@ SUSPENDED_PATTERN = rf"{SUSPENDED}[^:]*:([^:]+):*"
 UUID_PATTERN = "-".join([r"\+?0*[0-7]?[0-9A-Fa-f]{1,15}"] * 5)
 UUID_LENGTH = 36
 UUID_DIGITS = (8, 4, 4, 4, 12)
+PLAIN_UUID = "-".join(f"[0-9a-f]{{{digits}}}" for digits in UUID_DIGITS)
 
 
 def _rule(c: Column, field: str, bad: Column, message: Column) -> Column:
@@ -29,7 +30,9 @@ def required(c: Column, field: str) -> Column:
 
 
 def id_error(c: Column) -> Column:
-    good = (F.length(c) <= UUID_LENGTH) & full_match(c, UUID_PATTERN)
+    # The usual form is tested first; it needs no backtracking.
+    lax = (F.length(c) <= UUID_LENGTH) & full_match(c, UUID_PATTERN)
+    good = full_match(c, PLAIN_UUID) | lax
     return _rule(c, "id", ~good, F.concat(F.lit("Invalid UUID: "), c))
 
 
@@ -46,10 +49,11 @@ def age_error(c: Column) -> Column:
 
 
 def city_error(c: Column) -> Column:
-    size = utf16_length(jvm_trim(c))
-    return _rule(
-        c, "city", ~size.between(1, MAX_CITY_LENGTH), F.concat(F.lit("Invalid city: '"), c, F.lit("'"))
-    )
+    city = jvm_trim(c)
+    # No character takes more than two units, so short names need no second count.
+    short = F.length(city).between(1, MAX_CITY_LENGTH // 2)
+    good = short | utf16_length(city).between(1, MAX_CITY_LENGTH)
+    return _rule(c, "city", ~good, F.concat(F.lit("Invalid city: '"), c, F.lit("'")))
 
 
 def is_suspended(c: Column) -> Column:
@@ -113,8 +117,7 @@ def canonical_id(c: Column) -> Column:
         F.substring(F.concat(F.lit("0" * width), F.get(groups, F.lit(i))), -width, width)
         for i, width in enumerate(UUID_DIGITS)
     ]
-    full = "-".join(f"[0-9a-f]{{{width}}}" for width in UUID_DIGITS)
-    return F.when(full_match(c, full), c).otherwise(F.concat_ws("-", *padded))
+    return F.when(full_match(c, PLAIN_UUID), c).otherwise(F.concat_ws("-", *padded))
 
 
 def suspend_reason(status: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.config import WINDOW_LENGTH
 from rollcall.functions.clock import partition_date, partition_hour
-from rollcall.functions.codec import from_json_text, to_json_text
+from rollcall.functions.codec import decode_column, to_json_text
 from rollcall.functions.rules import required
 from rollcall.functions.text import whole_number
 from rollcall.operators.processor import ERROR, RULE, RecordSpec, check
@@ -36,24 +36,16 @@ def decode_events(messages: DataFrame, value: str = "value", strict: bool = Fals
     their error for the quarantine; with `strict` the first one fails the query.
     """
     passed = [c for c in messages.columns if c not in EVENT_FIELDS]
-    decoded = messages.select(*passed, from_json_text(F.col(value), EVENT_TEXT).alias("_decoded"))
-
-    def typed(name: str) -> Column:
-        field = F.col(f"_decoded.{name}")
-        if name == "age":
-            field = whole_number(field).try_cast("int")
-        elif name == "eventTime":
-            field = whole_number(field)
-        return field.alias(name)
-
-    columns = decoded.select(
-        *passed,
-        *[typed(name) for name in EVENT_FIELDS],
-        F.col(f"_decoded.{CORRUPT}").isNotNull().alias("_corrupt"),
+    columns = decode_column(messages, value, EVENT_TEXT, passed).withColumns(
+        {
+            "age": whole_number(F.col("age")).try_cast("int"),
+            "eventTime": whole_number(F.col("eventTime")),
+            "_corrupt": F.col(CORRUPT).isNotNull(),
+        }
     )
     rules = {"json": F.when(F.col("_corrupt"), F.lit("Parse error: malformed JSON"))}
     rules |= {name: required(F.col(name), name) for name in EVENT_FIELDS}
-    checked = check(columns, RecordSpec(EVENT_FIELDS, rules)).drop("_corrupt")
+    checked = check(columns, RecordSpec(EVENT_FIELDS, rules)).drop("_corrupt", CORRUPT)
     if strict:
         failure = F.raise_error(F.col(ERROR)).cast("boolean")
         checked = checked.filter(F.when(F.col(ERROR).isNull(), F.lit(True)).otherwise(failure))

@@ -25,7 +25,7 @@ from rollcall.functions.rules import (
     required,
     status_error,
 )
-from rollcall.functions.codec import from_json_text
+from rollcall.functions.codec import decode_column
 from rollcall.functions.clock import instant_text
 from rollcall.functions.text import jvm_trim, whole_number
 from rollcall.schemas import CORRUPT, PENDING, PERSON_FIELDS, PERSON_TEXT
@@ -43,11 +43,15 @@ class RecordSpec:
 
 
 def check(df: DataFrame, spec: RecordSpec) -> DataFrame:
-    """Add `error` and `error_rule`, both from the first rule that fails."""
-    rule = F.coalesce(
-        *[F.when(error.isNotNull(), F.lit(name)) for name, error in spec.rules.items()]
-    )
-    return df.withColumns({ERROR: first_error(*spec.rules.values()), RULE: rule})
+    """Add `error` and `error_rule`, both from the first rule that fails.
+
+    Rules are columns of their own first, so each is computed once per row.
+    """
+    names = {f"_rule_{name}": name for name in spec.rules}
+    ruled = df.withColumns({f"_rule_{name}": error for name, error in spec.rules.items()})
+    rule = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(n)) for c, n in names.items()])
+    checked = ruled.withColumns({ERROR: first_error(*map(F.col, names)), RULE: rule})
+    return checked.drop(*names)
 
 
 def accepted(checked: DataFrame, spec: RecordSpec) -> DataFrame:
@@ -85,13 +89,12 @@ def parse_people(lines: DataFrame, value: str = "value") -> DataFrame:
     Columns other than `value` are passed through.
     """
     passed = [c for c in lines.columns if c not in PERSON_FIELDS]
-    decoded = lines.select(*passed, from_json_text(F.col(value), PERSON_TEXT).alias("_decoded"))
-    typed = decoded.select(
-        *passed,
-        *[F.col(f"_decoded.{name}").alias(name) for name in PERSON_FIELDS if name != "age"],
-        F.col("_decoded.age").alias("_age_text"),
-        whole_number(F.col("_decoded.age")).try_cast("int").alias("age"),
-        F.col(f"_decoded.{CORRUPT}").isNotNull().alias("_corrupt"),
+    decoded = decode_column(lines, value, PERSON_TEXT, passed)
+    typed = decoded.withColumnRenamed("age", "_age_text").withColumns(
+        {
+            "age": whole_number(F.col("_age_text")).try_cast("int"),
+            "_corrupt": F.col(CORRUPT).isNotNull(),
+        }
     )
     good = F.col(ERROR).isNull()
     parsed = check(typed, RecordSpec(PERSON_FIELDS, _decode_errors()))

@@ -219,9 +219,7 @@ FROM (SELECT {LAST_DOMAIN} AS domain FROM people) GROUP BY domain""",
     "batch_profile": f"""WITH {READABLE} SELECT count(*) AS records, count(DISTINCT city) AS unique_cities,
   concat(CAST(min(age) AS VARCHAR), ' - ', CAST(max(age) AS VARCHAR)) AS age_range FROM readable""",
     "combined_report": f"WITH {READABLE} {report('readable')}",
-    "report_document": f"""WITH {READABLE} SELECT section,
-  CASE WHEN section = 'total' THEN '2024-01-01T00:00:00Z' ELSE key END AS key, count, avg_age, min_age, max_age,
-  percentage FROM ({report('readable')})""",
+    "report_document": f"WITH {READABLE} {report('readable')}",
     "person_attributes": f"""WITH {PEOPLE} SELECT *, status IN ('Active', 'Pending') AS is_available,
   list_extract(string_split(email, '@'), 1) AS email_username, {DOMAIN_2} AS email_domain,
   age >= 18 AS is_adult, age < 18 AS is_minor,

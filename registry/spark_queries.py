@@ -26,6 +26,13 @@ from rollcall.operators.processor import (
     storage_spec,
 )
 from rollcall.operators.quality import processing_stats, rejects_by_rule, validate_lake
+from rollcall.operators.report import (
+    report_age_groups,
+    report_cities,
+    report_domains,
+    report_statuses,
+    report_total,
+)
 from rollcall.operators.runs import concatenate, lake_inventory, run_history, run_log_summary
 from rollcall.plans import jobs
 from rollcall.schemas import EVENT_FIELDS, EVENT_TEXT, LAKE, PERSON_FIELDS
@@ -128,31 +135,21 @@ def report_document(spark, sf):
     sink.write_report(S.combined_report(_readable(spark, sf)), root, F.lit(FIXED_TIME))
     document = source.read_report(spark, f"{root}/document")
 
-    def entries(section: str, rows: Column, key: str, count: str, *more: str) -> DataFrame:
-        unfolded = document.select(F.explode(rows).alias("e")).select("e.*")
-        return unfolded.select(
-            F.lit(section).alias("section"),
-            F.col(key).alias("key"),
-            F.col(count).alias("count"),
-            *more,
-        )
+    def section(name: str, rows: DataFrame, key: str, count: str = "count") -> DataFrame:
+        renamed = rows.withColumnsRenamed({key: "key", count: "count"})
+        return renamed.withColumn("section", F.lit(name))
 
-    total = document.select(
+    total = report_total(document).select(
         F.lit("total").alias("section"),
-        F.col("generated_at").alias("key"),
+        F.lit(None).cast("string").alias("key"),
         F.col("total_records").alias("count"),
     )
-    ages = ("avg_age", "min_age", "max_age")
-
-    def pairs(section: str, column: str) -> DataFrame:
-        return entries(section, F.map_entries(column), "key", "value")
-
     return concatenate(
         total,
-        entries("city", F.col("city_statistics"), "city", "total_people", *ages),
-        entries("age_group", F.col("age_groups"), "age_group", "count", "percentage"),
-        pairs("status", "status_distribution"),
-        pairs("domain", "email_domains"),
+        section("city", report_cities(document), "city", "total_people"),
+        section("age_group", report_age_groups(document), "age_group"),
+        section("status", report_statuses(document), "status"),
+        section("domain", report_domains(document), "domain"),
     )
 
 

@@ -13,8 +13,8 @@ from rollcall.functions.text import whole_number
 from rollcall.operators.processor import ERROR, RULE, RecordSpec, check
 from rollcall.schemas import CORRUPT, EVENT_FIELDS, EVENT_TEXT, PERSON_FIELDS
 
-# Largest hour list that is broadcast: over 100 years of hours, about 16 MB.
-MAX_BROADCAST_HOURS = 1_000_000
+# Largest hour list that is broadcast: over 20 years of hours, some 20 MB.
+MAX_BROADCAST_HOURS = 200_000
 MERGE_SALTS = 32
 
 

@@ -45,12 +45,16 @@ class RecordSpec:
 def check(df: DataFrame, spec: RecordSpec) -> DataFrame:
     """Add `error` and `error_rule`, both from the first rule that fails.
 
-    Rules are columns of their own first, so each is computed once per row.
+    Errors of an earlier check stay.  Rules are columns of their own first, so
+    each is computed once per row.
     """
     names = {f"_rule_{name}": name for name in spec.rules}
     ruled = df.withColumns({f"_rule_{name}": error for name, error in spec.rules.items()})
-    rule = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(n)) for c, n in names.items()])
-    checked = ruled.withColumns({ERROR: first_error(*map(F.col, names)), RULE: rule})
+    errors = [F.col(c) for c in names]
+    failed = [F.when(F.col(c).isNotNull(), F.lit(name)) for c, name in names.items()]
+    if ERROR in df.columns:
+        errors, failed = [F.col(ERROR), *errors], [F.col(RULE), *failed]
+    checked = ruled.withColumns({ERROR: first_error(*errors), RULE: F.coalesce(*failed)})
     return checked.drop(*names)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,14 @@ from rollcall.operators.runs import lake_inventory, run_history
 from rollcall.operators.statistics import batch_profile, city_statistics, combined_report
 from rollcall.schemas import PERSON_FIELDS
 from rollcall.sinks.event_log import PublishCounts
-from rollcall.sinks.files import SplitWrite, land_batch, write_report, write_split, write_statistics
+from rollcall.sinks.files import (
+    SplitWrite,
+    land_batch,
+    write_json_lines,
+    write_report,
+    write_split,
+    write_statistics,
+)
 from rollcall.sources.files import (
     list_data_files,
     read_json_lines,
@@ -30,7 +39,12 @@ from rollcall.sources.files import (
     readable_by_file,
     scan_data_files,
 )
-from rollcall.sources.generator import DEFAULT_LANDING_ROWS, generate_people
+from rollcall.sources.generator import (
+    DEFAULT_FILE_ROWS,
+    DEFAULT_LANDING_ROWS,
+    DEFAULT_TOPIC_ROWS,
+    generate_people,
+)
 
 
 def process_lines(lines: DataFrame) -> DataFrame:
@@ -38,11 +52,7 @@ def process_lines(lines: DataFrame) -> DataFrame:
 
     Good rows carry normalised values; bad rows keep theirs, and the line.
     """
-    parsed = parse_people(lines)
-    named = parsed.withColumnsRenamed({ERROR: "_parse", RULE: "_parse_rule"})
-    ruled = check(named, business_spec())
-    errors = {ERROR: F.coalesce("_parse", ERROR), RULE: F.coalesce("_parse_rule", RULE)}
-    verdict = ruled.withColumns(errors).drop("_parse", "_parse_rule")
+    verdict = check(parse_people(lines), business_spec())
     good = F.col(ERROR).isNull()
     return verdict.withColumns(
         {name: F.when(good, value).otherwise(F.col(name)) for name, value in normal_values().items()}
@@ -83,7 +93,10 @@ def messages_from_file(
 
 
 def publish_file(
-    spark: SparkSession, source: str, publish, event_time: Column | None = None
+    spark: SparkSession,
+    source: str,
+    publish: Callable[[DataFrame], PublishCounts],
+    event_time: Column | None = None,
 ) -> tuple[PublishCounts, int]:
     """Publish a JSON Lines file in one pass; returns the counts and the undecodable lines.
 
@@ -97,15 +110,27 @@ def publish_file(
     return counts, seen.get["dropped"]
 
 
+def write_generated_lines(spark: SparkSession, target: str, rows: int = DEFAULT_FILE_ROWS) -> None:
+    """Generated people as JSON Lines, replacing what is there."""
+    write_json_lines(generate_people(spark, rows), target, *PERSON_FIELDS)
+
+
+def publish_generated(
+    spark: SparkSession, publish: Callable[[DataFrame], PublishCounts], rows: int = DEFAULT_TOPIC_ROWS
+) -> PublishCounts:
+    """Generated people as events of this moment."""
+    return publish(encode_events(to_events(generate_people(spark, rows))))
+
+
 def batch_analytics(spark: SparkSession, lake: str, target: str) -> tuple[int, DataFrame]:
     """City statistics of the lake to Parquet; returns the row count and an enriched sample.
 
-    The row count comes from the statistics scan itself.
+    The row count is the sum over the written cities, so the lake is not scanned
+    for it, and a stage that is run again cannot count twice.
     """
-    seen = Observation()
-    rows = read_lake(spark, lake).observe(seen, F.count(F.lit(1)).alias("records"))
-    write_statistics(city_statistics(rows), target)
-    return seen.get["records"], enriched_sample(read_lake(spark, lake))
+    write_statistics(city_statistics(read_lake(spark, lake)), target)
+    counted = spark.read.parquet(target).agg(F.coalesce(F.sum("total_people"), F.lit(0)))
+    return counted.first()[0], enriched_sample(read_lake(spark, lake))
 
 
 def enriched_lake(spark: SparkSession, lake: str) -> DataFrame:

@@ -57,7 +57,6 @@ REPORT = _struct(
     ("status_distribution", T.MapType(T.StringType(), T.LongType())),
     ("email_domains", T.MapType(T.StringType(), T.LongType())),
 )
-REPORT_SECTIONS = ("total", "city", "age_group", "status", "domain")
 REPORT_ENTRY = _struct(
     ("section", T.StringType()),
     ("key", T.StringType()),
@@ -68,25 +67,24 @@ REPORT_ENTRY = _struct(
     ("percentage", T.StringType()),
 )
 
-RUN_LOG = _struct(
-    ("task_id", T.StringType()),
+_TEXT_MAP = T.MapType(T.StringType(), T.StringType())
+RUN_LOG_JSON = _struct(
+    ("taskId", T.StringType()),
     ("status", T.StringType()),
-    ("start_time", T.TimestampType()),
-    ("end_time", T.TimestampType()),
+    ("startTime", T.StringType()),
+    ("endTime", T.StringType()),
     ("duration", T.LongType()),
-    ("records_processed", T.LongType()),
-    ("records_failed", T.LongType()),
+    ("recordsProcessed", T.LongType()),
+    ("recordsFailed", T.LongType()),
     (
         "logs",
         T.ArrayType(
             _struct(
-                ("timestamp", T.TimestampType()),
-                ("message", T.StringType()),
-                ("level", T.StringType()),
+                ("timestamp", T.StringType()), ("message", T.StringType()), ("level", T.StringType())
             )
         ),
     ),
+    ("taskData", _TEXT_MAP),
+    ("sampleData", T.ArrayType(_TEXT_MAP)),
     ("error", T.StringType()),
-    ("task_data", T.MapType(T.StringType(), T.StringType())),
-    ("sample_data", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
 )

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from rollcall.functions.text import jvm_trim
 from rollcall.operators.processor import accepted, check, storage_spec
-from rollcall.schemas import LAKE, LEGACY_LAKE, PERSON_EVENT, PERSON_FIELDS, PERSON_RECORD, REPORT
+from rollcall.schemas import LAKE, LEGACY_LAKE, PERSON_EVENT, PERSON_FIELDS, PERSON_RECORD, REPORT, RUN_LOG_JSON
 
 DATA_FILES = "*.parquet"
 FILE_LISTING = T.StructType(
@@ -114,3 +114,21 @@ def readable_by_file(scanned: DataFrame) -> DataFrame:
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """The report document, pretty-printed or on one line."""
     return spark.read.schema(REPORT).option("multiLine", True).json(path)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """Task runs stored as JSON documents, one row each, times as timestamps."""
+    log = spark.read.schema(RUN_LOG_JSON).option("multiLine", True).json(path)
+    return log.select(
+        F.col("taskId").alias("task_id"),
+        "status",
+        F.try_to_timestamp("startTime").alias("start_time"),
+        F.try_to_timestamp("endTime").alias("end_time"),
+        "duration",
+        F.col("recordsProcessed").alias("records_processed"),
+        F.col("recordsFailed").alias("records_failed"),
+        "logs",
+        F.col("taskData").alias("task_data"),
+        F.col("sampleData").alias("sample_data"),
+        "error",
+    )

@@ -85,15 +85,8 @@ def ingest_validated(
     A micro-batch that is run again replaces its own folders, so both outputs
     hold every message once.  Events keep their dt/hour place in the lake.
     """
-    decoded = decode_events(messages)
     spec = storage_spec()
-    ruled = check(decoded.withColumnsRenamed({ERROR: "_decode", RULE: "_decode_rule"}), spec)
-    verdict = ruled.withColumns(
-        {
-            ERROR: F.coalesce("_decode", ERROR),
-            RULE: F.coalesce("_decode_rule", RULE),
-        }
-    ).drop("_decode", "_decode_rule")
+    verdict = check(decode_events(messages), spec)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn(BATCH, F.lit(batch_id)).persist()

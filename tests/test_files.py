@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rollcall.operators.events import to_events
 from rollcall.operators.processor import check, process, storage_spec
+from rollcall.operators.runs import run_log_summary
 from rollcall.operators.statistics import city_statistics, combined_report
 from rollcall.schemas import PERSON_FIELDS
 from rollcall.sinks import files as sink
@@ -127,6 +128,7 @@ def test_report_document_round_trip(spark, people, tmp_path):
     assert sink.write_report(combined_report(df), path, F.lit("2024-01-01T00:00:00"))
     report = source.read_report(spark, f"{path}/document").first()
     assert (report.generated_at, report.total_records) == ("2024-01-01T00:00:00", 3)
+    assert report.total_records == 3
     assert [c.city for c in report.city_statistics] == ["Paris", "Rome"]
     assert [(g.age_group, g["count"], g.percentage) for g in report.age_groups] == [
         ("Adult", 2, "66.7%"), ("Senior", 1, "33.3%"),
@@ -173,3 +175,34 @@ def test_generated_people_are_valid_and_meet_one_domain_per_city(spark):
     assert check(people, storage_spec()).filter("error is not null").count() == 0
     pairs = people.select("city", F.element_at(F.split("email", "@"), -1)).distinct()
     assert pairs.count() == 6
+
+
+def test_run_log_documents(spark, tmp_path):
+    run = {
+        "taskId": "t", "status": "COMPLETED", "startTime": "2024-01-01T00:00:00Z", "endTime": None, "duration": 5,
+        "recordsProcessed": 10, "recordsFailed": 1, "taskData": {"Format": "Parquet"}, "sampleData": [{"name": "A"}],
+        "logs": [{"timestamp": "2024-01-01T00:00:00Z", "message": "Task started", "level": "INFO"}], "error": None,
+    }
+    (tmp_path / "runs.json").write_text(json.dumps([run, run | {"status": "FAILED"}], indent=1))
+    log = source.read_run_log(spark, str(tmp_path / "runs.json"))
+    row = log.filter("status = 'COMPLETED'").first()
+    assert row.start_time.year == 2024 and row.end_time is None and row.task_data == {"Format": "Parquet"}
+    assert run_log_summary(log).first().asDict() == {
+        "total": 2, "completed": 1, "failed": 1, "running": 0, "pending": 0,
+        "total_duration": 10, "total_records": 20, "total_failed": 2,
+    }
+
+
+def test_an_oversized_hour_is_split_over_writers(spark, tmp_path):
+    """All rows share one hour; rebalancing gives it several tasks once it is too big for one."""
+    path = str(tmp_path / "lake")
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    people = generate_people(spark, 20000).repartition(8)
+    spark.conf.set(setting, "64KB")
+    try:
+        sink.write_lake(to_events(people, F.lit(DAY)), path)
+    finally:
+        spark.conf.unset(setting)
+    files = list(Path(path).rglob("*.parquet"))
+    assert {p.parent.name for p in files} == {"hour=00"} and len(files) > 2
+    assert source.read_lake(spark, path).count() == 20000

@@ -97,3 +97,12 @@ def test_platform_run_from_generation_to_history(spark, tmp_path):
     history = jobs.export_history(spark, lake).orderBy("timestamp", "path").collect()
     assert len(history) == inventory.first().files
     assert history[-1].cumulative_total == 200 == sum(r.records for r in history)
+
+
+def test_generated_lines_and_messages(spark, tmp_path):
+    lines, topic = str(tmp_path / "lines"), str(tmp_path / "topic")
+    jobs.write_generated_lines(spark, lines, 30)
+    assert jobs.preprocess(spark, lines, str(tmp_path / "out")).stats.successful == 30
+    counts = jobs.publish_generated(spark, lambda m: publish_staged(m, topic), 20)
+    assert (counts.success, counts.failure) == (20, 0)
+    assert decode_events(spark.read.parquet(topic)).filter("error is null").count() == 20

@@ -61,6 +61,11 @@ class Locations:
     def people_lake(self) -> str:
         return f"{self.zone('streaming')}/people"
 
+    @property
+    def people_landed(self) -> str:
+        """Batches landed beside the stream; lake readers take both roots."""
+        return f"{self.zone('streaming')}/people_landed"
+
     @property
     def people_parquet(self) -> str:
         return f"{self.zone('processed')}/people.parquet"

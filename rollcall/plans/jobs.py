@@ -33,6 +33,7 @@ from rollcall.sinks.files import (
     write_statistics,
 )
 from rollcall.sources.files import (
+    Lake,
     list_data_files,
     read_json_lines,
     read_lake,
@@ -122,7 +123,7 @@ def publish_generated(
     return publish(encode_events(to_events(generate_people(spark, rows))))
 
 
-def batch_analytics(spark: SparkSession, lake: str, target: str) -> tuple[int, DataFrame]:
+def batch_analytics(spark: SparkSession, lake: Lake, target: str) -> tuple[int, DataFrame]:
     """City statistics of the lake to Parquet; returns the row count and an enriched sample.
 
     The row count is the sum over the written cities, so the lake is not scanned
@@ -133,7 +134,7 @@ def batch_analytics(spark: SparkSession, lake: str, target: str) -> tuple[int, D
     return counted.first()[0], enriched_sample(read_lake(spark, lake))
 
 
-def enriched_lake(spark: SparkSession, lake: str) -> DataFrame:
+def enriched_lake(spark: SparkSession, lake: Lake) -> DataFrame:
     return enrich(read_lake(spark, lake))
 
 
@@ -149,7 +150,7 @@ def generate(
     return batch_profile(people)
 
 
-def validate(spark: SparkSession, lake: str) -> tuple[DataFrame, DataFrame]:
+def validate(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
     """File inventory and row validation of everything below the lake root."""
     return (
         lake_inventory(list_data_files(spark, lake)),
@@ -158,18 +159,18 @@ def validate(spark: SparkSession, lake: str) -> tuple[DataFrame, DataFrame]:
 
 
 def analyze(
-    spark: SparkSession, lake: str, target: str, generated_at: Column | None = None
+    spark: SparkSession, lake: Lake, target: str, generated_at: Column | None = None
 ) -> bool:
     """Report over the readable rows of the lake; true if it fits one document."""
     return write_report(combined_report(readable_people(spark, lake)), target, generated_at)
 
 
-def readable_people(spark: SparkSession, lake: str) -> DataFrame:
+def readable_people(spark: SparkSession, lake: Lake) -> DataFrame:
     spec = storage_spec()
     return accepted(check(scan_data_files(spark, lake), spec), spec).select(*PERSON_FIELDS)
 
 
-def export_history(spark: SparkSession, lake: str) -> DataFrame:
+def export_history(spark: SparkSession, lake: Lake) -> DataFrame:
     """Records, running total and size of every file, oldest first."""
     counts = readable_by_file(scan_data_files(spark, lake))
     return run_history(counts, list_data_files(spark, lake))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,9 +11,12 @@ from pyspark.sql import types as T
 
 from rollcall.functions.text import jvm_trim
 from rollcall.operators.processor import accepted, check, storage_spec
+from rollcall.operators.runs import concatenate
 from rollcall.schemas import LAKE, LEGACY_LAKE, PERSON_EVENT, PERSON_FIELDS, PERSON_RECORD, REPORT, RUN_LOG_JSON
 
 DATA_FILES = "*.parquet"
+# One root folder or several.
+Lake = str | Sequence[str]
 FILE_LISTING = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -21,6 +26,10 @@ FILE_LISTING = T.StructType(
 )
 
 
+def _roots(lake: Lake) -> Sequence[str]:
+    return [lake] if isinstance(lake, str) else lake
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """UTF-8 text, one record a line; lines of blanks and control characters are dropped."""
     return spark.read.text(path).filter(jvm_trim(F.col("value")) != "")
@@ -47,14 +56,16 @@ def _hours(dt_from: str | None, dt_to: str | None) -> Column:
 
 
 def read_lake(
-    spark: SparkSession, path: str, dt_from: str | None = None, dt_to: str | None = None
+    spark: SparkSession, lake: Lake, dt_from: str | None = None, dt_to: str | None = None
 ) -> DataFrame:
-    """The event lake.  Bounds are inclusive dates and prune directories.
+    """The event lake: one root, or several read as one table.
 
-    Files written before a column existed read as null there, which is what a
-    merged schema gives, without opening every footer first.
+    Bounds are inclusive dates and prune directories.  Files written before a
+    column existed read as null there, which is what a merged schema gives,
+    without opening every footer first.
     """
-    return spark.read.schema(LAKE).parquet(path).filter(_hours(dt_from, dt_to))
+    roots = [spark.read.schema(LAKE).parquet(root).select(*LAKE.names) for root in _roots(lake)]
+    return concatenate(*roots).filter(_hours(dt_from, dt_to))
 
 
 def read_legacy_lake(
@@ -64,45 +75,51 @@ def read_legacy_lake(
     return spark.read.schema(LEGACY_LAKE).parquet(path).filter(_hours(dt_from, dt_to))
 
 
-def _or_empty(spark: SparkSession, df_of, schema: T.StructType) -> DataFrame:
+def _or_empty(
+    spark: SparkSession, read: Callable[[str], DataFrame], root: str, schema: T.StructType
+) -> DataFrame:
     """Run a reader; an absent root gives no rows."""
     try:
-        return df_of()
+        return read(root)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def scan_data_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every Parquet file below a root as one table, whatever its depth or columns.
+def scan_data_files(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Every Parquet file below the roots as one table, whatever its depth or columns.
 
     A recursive read finds no partition columns, so dt and hour come from the
     path; they are null for files outside such folders.
     """
+    path = F.col("_metadata.file_path")
 
-    def scan() -> DataFrame:
-        files = spark.read.schema(PERSON_EVENT).option("recursiveFileLookup", True)
-        path = F.col("_metadata.file_path")
-
-        def level(name: str) -> Column:
-            return F.nullif(F.regexp_extract(path, rf"/{name}=([^/]+)/", 1), F.lit("")).alias(name)
+    def level(name: str) -> Column:
+        return F.nullif(F.regexp_extract(path, rf"/{name}=([^/]+)/", 1), F.lit("")).alias(name)
 
+    def scan(root: str) -> DataFrame:
+        files = spark.read.schema(PERSON_EVENT).option("recursiveFileLookup", True)
         found = files.option("pathGlobFilter", DATA_FILES).parquet(root)
-        return found.select("*", level("dt"), level("hour"), path.alias("path"))
+        return found.select(*PERSON_EVENT.names, level("dt"), level("hour"), path.alias("path"))
 
     schema = T.StructType(LAKE.fields + [T.StructField("path", T.StringType())])
-    return _or_empty(spark, scan, schema)
+    return concatenate(*[_or_empty(spark, scan, root, schema) for root in _roots(lake)])
 
 
-def list_data_files(spark: SparkSession, root: str) -> DataFrame:
+def list_data_files(spark: SparkSession, lake: Lake) -> DataFrame:
     """Path, size and modification time of every data file; contents are not read."""
 
-    def listing() -> DataFrame:
+    def listing(root: str) -> DataFrame:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        return files.option("pathGlobFilter", DATA_FILES).load(root).select(*FILE_LISTING.names)
-
-    return _or_empty(spark, listing, FILE_LISTING)
+        # The path is taken as `scan_data_files` takes it, so that the two can be joined.
+        return files.option("pathGlobFilter", DATA_FILES).load(root).select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_modification_time").alias("modificationTime"),
+            F.col("_metadata.file_size").alias("length"),
+        )
+
+    return concatenate(*[_or_empty(spark, listing, root, FILE_LISTING) for root in _roots(lake)])
 
 
 def readable_by_file(scanned: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQueryException
 
 from rollcall.operators import events as E
+from rollcall.plans import jobs
 from rollcall.sinks.event_log import publish_staged
 from rollcall.sources.event_log import stream_staged_messages, stream_topic
-from rollcall.sources.files import read_lake
+from rollcall.sources.files import read_lake, scan_data_files
 from rollcall.streaming import ingest
 
 HOUR = 3_600_000
@@ -136,6 +137,24 @@ def test_hourly_stream_emits_closed_hours(platform):
     assert rows == batch.collect()[:2]
 
 
+@pytest.mark.parametrize("validated", [False, True])
+def test_a_streamed_lake_and_landed_batches_are_analysed_together(platform, validated):
+    spark, landed = platform.spark, str(platform.root / "landed batches")
+    platform.publish(*[event(n, DAY + n * HOUR) for n in range(4)])
+    run_validated(platform) if validated else platform.ingest()
+    jobs.generate(spark, landed, 50, F.lit(DAY))
+    lake = [platform.lake, landed, str(platform.root / "absent")]
+    inventory, validation = jobs.validate(spark, lake)
+    assert validation.first().records_read == 54
+    history = jobs.export_history(spark, lake).collect()
+    assert len(history) == inventory.first().files and all(r.records for r in history)
+    assert max(r.cumulative_total for r in history) == 54
+    records, _ = jobs.batch_analytics(spark, lake[:2], str(platform.root / "stats"))
+    assert records == 54
+    days = {(r.dt, r.hour) for r in scan_data_files(spark, lake).collect()}
+    assert days == {("2024-01-01", f"{h:02d}") for h in range(4)}
+
+
 def test_publish_counts(platform):
     df = platform.spark.createDataFrame([("k", "v"), (None, "v"), ("k", None)], "key string, value string")
     counts = publish_staged(df, platform.topic)

@@ -526,7 +526,11 @@ def _message_stream(spark: SparkSession, sf: str) -> DataFrame:
 def stream_to_lake(spark, sf):
     root = scratch_dir(spark, "stream")
     stream = _message_stream(spark, sf)
-    ingest.ingest_to_lake(stream, f"{root}/lake", f"{root}/cp", interval=None).awaitTermination()
+    # A backfill: the whole backlog at once, many hours in one batch.
+    writers = spark.sparkContext.defaultParallelism
+    ingest.ingest_to_lake(
+        stream, f"{root}/lake", f"{root}/cp", interval=None, writers_per_trigger=writers
+    ).awaitTermination()
     return source.read_lake(spark, f"{root}/lake")
 
 

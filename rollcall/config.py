@@ -26,6 +26,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Lets a small lake write use all cores; large ones go by the advisory size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # The JVM compiles no method above 8000 bytecodes.  Beyond that Spark does better

@@ -24,7 +24,7 @@ from rollcall.operators.processor import ERROR, RULE, accepted, check, storage_s
 from rollcall.schemas import EVENT_FIELDS, PARTITION_KEYS
 
 BATCH = "ingest_batch"
-SALTS_PER_HOUR = 32
+SPREAD_SEED = 42
 
 
 def _trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
@@ -52,13 +52,16 @@ def ingest_to_lake(
 
     Each task writes the hours it meets, without a shuffle; event logs are close
     to time order, so those are few.  For a backfill that mixes many hours,
-    `writers_per_trigger` shuffles by hour and a salt first, which also spreads
-    an hour that holds most of the rows.
+    `writers_per_trigger` range-partitions each batch first, by hour and then by a
+    seeded draw per row, which a retried task repeats: small hours share a writer,
+    an hour with most of the rows is cut over several even if its rows are equal,
+    and a batch gives about one file per hour plus one per writer.
     """
     rows = lake_rows(decode_events(messages, strict=strict))
     if writers_per_trigger is not None:
-        salt = F.pmod(F.xxhash64("id", "eventTime"), F.lit(SALTS_PER_HOUR))
-        rows = rows.repartition(writers_per_trigger, *PARTITION_KEYS, salt)
+        drawn = rows.withColumn("_draw", F.rand(SPREAD_SEED))
+        ranged = drawn.repartitionByRange(writers_per_trigger, *PARTITION_KEYS, "_draw")
+        rows = ranged.drop("_draw")
     writer = rows.writeStream.format("parquet").partitionBy(*PARTITION_KEYS)
     writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start(lake)

@@ -75,10 +75,14 @@ def test_late_events_land_in_their_own_hour(platform):
     assert rows == {("2024-01-03", "02"), ("2024-01-01", "00")}
 
 
-def test_salted_writers_keep_every_row(platform):
-    platform.publish(*[event(n, DAY if n % 3 else DAY + n * HOUR) for n in range(60)])
-    platform.ingest(writers_per_trigger=4)
-    assert platform.rows().count() == 60
+def test_ranged_writers_split_a_hot_hour_and_share_the_others(platform):
+    hot = event(1, DAY)  # a third of the messages are copies of one
+    values = [hot if n % 3 == 0 else event(n, DAY + (1 + n % 12) * HOUR) for n in range(600)]
+    platform.publish(*values)
+    platform.ingest(writers_per_trigger=6)
+    assert platform.rows().count() == 600
+    files = [f.parent.name for f in (platform.root / "lake").rglob("*.parquet")]
+    assert files.count("hour=00") > 1 and len(files) <= 13 + 6
 
 
 def test_strict_ingest_fails_on_the_first_bad_message(platform):

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from rollcall.config import WINDOW_LENGTH
 from rollcall.functions.clock import partition_date, partition_hour
-from rollcall.functions.codec import decode_column, to_json_text
+from rollcall.functions.codec import MALFORMED, decode_column, to_json_text
 from rollcall.functions.rules import required
 from rollcall.functions.text import whole_number
 from rollcall.operators.processor import ERROR, RULE, RecordSpec, check
-from rollcall.schemas import CORRUPT, EVENT_FIELDS, EVENT_TEXT, PERSON_FIELDS
+from rollcall.schemas import EVENT_FIELDS, EVENT_TEXT, PERSON_FIELDS
 
 # Largest hour list that is broadcast: over 20 years of hours, some 20 MB.
 MAX_BROADCAST_HOURS = 200_000
@@ -40,12 +40,11 @@ def decode_events(messages: DataFrame, value: str = "value", strict: bool = Fals
         {
             "age": whole_number(F.col("age")).try_cast("int"),
             "eventTime": whole_number(F.col("eventTime")),
-            "_corrupt": F.col(CORRUPT).isNotNull(),
         }
     )
-    rules = {"json": F.when(F.col("_corrupt"), F.lit("Parse error: malformed JSON"))}
+    rules = {"json": F.when(F.col(MALFORMED), F.lit("Parse error: malformed JSON"))}
     rules |= {name: required(F.col(name), name) for name in EVENT_FIELDS}
-    checked = check(columns, RecordSpec(EVENT_FIELDS, rules)).drop("_corrupt", CORRUPT)
+    checked = check(columns, RecordSpec(EVENT_FIELDS, rules)).drop(MALFORMED)
     if strict:
         failure = F.raise_error(F.col(ERROR)).cast("boolean")
         checked = checked.filter(F.when(F.col(ERROR).isNull(), F.lit(True)).otherwise(failure))

@@ -25,10 +25,10 @@ from rollcall.functions.rules import (
     required,
     status_error,
 )
-from rollcall.functions.codec import decode_column
+from rollcall.functions.codec import MALFORMED, decode_column
 from rollcall.functions.clock import instant_text
 from rollcall.functions.text import jvm_trim, whole_number
-from rollcall.schemas import CORRUPT, PENDING, PERSON_FIELDS, PERSON_TEXT
+from rollcall.schemas import PENDING, PERSON_FIELDS, PERSON_TEXT
 
 ERROR, RULE = "error", "error_rule"
 
@@ -94,11 +94,8 @@ def parse_people(lines: DataFrame, value: str = "value") -> DataFrame:
     """
     passed = [c for c in lines.columns if c not in PERSON_FIELDS]
     decoded = decode_column(lines, value, PERSON_TEXT, passed)
-    typed = decoded.withColumnRenamed("age", "_age_text").withColumns(
-        {
-            "age": whole_number(F.col("_age_text")).try_cast("int"),
-            "_corrupt": F.col(CORRUPT).isNotNull(),
-        }
+    typed = decoded.withColumnRenamed("age", "_age_text").withColumn(
+        "age", whole_number(F.col("_age_text")).try_cast("int")
     )
     good = F.col(ERROR).isNull()
     parsed = check(typed, RecordSpec(PERSON_FIELDS, _decode_errors()))
@@ -112,7 +109,7 @@ def parse_people(lines: DataFrame, value: str = "value") -> DataFrame:
 def _decode_errors() -> dict[str, Column]:
     age_text = F.col("_age_text")
     errors = {
-        "json": F.when(F.col("_corrupt"), F.lit("malformed JSON")),
+        "json": F.when(F.col(MALFORMED), F.lit("malformed JSON")),
         "id": id_error(F.col("id")),
         "name": required(F.col("name"), "name"),
         "email": email_error(F.col("email")),

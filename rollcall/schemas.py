@@ -12,8 +12,6 @@ MIN_AGE, MAX_AGE = 0, 150
 MAX_CITY_LENGTH = 100
 RUN_STATES = ("COMPLETED", "FAILED", "RUNNING", "PENDING")
 
-CORRUPT = "_corrupt_record"
-
 
 def _struct(*pairs: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in pairs])
@@ -34,8 +32,8 @@ LEGACY_LAKE = T.StructType(PERSON_RECORD.fields + _struct(("dt", T.StringType())
 
 # JSON is decoded with every field as text; numbers are then checked by rule, so
 # one bad number rejects one row with a reason instead of nulling the record.
-PERSON_TEXT = _struct(*[(f, T.StringType()) for f in PERSON_FIELDS], (CORRUPT, T.StringType()))
-EVENT_TEXT = _struct(*[(f, T.StringType()) for f in EVENT_FIELDS], (CORRUPT, T.StringType()))
+PERSON_TEXT = _struct(*[(f, T.StringType()) for f in PERSON_FIELDS])
+EVENT_TEXT = _struct(*[(f, T.StringType()) for f in EVENT_FIELDS])
 
 EVENT_LOG_FRAME = _struct(("key", T.StringType()), ("value", T.StringType()))
 

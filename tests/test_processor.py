@@ -89,6 +89,12 @@ def test_parse_errors(spark):
     assert errors[8] == "Parse error: Invalid email format: x"
 
 
+def test_a_line_holds_one_object_and_nothing_else(spark):
+    one = json.dumps(GOOD)
+    rows = parsed(spark, one + " x", one + one, f"{one},{one}", "null", "[]", f"[{one}]", "", f"  {one}\t")
+    assert [r.error for r in rows] == ["Parse error: malformed JSON"] * 7 + [None]
+
+
 def test_json_is_decoded_once_per_row(spark):
     lines = spark.createDataFrame([("{}",)], "value string")
     good = parse_people(lines).filter("error is null").select("id", "city")

@@ -9,6 +9,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
 import __spark_entry__ as spark_entry  # noqa: E402
 import check_oracles  # noqa: E402
+from registry.oracles import ORACLES  # noqa: E402
+from registry.spark_queries import QUERIES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS_ONLY = {"lake_inventory", "run_history"}
@@ -20,13 +22,14 @@ def duck():
 
 
 def test_every_query_but_file_sizes_has_sql():
-    assert set(spark_entry.queries()) - set(spark_entry.oracle_sql()) == ROWS_ONLY
-    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(spark_entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, duck, name):
-    problem = check_oracles.difference(spark, duck, SF_DIR, name, spark_entry.oracle_sql()[name])
+    problem = check_oracles.difference(spark, duck, SF_DIR, name, ORACLES[name])
     assert problem is None, problem
 
 

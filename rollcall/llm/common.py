@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.config import scratch_dir
@@ -29,6 +32,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: str = "4m") -> Iterator[None]:
+    """Within it, jobs that start hand Python workers batches of at most ``limit`` bytes and one row."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for a staged table of at most ``rows`` rows; the join is the same either way."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import mixing, sharding, simhash
+from rollcall.llm import mixing, quality, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,3 +83,12 @@ def op10_hierarchical_mix(spark, sf):
         F.col("_mix_tokens").alias("n_tokens"),
         F.col("_mix_epoch").alias("epoch"),
     )
+
+
+@register
+def op9_certified_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs, table(spark, sf, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import staged, text_or_empty
+from rollcall.llm.common import small_batches, staged, text_or_empty
 from rollcall.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -148,7 +148,8 @@ def near_duplicate_groups(docs: DataFrame, paired_cell: int = PAIRED_CELL) -> Da
     rows stay repeated; a null doc_id is kept and is never the least; a group of null doc_ids
     alone has a null component_id.  Columns other than doc_id and text are not looked at.
     """
-    prints = staged(docs.select("doc_id", fingerprint(text_or_empty()).alias("bits")), "simhash-prints")
+    with small_batches(docs.sparkSession):
+        prints = staged(docs.select("doc_id", fingerprint(text_or_empty()).alias("bits")), "simhash-prints")
     firsts = staged(prints.groupBy("bits").agg(F.min("doc_id").alias("first_id")), "simhash-firsts")
     roots = connected_components(near_links(firsts, paired_cell))
     rooted = firsts.join(roots.select(F.col("node").alias("bits"), "root"), "bits", "left")

@@ -77,7 +77,69 @@ def mix_ctes(seed: str, max_epochs: int, docs: str) -> str:
   )"""
 
 
+FEATURES = rf"""
+  split AS (
+    SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS.format("coalesce(text, '')")} AS w,
+      list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+      row_number() OVER () AS rid
+    FROM documents
+  ),
+  triples AS (
+    SELECT rid, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS triple,
+      unnest(range(1, len(w) - 1)) AS i
+    FROM split
+  ),
+  windows AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, triple) AS n FROM triples),
+  covered AS (
+    SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n > 1) GROUP BY rid
+  ),
+  features AS (
+    SELECT doc_id, lang, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+      len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+      len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+      len(list_filter(w, lambda x: ends_with(x, '!!'))) AS n_shouts
+    FROM split LEFT JOIN covered c USING (rid)
+  ),
+  failed AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+      CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END AS symbol_rate,
+      CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END AS dup_line_rate,
+      CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS repeat_rate,
+      CASE WHEN n_words > 0 THEN n_shouts * 1000 // n_words ELSE 0 END AS shout_rate
+    FROM features
+  ),
+  holdout AS (
+    UNPIVOT (
+      SELECT lang, symbol_rate, dup_line_rate, repeat_rate, shout_rate FROM failed
+      WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+    ) ON symbol_rate, dup_line_rate, repeat_rate, shout_rate INTO NAME statistic VALUE value
+  ),
+  tried AS (
+    SELECT lang, statistic, cutoff, count(*) AS n, count(*) FILTER (WHERE value > cutoff) AS k
+    FROM holdout, range(0, 1000, 20) AS r(cutoff) GROUP BY ALL
+  ),
+  certified AS (
+    SELECT lang, statistic, min(cutoff) AS cutoff FROM tried
+    WHERE k <= n * 0.005 AND list_sum(list_transform(range(0, k + 1), lambda j:
+        exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.005) + (n - j) * ln(0.995))))
+      * (SELECT count(DISTINCT coalesce(lang, chr(0))) FROM tried) * 200 <= 0.05
+    GROUP BY ALL
+  )"""
+
+
 ORACLES = {
+    "op9_certified_quality": f"""
+WITH {FEATURES},
+  cuts AS (
+    SELECT lang, min(cutoff) FILTER (WHERE statistic = 'symbol_rate') AS c1, min(cutoff) FILTER (WHERE statistic = 'dup_line_rate') AS c2,
+      min(cutoff) FILTER (WHERE statistic = 'repeat_rate') AS c3, min(cutoff) FILTER (WHERE statistic = 'shout_rate') AS c4
+    FROM certified GROUP BY lang
+  )
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR coalesce(symbol_rate > c1, false) OR coalesce(dup_line_rate > c2, false)
+       OR coalesce(repeat_rate > c3, false) OR coalesce(shout_rate > c4, false)) AS kept
+FROM failed f LEFT JOIN cuts c ON f.lang IS NOT DISTINCT FROM c.lang
+""",
     "op10_hierarchical_mix": f"""
 WITH {mix_ctes("rollcall-mix", 2, "documents")}
 SELECT doc_id, domain, lang, source, n_tokens, CAST(epoch AS INT) AS epoch FROM mixed

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import mixing, quality, sharding, simhash
+from rollcall.llm import decontamination, mixing, quality, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,3 +92,8 @@ def op9_certified_quality(spark, sf):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@register
+def op2_simhash_decontamination(spark, sf):
+    return decontamination.leaked_windows(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

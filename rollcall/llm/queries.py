@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import decontamination, mixing, quality, sharding, simhash
+from rollcall.llm import decontamination, mixing, quality, sharding, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +97,8 @@ def op9_certified_quality(spark, sf):
 @register
 def op2_simhash_decontamination(spark, sf):
     return decontamination.leaked_windows(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@register
+def op5_substring_dedup(spark, sf):
+    return substrings.remove_repeats(table(spark, sf, "documents"))

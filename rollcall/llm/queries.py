@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import decontamination, mixing, quality, sharding, simhash, substrings
+from rollcall.llm import decontamination, mixing, quality, sharding, simhash, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +102,8 @@ def op2_simhash_decontamination(spark, sf):
 @register
 def op5_substring_dedup(spark, sf):
     return substrings.remove_repeats(table(spark, sf, "documents"))
+
+
+@register
+def op1_string_kernel_toxicity(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))

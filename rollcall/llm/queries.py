@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import decontamination, mixing, quality, sharding, simhash, substrings, toxicity
+from rollcall.llm import chat, decontamination, mixing, quality, sharding, simhash, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,3 +107,14 @@ def op5_substring_dedup(spark, sf):
 @register
 def op1_string_kernel_toxicity(spark, sf):
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+#: A conversation whose texts are made of the template's own marks.
+TRICKY = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+
+
+@register
+def op4_budgeted_chat(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame(TRICKY, "conv_id bigint, turn bigint, role string, text string")
+    return chat.conversation_digests(chat.format_windows(turns.unionByName(tricky)))

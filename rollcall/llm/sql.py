@@ -128,6 +128,34 @@ FEATURES = rf"""
 
 
 ORACLES = {
+    "op4_budgeted_chat": r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+  ),
+  sized AS (
+    SELECT *, (length(text) + 3) // 4 + 4 AS tokens,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+      11 + length(replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</', '<\/'), ':', '\:'))
+        + length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</', '<\/')) + 3 AS chars
+    FROM turns
+  ),
+  placed AS (
+    SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM sized
+  ),
+  windowed AS (SELECT *, start // 384 AS win, place = 1 AND lower(role) = 'system' AS is_system FROM placed),
+  following AS (
+    SELECT *, min(start) OVER (PARTITION BY conv_id ORDER BY win RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM windowed
+  )
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) + coalesce(sum(chars) FILTER (WHERE NOT is_system AND start >= next - 128), 0)
+    + coalesce(sum(chars) FILTER (WHERE is_system), 0) * (count(DISTINCT win) - 1) AS BIGINT) AS formatted_chars
+FROM following GROUP BY conv_id
+""",
     "op9_certified_quality": f"""
 WITH {FEATURES},
   cuts AS (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, decontamination, mixing, quality, sharding, simhash, substrings, toxicity
+from rollcall.llm import chat, decontamination, mixing, quality, sharding, simhash, substrings, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +118,11 @@ def op4_budgeted_chat(spark, sf):
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     tricky = spark.createDataFrame(TRICKY, "conv_id bigint, turn bigint, role string, text string")
     return chat.conversation_digests(chat.format_windows(turns.unionByName(tricky)))
+
+
+ORDER_KEY = "rollcall-order"
+
+
+@register
+def op6_training_order(spark, sf):
+    return tokens.training_records(table(spark, sf, "documents"), ORDER_KEY)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, decontamination, mixing, quality, sharding, simhash, substrings, tokens, toxicity
+from rollcall.llm import chat, decontamination, licenses, mixing, quality, sharding, simhash, substrings, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,3 +126,17 @@ ORDER_KEY = "rollcall-order"
 @register
 def op6_training_order(spark, sf):
     return tokens.training_records(table(spark, sf, "documents"), ORDER_KEY)
+
+
+def document_path() -> Column:
+    """Documents as files: a folder for each source and language, and in it one for each thousand ids."""
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")))
+    return F.concat(folder, F.lit("/"), F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+
+
+@register
+def op7_license_scan(spark, sf):
+    """A document whose first line is a licence header serves as its folder's licence file."""
+    files = table(spark, sf, "documents").select("doc_id", document_path().alias("path"), "text")
+    opens = F.exists("matches", lambda m: (m["kind"] == "file") | (m["line"] == 0))
+    return licenses.file_licenses(files, opens)

@@ -89,7 +89,7 @@ def _candidate_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     intersection needed is reached; no other window needs a fingerprint.  Shingles of items are
     looked up by size, so the windows of a size meet the shingles of that size alone.
     """
-    widths = [r[0] for r in items.select("width").distinct().collect()]  # five at most
+    widths = [r[0] for r in items.select("width").distinct().collect()] or [SHINGLE_WORDS]  # five at most
     parts = docs.select("doc_id", plain_words(text_or_empty()).alias("w"))
     known = staged(
         items.select("width", "size", F.explode("hashes").alias("hash")).distinct(), "leak-known"

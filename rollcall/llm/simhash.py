@@ -17,6 +17,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.llm.common import small_batches, staged, text_or_empty
 from rollcall.llm.components import connected_components
@@ -47,7 +48,7 @@ def _fingerprint(text: str, size: int) -> int:
     return int(bits.view("<i8")[0])
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """SimHash of whole texts over three-word shingles, A-Z lowered; no word: 0.
 

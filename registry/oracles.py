@@ -320,8 +320,15 @@ FROM (SELECT {DECODE_OUTCOME} FROM people_events) GROUP BY error, error_rule""",
     "lambda_merge": f"""WITH {EVENTS}, keyed AS (
   SELECT event_id, age, {DT} AS dt, {HOUR} AS hour FROM people_events)
 SELECT *, CASE WHEN concat(dt, hour) < '2024-01-1512' THEN 'batch' ELSE 'speed' END AS layer FROM keyed""",
-    "stream_to_lake": f"""WITH {EVENTS} SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour
+    "stream_to_lake": f"""WITH {EVENTS} SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour,
+  (SELECT count(*) FROM people_events WHERE NOT ({COMPLETE})) AS rejected
 FROM people_events WHERE {COMPLETE}""",
+    "stream_two_topics": f"""WITH {EVENTS} SELECT {DT} AS dt, {HOUR} AS hour, 2 * count(*) AS events
+FROM people_events WHERE {COMPLETE} GROUP BY ALL""",
+    "stream_and_land": f"""WITH {READABLE}, {EVENTS} SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour FROM people_events
+WHERE {COMPLETE} UNION ALL SELECT {PERSON}, 1704067200000, '2024-01-01', '00' FROM readable""",
+    "stream_restart": f"""WITH {EVENTS} SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour FROM people_events WHERE {COMPLETE}""",
+    "stream_late_events": f"WITH {EVENTS} {hourly('people_events', COMPLETE)}",
     "stream_quarantine": f"""WITH {EVENTS} SELECT error, error_rule, count(*) AS messages
 FROM (SELECT {DECODE_OUTCOME} FROM people_events) WHERE error IS NOT NULL GROUP BY error, error_rule""",
     "stream_validation": f"""WITH {EVENTS}, outcome AS (
@@ -330,7 +337,23 @@ FROM (SELECT {DECODE_OUTCOME} FROM people_events) WHERE error IS NOT NULL GROUP
         FROM people_events))
 SELECT CASE WHEN error_rule IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome, error_rule,
   count(*) AS messages FROM outcome GROUP BY error_rule""",
-    "stream_hourly": f"""WITH {EVENTS}, complete AS (SELECT * FROM people_events WHERE {COMPLETE})
-SELECT * FROM ({hourly('complete')})
-WHERE epoch_us(window_end) <= (SELECT max(eventTime) - 10000 FROM complete) * 1000""",
+    "stream_hourly": f"WITH {EVENTS} {hourly('people_events', COMPLETE)}",
+    "lake_inventory": f"""WITH {EVENTS} SELECT count(DISTINCT {DT} || {HOUR}) AS files, true AS has_bytes, true AS size_agrees
+FROM people_events""",
+    "run_history": f"""WITH {EVENTS}, rows AS (SELECT *, {DT} AS dt, {HOUR} AS hour FROM people_events)
+SELECT dt, hour, count(*) FILTER (error IS NULL) AS records, true AS covered
+FROM (SELECT *, {first_error(RECORD_RULES)} FROM rows) GROUP BY dt, hour""",
+    "lake_evolved": f"""WITH {EVENTS}, keyed AS (SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour FROM people_events)
+SELECT *, CAST(NULL AS VARCHAR) AS country FROM keyed UNION ALL SELECT *, 'of ' || city FROM keyed WHERE age > 50""",
+    "city_report_raw": f"""WITH {PEOPLE} SELECT city, count(*) AS total_people,
+  CAST({one_decimal('sum(age) / CAST(count(age) AS DOUBLE)')} AS DOUBLE) AS avg_age,
+  min(age) AS min_age, max(age) AS max_age FROM people GROUP BY city""",
+    "statistics_round_trip": f"""WITH {PEOPLE} SELECT city, count(*) AS total_people, round(avg(age), 6) AS avg_age,
+  min(age) AS min_age, max(age) AS max_age, round(stddev_samp(age), 6) AS stddev_age,
+  count(DISTINCT status) AS distinct_statuses FROM people GROUP BY city""",
+    "spec_on_orders": """SELECT o_orderkey,
+  CASE WHEN o_custkey % 7 = 0 THEN concat('Bad customer ', o_custkey) WHEN o_totalprice < 1000 THEN 'Too cheap' END AS error,
+  CASE WHEN o_custkey % 7 = 0 THEN 'customer' WHEN o_totalprice < 1000 THEN 'price' END AS error_rule FROM orders""",
+    "success_gate": f"""WITH {CHECKED}, rate AS (SELECT 100.0 * count(*) FILTER (error IS NULL) / count(*) AS rate FROM checked)
+SELECT CAST(n AS INT) AS minimum, rate >= n AS passes FROM rate, unnest([25, 50, 95]) AS t(n)""",
 }

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registry import views
 from rollcall.config import scratch_dir
@@ -16,6 +17,7 @@ from rollcall.operators import events as E
 from rollcall.operators import people as ops
 from rollcall.operators import statistics as S
 from rollcall.operators.processor import (
+    RecordSpec,
     accepted,
     check,
     create_people,
@@ -25,13 +27,12 @@ from rollcall.operators.processor import (
     rejected,
     storage_spec,
 )
-from rollcall.operators.quality import processing_stats, rejects_by_rule, validate_lake
-from rollcall.operators.report import (
-    report_age_groups,
-    report_cities,
-    report_domains,
-    report_statuses,
-    report_total,
+from rollcall.operators.quality import (
+    ProcessingStats,
+    SuccessRateTooLow,
+    processing_stats,
+    rejects_by_rule,
+    validate_lake,
 )
 from rollcall.operators.runs import concatenate, lake_inventory, run_history, run_log_summary
 from rollcall.plans import jobs
@@ -128,29 +129,33 @@ def combined_report(spark, sf):
     return S.combined_report(_readable(spark, sf))
 
 
+@register
+def city_report_raw(spark, sf):
+    """Over raw rows, where a city may have no age at all."""
+    return S.city_report(views.people(spark, sf))
+
+
 @register
 def report_document(spark, sf):
-    """The report written as a document, read back and unfolded again."""
+    """The report written out, twice on one path, and read back; the header is the total again."""
     root = scratch_dir(spark, "report")
-    sink.write_report(S.combined_report(_readable(spark, sf)), root, F.lit(FIXED_TIME))
-    document = source.read_report(spark, f"{root}/document")
+    report = S.combined_report(_readable(spark, sf))
+    for _ in range(2):
+        sink.write_report(report, root, F.lit(FIXED_TIME))
+    header = (F.col("section") == sink.HEADER) & (F.col("key") == FIXED_TIME)
+    return sink.read_report_figures(spark, root).withColumns(
+        {"key": F.when(~header, F.col("key")), "section": F.when(header, F.lit("total")).otherwise(F.col("section"))}
+    )
 
-    def section(name: str, rows: DataFrame, key: str, count: str = "count") -> DataFrame:
-        renamed = rows.withColumnsRenamed({key: "key", count: "count"})
-        return renamed.withColumn("section", F.lit(name))
 
-    total = report_total(document).select(
-        F.lit("total").alias("section"),
-        F.lit(None).cast("string").alias("key"),
-        F.col("total_records").alias("count"),
-    )
-    return concatenate(
-        total,
-        section("city", report_cities(document), "city", "total_people"),
-        section("age_group", report_age_groups(document), "age_group"),
-        section("status", report_statuses(document), "status"),
-        section("domain", report_domains(document), "domain"),
-    )
+@register
+def statistics_round_trip(spark, sf):
+    """City statistics written, written over, and read."""
+    path = scratch_dir(spark, "stats")
+    people = views.people(spark, sf)
+    sink.write_statistics(S.city_statistics(people.filter(F.col("age") < 30)), path)
+    sink.write_statistics(S.city_statistics(people), path)
+    return _rounded(spark.read.parquet(path), "avg_age", "stddev_age")
 
 
 # Attributes of a person
@@ -415,15 +420,47 @@ def union_layouts(spark, sf):
     )
 
 
+def _hour_files(spark: SparkSession, sf: str) -> str:
+    """A lake with one file for each hour, so that files can be counted from the events."""
+    lake = scratch_dir(spark, "hours")
+    keyed = E.partition_keys(_lake_events(spark, sf)).repartition("dt", "hour")
+    keyed.write.partitionBy("dt", "hour").parquet(lake)
+    return lake
+
+
 @register
 def lake_inventory_(spark, sf):
-    return lake_inventory(source.list_data_files(spark, _mixed_lake(spark, sf)))
+    """How many files there are, and whether the sizes agree."""
+    found = lake_inventory(source.list_data_files(spark, _hour_files(spark, sf)))
+    return found.select(
+        "files",
+        (F.col("total_bytes") > 0).alias("has_bytes"),
+        (F.col("size_kb") == F.call_function("div", F.col("total_bytes"), F.lit(1024))).alias("size_agrees"),
+    )
 
 
 @register
 def run_history_(spark, sf):
-    history = jobs.export_history(spark, _mixed_lake(spark, sf))
-    return history.select("timestamp", "records", "cumulative_total", "size_kb")
+    """Records of each hour's file, and whether its total covers them."""
+    lake = _hour_files(spark, sf)
+    counts = source.readable_by_file(source.scan_data_files(spark, lake))
+    history = run_history(counts, source.list_data_files(spark, lake))
+    return history.select(
+        F.regexp_extract("path", "/dt=([^/]+)/", 1).alias("dt"),
+        F.regexp_extract("path", "/hour=([^/]+)/", 1).alias("hour"),
+        "records",
+        (F.col("cumulative_total") >= F.col("records")).alias("covered"),
+    )
+
+
+@register
+def lake_evolved(spark, sf):
+    """A column that only the files of some hours carry."""
+    lake = _written_lake(spark, sf)
+    newer = _lake_events(spark, sf).filter(F.col("age") > 50).withColumn("country", F.concat(F.lit("of "), "city"))
+    sink.write_lake(newer, lake)
+    extra = T.StructType([T.StructField("country", T.StringType())])
+    return source.read_lake(spark, lake, extra=extra)
 
 
 @register
@@ -522,18 +559,70 @@ def _message_stream(spark: SparkSession, sf: str) -> DataFrame:
     return log_source.stream_staged_messages(spark, log)
 
 
+def _run(query) -> None:
+    query.awaitTermination()
+
+
+def _to_lake(spark: SparkSession, sf: str, lake: str, checkpoint: str) -> None:
+    stream = _message_stream(spark, sf)
+    _run(ingest.ingest_to_lake(stream, lake, checkpoint, f"{lake}-bad", interval=None))
+
+
 @register
 def stream_to_lake(spark, sf):
+    """Events of the lake, and how many messages the quarantine has."""
     root = scratch_dir(spark, "stream")
-    stream = _message_stream(spark, sf)
-    # A backfill: the whole backlog at once, many hours in one batch.
-    writers = spark.sparkContext.defaultParallelism
-    ingest.ingest_to_lake(
-        stream, f"{root}/lake", f"{root}/cp", interval=None, writers_per_trigger=writers
-    ).awaitTermination()
+    _to_lake(spark, sf, f"{root}/lake", f"{root}/cp")
+    rejected = ingest.read_quarantine(spark, f"{root}/lake-bad").agg(F.count(F.lit(1)).alias("rejected"))
+    return source.read_lake(spark, f"{root}/lake").join(F.broadcast(rejected))
+
+
+@register
+def stream_two_topics(spark, sf):
+    """Two topics with checkpoints of their own feed one lake."""
+    root = scratch_dir(spark, "stream")
+    for n in (1, 2):
+        _to_lake(spark, sf, f"{root}/lake", f"{root}/cp{n}")
+    return source.read_lake(spark, f"{root}/lake").groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register
+def stream_and_land(spark, sf):
+    """Streamed and landed rows in one root."""
+    root = scratch_dir(spark, "stream")
+    _to_lake(spark, sf, f"{root}/lake", f"{root}/cp")
+    sink.land_batch(_readable(spark, sf), f"{root}/lake", F.lit(FIXED_MILLIS))
     return source.read_lake(spark, f"{root}/lake")
 
 
+@register
+def stream_restart(spark, sf):
+    """A stream stopped and started on its checkpoint, with more messages: each is there once."""
+    root = scratch_dir(spark, "stream")
+    messages = views.messages(spark, sf)
+    first = F.xxhash64("value") % 2 == 0
+    for part in (messages.filter(first), messages.filter(~first)):
+        log_sink.publish_staged(part, f"{root}/topic")
+        for _ in range(2):
+            stream = log_source.stream_staged_messages(spark, f"{root}/topic")
+            _run(ingest.ingest_to_lake(stream, f"{root}/lake", f"{root}/cp", f"{root}/bad", interval=None))
+    return source.read_lake(spark, f"{root}/lake")
+
+
+@register
+def stream_late_events(spark, sf):
+    """The newest hours first, then all older ones: late events change their hours' figures."""
+    root = scratch_dir(spark, "stream")
+    late = F.get_json_object("value", "$.eventTime").cast("bigint") < FIXED_MILLIS + 10 * 86_400_000
+    messages = views.messages(spark, sf)
+    late = F.coalesce(late, F.lit(False))
+    for part in (messages.filter(~late), messages.filter(late)):
+        log_sink.publish_staged(part, f"{root}/topic")
+        stream = log_source.stream_staged_messages(spark, f"{root}/topic")
+        _run(ingest.hourly_stream(stream, f"{root}/hours", f"{root}/cp", interval=None))
+    return _figures(ingest.read_hours(spark, f"{root}/hours"))
+
+
 @register
 def stream_quarantine(spark, sf):
     root = scratch_dir(spark, "stream")
@@ -551,7 +640,7 @@ def stream_validation(spark, sf):
         _message_stream(spark, sf), f"{root}/lake", f"{root}/bad", f"{root}/cp", interval=None
     ).awaitTermination()
     good = source.read_lake(spark, f"{root}/lake").select(F.lit("accepted").alias("outcome"))
-    bad = spark.read.schema("value string, error string, error_rule string").parquet(f"{root}/bad")
+    bad = ingest.read_quarantine(spark, f"{root}/bad")
     return (
         concatenate(good, bad.select(F.lit("rejected").alias("outcome"), "error_rule"))
         .groupBy("outcome", "error_rule")
@@ -563,8 +652,38 @@ def stream_validation(spark, sf):
 def stream_hourly(spark, sf):
     root = scratch_dir(spark, "stream")
     stream = _message_stream(spark, sf)
-    ingest.hourly_stream(stream, f"{root}/hours", f"{root}/cp", interval=None).awaitTermination()
-    schema = (
-        "window_start timestamp, window_end timestamp, events bigint, avg_age double, stddev_age double"
+    _run(ingest.hourly_stream(stream, f"{root}/hours", f"{root}/cp", interval=None))
+    return _figures(ingest.read_hours(spark, f"{root}/hours"))
+
+
+# Records of any table
+
+
+@register
+def spec_on_orders(spark, sf):
+    """The record checks over a table that is not of people."""
+    orders = views.table(spark, sf, "orders")
+    spec = RecordSpec(
+        ("o_orderkey", "o_custkey", "o_totalprice"),
+        {
+            "customer": F.when(F.col("o_custkey") % 7 == 0, F.concat(F.lit("Bad customer "), F.col("o_custkey"))),
+            "price": F.when(F.col("o_totalprice") < 1000, F.lit("Too cheap")),
+        },
     )
-    return _figures(spark.read.schema(schema).parquet(f"{root}/hours"))
+    return check(orders, spec).select("o_orderkey", "error", "error_rule")
+
+
+@register
+def success_gate(spark, sf):
+    """Whether the gate lets a run pass, at three limits."""
+    stats = processing_stats(check(views.people(spark, sf), storage_spec()), KEY).first()
+    measured = ProcessingStats(stats["total"], stats["successful"], stats["failed"])
+
+    def passes(limit: float) -> bool:
+        try:
+            measured.require(limit)
+        except SuccessRateTooLow:
+            return False
+        return True
+
+    return spark.createDataFrame([(n, passes(float(n))) for n in (25, 50, 95)], "minimum int, passes boolean")

@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 # Folder and object names of the data platform.
 ZONES = {"raw": "raw", "streaming": "streaming", "processed": "processed", "output": "output"}
 PEOPLE_TOPIC = "people-events"
+CONSUMER_GROUP = "people-lake"
 
 # Stream timing.
 TRIGGER_INTERVAL = "60 seconds"
@@ -91,6 +92,7 @@ def event_log_read_options(**overrides: str) -> dict[str, str]:
     return {
         "kafka.bootstrap.servers": bootstrap_servers(),
         "subscribe": PEOPLE_TOPIC,
+        "kafka.group.id": CONSUMER_GROUP,
         "startingOffsets": "earliest",
         "kafka.session.timeout.ms": "30000",
     } | overrides

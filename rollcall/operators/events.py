@@ -13,9 +13,7 @@ from rollcall.functions.text import whole_number
 from rollcall.operators.processor import ERROR, RULE, RecordSpec, check
 from rollcall.schemas import EVENT_FIELDS, EVENT_TEXT, PERSON_FIELDS
 
-# Largest hour list that is broadcast: over 20 years of hours, some 20 MB.
-MAX_BROADCAST_HOURS = 200_000
-MERGE_SALTS = 32
+HOUR_PARTS = ("events", "ages", "age_sum", "age_squares")
 
 
 def to_events(people: DataFrame, event_time: Column | None = None) -> DataFrame:
@@ -95,25 +93,39 @@ def hourly_figures(events: DataFrame, timestamp: str = "event_ts") -> DataFrame:
 def lambda_merge(batch: DataFrame, speed: DataFrame) -> DataFrame:
     """Batch rows for the hours the batch view holds, speed rows for every other hour.
 
-    Both inputs carry dt and hour.  The hours are counted first: a short list is
-    broadcast, so neither view is shuffled.  A longer one is joined by shuffle,
-    with the speed rows of each hour spread over salts.
+    Both inputs carry dt and hour; rows without an hour are an hour like any other.  The hours
+    are reduced in each task first.  The join carries no hint: adaptive execution sends the
+    hours to every task where they are measured to be few, and else splits a large hour.
     """
-    hours = batch.select("dt", "hour").distinct()
-    if hours.limit(MAX_BROADCAST_HOURS + 1).count() <= MAX_BROADCAST_HOURS:
-        fresh = speed.join(F.broadcast(hours), ["dt", "hour"], "left_anti")
-    else:
-        fresh = salted_anti_join(speed, hours, ["dt", "hour"], MERGE_SALTS)
-    return batch.unionByName(fresh, allowMissingColumns=True)
+    hours = batch.select(F.col("dt").alias("_dt"), F.col("hour").alias("_hour")).distinct()
+    known = speed["dt"].eqNullSafe(hours["_dt"]) & speed["hour"].eqNullSafe(hours["_hour"])
+    return batch.unionByName(speed.join(hours, known, "left_anti"), allowMissingColumns=True)
 
 
-def salted_anti_join(left: DataFrame, keys: DataFrame, on: list[str], salts: int) -> DataFrame:
-    """Anti join whose left groups are split over `salts` partitions each.
+def hourly_parts(events: DataFrame, timestamp: str = "event_ts") -> DataFrame:
+    """Whole-number parts of an hour's figures, which add up: events, ages, their sum and squares."""
+    age = F.col("age").cast("bigint")
+    return (
+        events.groupBy(F.window(timestamp, WINDOW_LENGTH))
+        .agg(
+            F.count(F.lit(1)).alias("events"),
+            F.count(age).alias("ages"),
+            F.sum(age).alias("age_sum"),
+            F.sum(age * age).alias("age_squares"),
+        )
+        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *HOUR_PARTS)
+    )
 
-    Salts go round by row number within a task, so equal rows are spread as well.
-    """
-    number = F.monotonically_increasing_id()
-    salted = left.withColumn("_salt", F.pmod(number, F.lit(salts).cast("bigint")).cast("int"))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    repeated = keys.select(*on, copies.alias("_salt"))
-    return salted.join(repeated.hint("shuffle_hash"), [*on, "_salt"], "left_anti").drop("_salt")
+
+def figures_of_parts(parts: DataFrame) -> DataFrame:
+    """Hourly figures from parts of any number of batches."""
+    summed = parts.groupBy("window_start", "window_end").agg(*[F.sum(c).alias(c) for c in HOUR_PARTS])
+    n, total = F.col("ages"), F.col("age_sum").cast("double")
+    spread = (F.col("age_squares") - total * total / n) / (n - 1)
+    return summed.select(
+        "window_start",
+        "window_end",
+        "events",
+        F.when(n > 0, total / n).alias("avg_age"),
+        F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("stddev_age"),
+    )

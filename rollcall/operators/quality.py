@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rollcall.operators.processor import ERROR, RULE, check, storage_spec
 
 SAMPLE_ERRORS = 3
+STATS_ROW = "total bigint, successful bigint, failed bigint, success_rate double, sample_errors array<string>"
 MINIMUM_RATE = 50.0
 
 
@@ -65,23 +66,15 @@ def sample_errors(checked: DataFrame, *order_by: str) -> DataFrame:
 def processing_stats(checked: DataFrame, *order_by: str) -> DataFrame:
     """One row: total, successful, failed, success_rate and the first errors.
 
-    All errors stay available as rows of `rejected`; only the sample is an array,
-    built from one row of counts and at most three errors.
+    The rows are read and checked once, when this is called: what is counted on the way is
+    taken with the few first errors.  All errors stay available as rows of `rejected`.
     """
-    counts = checked.agg(*outcome_counts())
-    keys = list(order_by) + [ERROR]
-    sample = sample_errors(checked, *order_by)
-    numbered = sample.agg(
-        F.array_sort(F.collect_list(F.struct(*keys))).alias("sorted")
-    ).select(F.col(f"sorted.{ERROR}").alias("sample_errors"))
-    parts = counts.unionByName(numbered, allowMissingColumns=True)
-    total, ok = F.max("total"), F.max("successful")
-    return parts.agg(
-        total.alias("total"),
-        ok.alias("successful"),
-        F.max("failed").alias("failed"),
-        success_rate(ok, total).alias("success_rate"),
-        F.max("sample_errors").alias("sample_errors"),
+    seen = Observation()
+    counted = checked.observe(seen, *outcome_counts())
+    errors = tuple(row[ERROR] for row in sample_errors(counted, *order_by).collect())
+    stats = ProcessingStats.observed(seen, errors)
+    return checked.sparkSession.createDataFrame(
+        [(stats.total, stats.successful, stats.failed, stats.success_rate, list(stats.sample_errors))], STATS_ROW
     )
 
 

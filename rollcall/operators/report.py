@@ -1,41 +1,10 @@
-"""The analytics report as one document, and its figures as rows again."""
+"""The figures of a given report document as rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.schemas import AGE_GROUP_ROW, CITY_ROW
-
-
-def report_document(entries: DataFrame, generated_at: Column | None = None) -> DataFrame:
-    """One row holding the whole report.  For reports of a checked size only."""
-    if generated_at is None:
-        generated_at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    section, count, key = F.col("section"), F.col("count"), F.col("key")
-
-    def rows(name: str, *fields: Column) -> Column:
-        ranked = F.struct((-count).alias("rank"), key.alias("key"), F.struct(*fields).alias("row"))
-        listed = F.array_sort(F.collect_list(F.when(section == name, ranked)))
-        return F.transform(listed, lambda item: item["row"])
-
-    def pairs(name: str) -> Column:
-        pair = F.struct(F.coalesce(key, F.lit("")).alias("key"), count.alias("value"))
-        return F.map_from_entries(F.array_sort(F.collect_list(F.when(section == name, pair))))
-
-    city = [key.alias("city"), count.alias("total_people")]
-    city += [F.col(f.name) for f in CITY_ROW.fields[2:]]
-    group = [key.alias("age_group"), count.alias("count")]
-    group += [F.col(f.name) for f in AGE_GROUP_ROW.fields[2:]]
-    return entries.agg(
-        F.first(generated_at).alias("generated_at"),
-        F.coalesce(F.max(F.when(section == "total", count)), F.lit(0)).alias("total_records"),
-        rows("city", *city).alias("city_statistics"),
-        rows("age_group", *group).alias("age_groups"),
-        pairs("status").alias("status_distribution"),
-        pairs("domain").alias("email_domains"),
-    )
-
 
 def report_total(report: DataFrame) -> DataFrame:
     """Number of records a report covers, zero if it does not say."""

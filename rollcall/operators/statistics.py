@@ -17,12 +17,13 @@ def _count() -> Column:
 
 
 def one_decimal(value: Column) -> Column:
-    """Text with one decimal, halves rounded up."""
-    return F.format_string("%.1f", value)
+    """Text with one decimal, halves rounded up; null for null."""
+    return F.when(value.isNotNull(), F.format_string("%.1f", value))
 
 
 def percentage(part: Column, total: Column) -> Column:
-    return F.format_string("%.1f%%", part.cast("double") / total * 100)
+    share = part.cast("double") / F.nullif(total, F.lit(0)) * 100
+    return F.when(share.isNotNull(), F.format_string("%.1f%%", share))
 
 
 def average_age(age: Column) -> Column:
@@ -63,9 +64,10 @@ def city_report(people: DataFrame) -> DataFrame:
     )
 
 
-def _band_counters() -> list[Column]:
+def _band_counters(counted: Column | None = None) -> list[Column]:
     band = age_group(F.col("age"))
-    return [F.count_if(band == label).alias(f"_band{i}") for i, label in enumerate(_BANDS)]
+    held = F.lit(True) if counted is None else counted
+    return [F.count_if((band == label) & held).alias(f"_band{i}") for i, label in enumerate(_BANDS)]
 
 
 _BANDS = tuple(label for _, label in AGE_GROUPS) + (OLDEST_GROUP,)
@@ -121,24 +123,28 @@ def combined_report(people: DataFrame) -> DataFrame:
 
     The result is a table with one row per figure, so it may hold any number of
     cities and domains.  Only the grand-total row feeds the age bands: it carries
-    their counters, and is unfolded into the total and one row per band.
+    their counters, and is unfolded into the total and one row per band.  A row that counts
+    for nothing is added, so that a report of nobody still says so: its total is 0.
     """
     keyed = people.select(
         "city",
         "status",
         domain_or_unknown(F.col("email")).alias("domain"),
         "age",
+        F.lit(1).alias("_n"),
     )
+    nobody = people.sparkSession.range(1).select(F.lit(0).alias("_n"))
+    keyed = keyed.unionByName(nobody, allowMissingColumns=True)
     grouped = keyed.groupingSets(
         [["city"], ["status"], ["domain"], []], "city", "status", "domain"
     ).agg(
         F.grouping_id().alias("_set"),
-        _count().alias("_rows"),
+        F.sum("_n").alias("_rows"),
         F.sum("age").alias("_sum"),
         F.count("age").alias("_ages"),
         F.min("age").alias("_low"),
         F.max("age").alias("_high"),
-        *_band_counters(),
+        *_band_counters(F.col("_n") == 1),
     )
 
     def entry(section: Column, key: Column, count: Column, share: Column, with_ages: bool) -> Column:
@@ -183,4 +189,4 @@ def combined_report(people: DataFrame) -> DataFrame:
         )
         .otherwise(totals)
     )
-    return grouped.select(F.inline(entries)).filter((F.col("count") > 0))
+    return grouped.select(F.inline(entries)).filter((F.col("count") > 0) | (F.col("section") == "total"))

@@ -160,9 +160,9 @@ def validate(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
 
 def analyze(
     spark: SparkSession, lake: Lake, target: str, generated_at: Column | None = None
-) -> bool:
-    """Report over the readable rows of the lake; true if it fits one document."""
-    return write_report(combined_report(readable_people(spark, lake)), target, generated_at)
+) -> None:
+    """Report over the readable rows of the lake."""
+    write_report(combined_report(readable_people(spark, lake)), target, generated_at)
 
 
 def readable_people(spark: SparkSession, lake: Lake) -> DataFrame:

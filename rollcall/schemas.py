@@ -26,6 +26,8 @@ PERSON_EVENT = _struct(*[(f, _person_type(f)) for f in PERSON_FIELDS], ("eventTi
 
 # Partition values stay text: inference would read dt as DATE and hour=09 as 9.
 PARTITION_KEYS = ("dt", "hour")
+# The lake's last folder level: who wrote a batch, so that it replaces only itself.
+LAKE_BATCH = "batch"
 _PARTITIONS = [(k, T.StringType()) for k in PARTITION_KEYS]
 LAKE = T.StructType(PERSON_EVENT.fields + _struct(*_PARTITIONS).fields)
 LEGACY_LAKE = T.StructType(PERSON_RECORD.fields + _struct(("dt", T.StringType())).fields)
@@ -55,7 +57,7 @@ REPORT = _struct(
     ("status_distribution", T.MapType(T.StringType(), T.LongType())),
     ("email_domains", T.MapType(T.StringType(), T.LongType())),
 )
-REPORT_ENTRY = _struct(
+REPORT_FIGURE = _struct(
     ("section", T.StringType()),
     ("key", T.StringType()),
     ("count", T.LongType()),

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rollcall.functions.codec import to_json_text
 from rollcall.operators.events import partition_keys
 from rollcall.operators.people import to_storage
 from rollcall.operators.processor import ERROR
 from rollcall.operators.quality import ProcessingStats, outcome_counts
-from rollcall.operators.report import report_document
-from rollcall.schemas import PERSON_FIELDS, REPORT_ENTRY
+from rollcall.schemas import LAKE_BATCH, PARTITION_KEYS, PERSON_FIELDS, REPORT_FIGURE
 
 OUTCOME = "outcome"
 ACCEPTED, REJECTED = "accepted", "rejected"
-# A report with more figures than this stays a table: one JSON document is built in
-# one task.  The table has the same figures and no size limit.
-MAX_DOCUMENT_ENTRIES = 100_000
+# The section of a report that holds its time and total.
+HEADER = "report"
 
 
 def write_json_lines(df: DataFrame, path: str, *fields: str) -> None:
@@ -42,6 +43,17 @@ class SplitWrite:
     accepted: str
     rejected: str
     stats: ProcessingStats
+    schema: StructType
+
+    def read(self, spark: SparkSession, side: str) -> DataFrame:
+        """The rows of one side; a side that got no row is an empty table."""
+        path = self.accepted if side == ACCEPTED else self.rejected
+        try:
+            return spark.read.schema(self.schema).parquet(path)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], self.schema)
 
 
 def write_split(processed: DataFrame, path: str) -> SplitWrite:
@@ -55,49 +67,58 @@ def write_split(processed: DataFrame, path: str) -> SplitWrite:
     rows = processed.observe(seen, *outcome_counts()).withColumn(OUTCOME, outcome)
     rows.write.mode("overwrite").partitionBy(OUTCOME).parquet(path)
     return SplitWrite(
-        f"{path}/{OUTCOME}={ACCEPTED}", f"{path}/{OUTCOME}={REJECTED}", ProcessingStats.observed(seen)
+        f"{path}/{OUTCOME}={ACCEPTED}",
+        f"{path}/{OUTCOME}={REJECTED}",
+        ProcessingStats.observed(seen),
+        processed.schema,
     )
 
 
-def write_lake(events: DataFrame, path: str, mode: str = "append") -> None:
-    """Append events under dt/hour.
+def append_to_lake(events: DataFrame, path: str, batch: str) -> None:
+    """Put events under dt/hour/batch; a batch that is written again replaces only itself.
 
     Rebalancing groups each hour's rows into few files, and AQE splits an hour
     that is too big for one task, however large its share of the rows.
     """
-    keyed = partition_keys(events)
-    keyed.hint("rebalance", "dt", "hour").write.mode(mode).partitionBy("dt", "hour").parquet(path)
+    keyed = partition_keys(events).withColumn(LAKE_BATCH, F.lit(batch))
+    replace_batch(keyed.hint("rebalance", *PARTITION_KEYS), path, *PARTITION_KEYS, LAKE_BATCH)
+
+
+def replace_batch(df: DataFrame, path: str, *keys: str) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
+
+
+def write_lake(events: DataFrame, path: str) -> None:
+    """Append events to the lake as a batch of their own."""
+    append_to_lake(events, path, f"write-{uuid.uuid4().hex}")
 
 
 def land_batch(people: DataFrame, path: str, run_millis: Column | None = None) -> None:
     """Append a batch of people to the lake under the hour of the run."""
     millis = F.unix_millis(F.current_timestamp()) if run_millis is None else run_millis
     landed = people.select(*PERSON_FIELDS, millis.alias("eventTime"))
-    partition_keys(landed).write.mode("append").partitionBy("dt", "hour").parquet(path)
+    append_to_lake(landed, path, f"land-{uuid.uuid4().hex}")
 
 
-def write_report_table(report: DataFrame, path: str) -> int:
-    """Write the report's figures, one folder per section; returns how many there are."""
-    seen = Observation()
-    counted = report.observe(seen, F.count(F.lit(1)).alias("entries"))
-    counted.write.mode("overwrite").partitionBy("section").parquet(path)
-    return seen.get["entries"]
-
-
-def read_report_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REPORT_ENTRY).parquet(path)
+def write_report(report: DataFrame, path: str, generated_at: Column | None = None) -> None:
+    """Write the figures as JSON Lines, a folder for each section, replacing what is there.
 
+    The first section holds one row: when the report was made, as its key, and the total.
+    The format is the same at every size, and no task holds more than its share of figures.
+    """
+    if generated_at is None:
+        generated_at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    total = F.col("section") == "total"
+    figures = report.withColumns(
+        {
+            "key": F.when(total, generated_at).otherwise(F.col("key")),
+            "section": F.when(total, F.lit(HEADER)).otherwise(F.col("section")),
+        }
+    )
+    figures.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("section").json(path)
 
-def write_report(report: DataFrame, path: str, generated_at: Column | None = None) -> bool:
-    """Write the figures as a table, and as one JSON document when they are few enough.
 
-    Returns whether the document was written.  The document is built from the
-    written table, so the people are read once.
-    """
-    spark = report.sparkSession
-    entries = write_report_table(report, f"{path}/table")
-    if entries > MAX_DOCUMENT_ENTRIES:
-        return False
-    document = report_document(read_report_table(spark, f"{path}/table"), generated_at)
-    document.coalesce(1).write.mode("overwrite").json(f"{path}/document")
-    return True
+def read_report_figures(spark: SparkSession, path: str) -> DataFrame:
+    """The figures of a written report; those of its header have the time of the report as key."""
+    return spark.read.schema(REPORT_FIGURE).json(path)

@@ -56,15 +56,20 @@ def _hours(dt_from: str | None, dt_to: str | None) -> Column:
 
 
 def read_lake(
-    spark: SparkSession, lake: Lake, dt_from: str | None = None, dt_to: str | None = None
+    spark: SparkSession,
+    lake: Lake,
+    dt_from: str | None = None,
+    dt_to: str | None = None,
+    extra: T.StructType | None = None,
 ) -> DataFrame:
     """The event lake: one root, or several read as one table.
 
-    Bounds are inclusive dates and prune directories.  Files written before a
-    column existed read as null there, which is what a merged schema gives,
-    without opening every footer first.
+    Bounds are inclusive dates and prune directories.  ``extra`` names columns that newer
+    files carry.  Files written before a column existed read as null there, which is what a
+    merged schema gives, without opening every footer first.
     """
-    roots = [spark.read.schema(LAKE).parquet(root).select(*LAKE.names) for root in _roots(lake)]
+    schema = T.StructType(LAKE.fields + (extra.fields if extra else []))
+    roots = [spark.read.schema(schema).parquet(root).select(*schema.names) for root in _roots(lake)]
     return concatenate(*roots).filter(_hours(dt_from, dt_to))
 
 
@@ -87,23 +92,25 @@ def _or_empty(
         return spark.createDataFrame([], schema)
 
 
-def scan_data_files(spark: SparkSession, lake: Lake) -> DataFrame:
+def scan_data_files(spark: SparkSession, lake: Lake, extra: T.StructType | None = None) -> DataFrame:
     """Every Parquet file below the roots as one table, whatever its depth or columns.
 
     A recursive read finds no partition columns, so dt and hour come from the
     path; they are null for files outside such folders.
     """
     path = F.col("_metadata.file_path")
+    columns = T.StructType(PERSON_EVENT.fields + (extra.fields if extra else []))
 
     def level(name: str) -> Column:
         return F.nullif(F.regexp_extract(path, rf"/{name}=([^/]+)/", 1), F.lit("")).alias(name)
 
     def scan(root: str) -> DataFrame:
-        files = spark.read.schema(PERSON_EVENT).option("recursiveFileLookup", True)
+        files = spark.read.schema(columns).option("recursiveFileLookup", True)
         found = files.option("pathGlobFilter", DATA_FILES).parquet(root)
-        return found.select(*PERSON_EVENT.names, level("dt"), level("hour"), path.alias("path"))
+        return found.select(*columns.names, level("dt"), level("hour"), path.alias("path"))
 
-    schema = T.StructType(LAKE.fields + [T.StructField("path", T.StringType())])
+    levels = T.StructType(LAKE.fields[len(PERSON_EVENT.fields) :])
+    schema = T.StructType(columns.fields + levels.fields + [T.StructField("path", T.StringType())])
     return concatenate(*[_or_empty(spark, scan, root, schema) for root in _roots(lake)])
 
 

@@ -2,29 +2,43 @@
 
 Event times and partition keys come from the message.  No step after the decode
 keeps state or looks at the watermark, so a late event is never dropped: it lands
-in the folder of its own hour.
+in the folder of its own hour.  Each batch is written under the id of its query and its own
+number, so a batch that is run again replaces itself and nothing else, other queries and
+landed batches may share the root, and a new checkpoint starts folders of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from rollcall.config import TRIGGER_INTERVAL, WATERMARK_DELAY
 from rollcall.operators.events import (
+    HOUR_PARTS,
     decode_events,
     event_timestamp,
+    figures_of_parts,
     hourly_figures,
-    lake_rows,
-    partition_keys,
+    hourly_parts,
     quarantine_rows,
 )
-from rollcall.operators.processor import ERROR, RULE, accepted, check, storage_spec
-from rollcall.schemas import EVENT_FIELDS, PARTITION_KEYS
+from rollcall.operators.processor import ERROR, RULE, RecordSpec, accepted, check, storage_spec
+from rollcall.schemas import EVENT_FIELDS, LAKE_BATCH
+from rollcall.sinks.files import append_to_lake, replace_batch
+
+QUARANTINE = T.StructType([T.StructField(c, T.StringType()) for c in ("value", ERROR, RULE)])
+HOURS = T.StructType(
+    [T.StructField(c, T.TimestampType()) for c in ("window_start", "window_end")]
+    + [T.StructField(c, T.LongType()) for c in HOUR_PARTS]
+)
+
 
-BATCH = "ingest_batch"
-SPREAD_SEED = 42
+def _batch_name(batch: DataFrame, batch_id: int) -> str:
+    """The query's id, which stays over restarts and is new with a new checkpoint, and the batch."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}"
 
 
 def _trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
@@ -44,27 +58,45 @@ def ingest_to_lake(
     messages: DataFrame,
     lake: str,
     checkpoint: str,
+    quarantine: str | None = None,
     strict: bool = False,
     interval: str | None = TRIGGER_INTERVAL,
-    writers_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Decode messages and append complete events to the lake, exactly once.
 
-    Each task writes the hours it meets, without a shuffle; event logs are close
-    to time order, so those are few.  For a backfill that mixes many hours,
-    `writers_per_trigger` range-partitions each batch first, by hour and then by a
-    seeded draw per row, which a retried task repeats: small hours share a writer,
-    an hour with most of the rows is cut over several even if its rows are equal,
-    and a batch gives about one file per hour plus one per writer.
+    Messages that cannot be decoded go to the quarantine, from the same decode; with
+    `strict` the first one fails the query instead.  One of the two must be chosen.
     """
-    rows = lake_rows(decode_events(messages, strict=strict))
-    if writers_per_trigger is not None:
-        drawn = rows.withColumn("_draw", F.rand(SPREAD_SEED))
-        ranged = drawn.repartitionByRange(writers_per_trigger, *PARTITION_KEYS, "_draw")
-        rows = ranged.drop("_draw")
-    writer = rows.writeStream.format("parquet").partitionBy(*PARTITION_KEYS)
-    writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
-    return _trigger(writer, interval).start(lake)
+    if not strict and quarantine is None:
+        raise ValueError("name a quarantine for bad messages, or set strict")
+    decoded = decode_events(messages, strict=strict)
+    return _ingest(decoded, None, lake, quarantine, checkpoint, interval)
+
+
+def _ingest(
+    verdict: DataFrame, spec: RecordSpec | None, lake: str, quarantine: str | None, checkpoint: str, interval: str | None
+) -> StreamingQuery:
+    """Write good rows to the lake, rebalanced by hour, and bad rows to the quarantine."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        name = _batch_name(batch, batch_id)
+        rows = batch.persist() if quarantine else batch
+        try:
+            good = accepted(rows, spec) if spec else rows.filter(F.col(ERROR).isNull())
+            append_to_lake(good.select(*EVENT_FIELDS), lake, name)
+            if quarantine:
+                bad = quarantine_rows(rows).withColumn(LAKE_BATCH, F.lit(name))
+                replace_batch(bad, quarantine, LAKE_BATCH)
+        finally:
+            rows.unpersist()
+
+    writer = verdict.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, interval).start()
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Messages of the quarantine with their reasons; no message yet is an empty table."""
+    return spark.read.schema(QUARANTINE).parquet(path).select(*QUARANTINE.names)
 
 
 def quarantine_stream(
@@ -89,34 +121,39 @@ def ingest_validated(
     hold every message once.  Events keep their dt/hour place in the lake.
     """
     spec = storage_spec()
-    verdict = check(decode_events(messages), spec)
+    return _ingest(check(decode_events(messages), spec), spec, lake, quarantine, checkpoint, interval)
+
+
+def hourly_stream(
+    messages: DataFrame, path: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL
+) -> StreamingQuery:
+    """Parts of hourly figures, added batch by batch; `read_hours` sums them.
+
+    Nothing is held back or dropped: an hour shows as soon as it has an event, and a late event
+    changes its hour.  Parts are whole numbers, so the sums are exact.
+    """
+    decoded = decode_events(messages).filter(F.col(ERROR).isNull())
+    timed = decoded.withColumn("event_ts", event_timestamp(F.col("eventTime")))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn(BATCH, F.lit(batch_id)).persist()
-        try:
-            good = partition_keys(accepted(rows, spec).select(*EVENT_FIELDS, BATCH))
-            _replace(good, lake, *PARTITION_KEYS, BATCH)
-            bad = rows.filter(F.col(ERROR).isNotNull()).select("value", ERROR, RULE, BATCH)
-            _replace(bad, quarantine, BATCH)
-        finally:
-            rows.unpersist()
+        parts = hourly_parts(batch).withColumn(LAKE_BATCH, F.lit(_batch_name(batch, batch_id)))
+        replace_batch(parts, path, LAKE_BATCH)
 
-    writer = verdict.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = timed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()
 
 
-def _replace(df: DataFrame, path: str, *keys: str) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*keys).parquet(path)
+def read_hours(spark: SparkSession, path: str) -> DataFrame:
+    """Hourly figures of all batches so far."""
+    return figures_of_parts(spark.read.schema(HOURS).parquet(path).select(*HOURS.names))
 
 
-def hourly_stream(
+def closed_hours_stream(
     messages: DataFrame, path: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL
 ) -> StreamingQuery:
     """Hourly figures, written once the watermark passes the hour.
 
-    Rows later than that are not in these figures; they are in the lake, and the
-    batch view counts them (see `lambda_merge`).
+    Rows later than that are not in these figures; `hourly_stream` counts them.
     """
     decoded = decode_events(messages).filter(F.col(ERROR).isNull())
     figures = hourly_figures(with_event_time(decoded))

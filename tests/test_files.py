@@ -74,7 +74,9 @@ def lake(people, tmp_path):
 
 
 def test_lake_layout_keeps_text_partitions(spark, lake):
-    assert folders(lake) == ["dt=2024-01-01/hour=00", "dt=2024-01-01/hour=09", "dt=2024-01-02/hour=09"]
+    assert [f.rpartition("/batch=")[0] for f in folders(lake)] == [
+        "dt=2024-01-01/hour=00", "dt=2024-01-01/hour=09", "dt=2024-01-02/hour=09"
+    ]
     rows = source.read_lake(spark, lake).collect()
     assert sorted({(r.dt, r.hour) for r in rows}) == [("2024-01-01", "00"), ("2024-01-01", "09"), ("2024-01-02", "09")]
 
@@ -122,19 +124,26 @@ def test_file_listing_reads_no_contents(spark, lake):
     assert "ReadSchema: struct<>" in plan
 
 
-def test_report_document_round_trip(spark, people, tmp_path):
+def test_report_round_trip_replaces_what_is_there(spark, people, tmp_path):
     path = str(tmp_path / "report")
+    sink.write_report(combined_report(people({}, {"city": "Oslo"}, {"city": None}, {"city": ""})), path, F.lit("old"))
     df = people({}, {"city": "Rome", "age": 70}, {"status": "Suspended:x"})
-    assert sink.write_report(combined_report(df), path, F.lit("2024-01-01T00:00:00"))
-    report = source.read_report(spark, f"{path}/document").first()
-    assert (report.generated_at, report.total_records) == ("2024-01-01T00:00:00", 3)
-    assert report.total_records == 3
-    assert [c.city for c in report.city_statistics] == ["Paris", "Rome"]
-    assert [(g.age_group, g["count"], g.percentage) for g in report.age_groups] == [
-        ("Adult", 2, "66.7%"), ("Senior", 1, "33.3%"),
-    ]
-    assert report.status_distribution == {"Active": 2, "Suspended:x": 1}
-    assert report.email_domains == {"test.com": 3}
+    sink.write_report(combined_report(df), path, F.lit("2024-01-01T00:00:00"))
+    figures = {(r.section, r.key): (r["count"], r.percentage) for r in sink.read_report_figures(spark, path).collect()}
+    assert figures == {
+        ("report", "2024-01-01T00:00:00"): (3, None),
+        ("city", "Paris"): (2, None), ("city", "Rome"): (1, None),
+        ("age_group", "Adult"): (2, "66.7%"), ("age_group", "Senior"): (1, "33.3%"),
+        ("status", "Active"): (2, None), ("status", "Suspended:x"): (1, None),
+        ("domain", "test.com"): (3, None),
+    }
+
+
+def test_null_and_empty_keys_stay_apart(spark, people, tmp_path):
+    path = str(tmp_path / "report")
+    sink.write_report(combined_report(people({"city": None}, {"city": ""}, {"city": ""})), path)
+    rows = sink.read_report_figures(spark, path).filter("section = 'city'").collect()
+    assert {r.key: r["count"] for r in rows} == {None: 1, "": 2}
 
 
 def test_pretty_printed_report_is_read_too(spark, tmp_path):
@@ -144,19 +153,19 @@ def test_pretty_printed_report_is_read_too(spark, tmp_path):
     assert report.total_records == 2 and report.city_statistics[0].city == "X" and report.age_groups is None
 
 
-def test_large_report_stays_a_table(spark, people, tmp_path, monkeypatch):
-    monkeypatch.setattr(sink, "MAX_DOCUMENT_ENTRIES", 3)
+def test_report_of_nobody(spark, people, tmp_path):
     path = str(tmp_path / "report")
-    assert not sink.write_report(combined_report(people({}, {"city": "Rome"})), path)
-    assert not (tmp_path / "report" / "document").exists()
-    rows = sink.read_report_table(spark, f"{path}/table").filter("section = 'city'").collect()
-    assert {r.key for r in rows} == {"Paris", "Rome"}
+    sink.write_report(combined_report(people({}).limit(0)), path)
+    rows = sink.read_report_figures(spark, path).collect()
+    assert [(r.section, r["count"]) for r in rows] == [("report", 0)]
 
 
-def test_report_of_nobody(spark, people, tmp_path):
-    path = str(tmp_path / "report")
-    assert sink.write_report(combined_report(people({}).limit(0)), path)
-    assert source.read_report(spark, f"{path}/document").first().total_records == 0
+def test_a_split_without_one_side_reads_it_as_empty(spark, people, tmp_path):
+    for good, change in ((2, {}), (0, {"age": 200})):
+        checked = check(people(change, change), storage_spec())
+        written = sink.write_split(checked, str(tmp_path / f"split{good}"))
+        assert written.read(spark, sink.ACCEPTED).count() == good
+        assert written.read(spark, sink.REJECTED).count() == 2 - good
 
 
 def test_generated_people(spark):
@@ -204,5 +213,5 @@ def test_an_oversized_hour_is_split_over_writers(spark, tmp_path):
     finally:
         spark.conf.unset(setting)
     files = list(Path(path).rglob("*.parquet"))
-    assert {p.parent.name for p in files} == {"hour=00"} and len(files) > 2
+    assert {p.parent.parent.name for p in files} == {"hour=00"} and len(files) > 2
     assert source.read_lake(spark, path).count() == 20000

@@ -114,3 +114,15 @@ def test_empty_input(people):
 def test_batch_profile(people):
     row = S.batch_profile(people({"age": 5}, {"age": 70, "city": "Rome"}, {})).first()
     assert row.asDict() == {"records": 3, "unique_cities": 2, "age_range": "5 - 70"}
+
+
+def test_a_city_without_ages_has_no_average(people):
+    rows = {r.city: r.avg_age for r in S.city_report(people({"city": "A", "age": None}, {"city": "B", "age": 4})).collect()}
+    assert rows == {"A": None, "B": 4.0}
+    report = {(r.section, r.key): r.avg_age for r in S.combined_report(people({"city": "A", "age": None})).collect()}
+    assert report["city", "A"] is None
+
+
+def test_a_report_of_nobody_says_so(people):
+    rows = S.combined_report(people({}).limit(0)).collect()
+    assert [(r.section, r["count"]) for r in rows] == [("total", 0)]

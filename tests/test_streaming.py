@@ -7,6 +7,7 @@ from pyspark.sql.streaming.query import StreamingQueryException
 from rollcall.operators import events as E
 from rollcall.plans import jobs
 from rollcall.sinks.event_log import publish_staged
+from rollcall.sinks.files import append_to_lake
 from rollcall.sources.event_log import stream_staged_messages, stream_topic
 from rollcall.sources.files import read_lake, scan_data_files
 from rollcall.streaming import ingest
@@ -42,7 +43,8 @@ class Platform:
         return str(self.root / f"cp-{name}")
 
     def ingest(self, **options):
-        query = ingest.ingest_to_lake(self.stream(), self.lake, self.checkpoint("lake"), interval=None, **options)
+        kept = {} if options.get("strict") else {"quarantine": self.bad}
+        query = ingest.ingest_to_lake(self.stream(), self.lake, self.checkpoint("lake"), interval=None, **kept, **options)
         query.awaitTermination()
 
     def rows(self):
@@ -75,14 +77,48 @@ def test_late_events_land_in_their_own_hour(platform):
     assert rows == {("2024-01-03", "02"), ("2024-01-01", "00")}
 
 
-def test_ranged_writers_split_a_hot_hour_and_share_the_others(platform):
+def test_a_hot_hour_is_split_and_the_others_share(platform, spark):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     hot = event(1, DAY)  # a third of the messages are copies of one
-    values = [hot if n % 3 == 0 else event(n, DAY + (1 + n % 12) * HOUR) for n in range(600)]
+    values = [hot if n % 3 == 0 else event(n, DAY + (1 + n % 12) * HOUR) for n in range(3000)]
     platform.publish(*values)
-    platform.ingest(writers_per_trigger=6)
-    assert platform.rows().count() == 600
-    files = [f.parent.name for f in (platform.root / "lake").rglob("*.parquet")]
-    assert files.count("hour=00") > 1 and len(files) <= 13 + 6
+    spark.conf.set(size, "4k")
+    try:
+        platform.ingest()
+    finally:
+        spark.conf.unset(size)
+    assert platform.rows().count() == 3000
+    files = [f.parent.parent.name for f in (platform.root / "lake").rglob("*.parquet")]
+    assert files.count("hour=00") >= 1 and len(files) < 200
+
+
+def test_two_queries_and_a_new_checkpoint_keep_all_rows(platform):
+    platform.publish(*[event(n, DAY + n * HOUR) for n in range(5)], "{bad")
+    for name in ("one", "two"):
+        ingest.ingest_to_lake(
+            platform.stream(), platform.lake, platform.checkpoint(name), platform.bad, interval=None
+        ).awaitTermination()
+    assert platform.rows().count() == 10
+    assert ingest.read_quarantine(platform.spark, platform.bad).count() == 2
+
+
+def test_bad_messages_must_go_somewhere(platform):
+    platform.publish(event(1, DAY))
+    with pytest.raises(ValueError):
+        ingest.ingest_to_lake(platform.stream(), platform.lake, platform.checkpoint("x"), interval=None)
+
+
+def test_landed_batches_share_the_streams_root(platform):
+    platform.publish(*[event(n, DAY) for n in range(5)])
+    platform.ingest()
+    jobs.generate(platform.spark, platform.lake, 5, F.lit(DAY))
+    assert platform.rows().count() == 10 == scan_data_files(platform.spark, platform.lake).count()
+
+
+def test_a_quarantine_without_rows_is_an_empty_table(platform):
+    platform.publish(event(1, DAY))
+    platform.ingest()
+    assert ingest.read_quarantine(platform.spark, platform.bad).count() == 0
 
 
 def test_strict_ingest_fails_on_the_first_bad_message(platform):
@@ -116,29 +152,38 @@ def test_validated_ingest_writes_both_sides_once(platform):
     assert {r.error_rule for r in bad.collect()} == {"age", "json"}
 
 
-def test_a_repeated_batch_replaces_its_own_folders(platform):
-    """Running the sink of a batch again, as after a lost driver, changes nothing."""
-    rows = E.partition_keys(
-        platform.spark.createDataFrame([(1, DAY), (2, DAY + HOUR)], "n int, eventTime bigint")
-    ).withColumn(ingest.BATCH, F.lit(0))
-    other = rows.withColumn(ingest.BATCH, F.lit(1))
-    for df in (rows, other, rows):
-        ingest._replace(df, platform.lake, "dt", "hour", ingest.BATCH)
-    assert platform.spark.read.parquet(platform.lake).count() == 4
+def test_a_repeated_batch_replaces_itself_alone(platform):
+    """Writing a batch again, as after a lost driver, changes nothing."""
+    rows = E.decode_events(
+        platform.spark.createDataFrame([(event(1, DAY),), (event(2, DAY + HOUR),)], "value string")
+    ).drop("value", "error", "error_rule")
+    for name in ("q-0", "q-1", "q-0", "p-0"):
+        append_to_lake(rows, platform.lake, name)
+    assert platform.rows().count() == 6
 
 
-def test_hourly_stream_emits_closed_hours(platform):
-    values = [event(n, DAY + n * HOUR // 4) for n in range(13)]  # 00:00 .. 03:00
-    platform.publish(*values)
+def test_hourly_figures_are_complete_and_late_events_change_them(platform):
     out = str(platform.root / "hours")
-    ingest.hourly_stream(platform.stream(), out, platform.checkpoint("h"), interval=None).awaitTermination()
+
+    def run():
+        ingest.hourly_stream(platform.stream(), out, platform.checkpoint("h"), interval=None).awaitTermination()
+        rows = ingest.read_hours(platform.spark, out).orderBy("window_start").collect()
+        return [(r.window_start.hour, r.events, r.avg_age) for r in rows]
+
+    platform.publish(*[event(n, DAY + n * HOUR // 4, age=30) for n in range(13)])  # 00:00 .. 03:00
+    assert run() == [(0, 4, 30.0), (1, 4, 30.0), (2, 4, 30.0), (3, 1, 30.0)]
+    assert run()[3] == (3, 1, 30.0)
+    platform.publish(event(50, DAY + 5, age=80))
+    assert run()[0] == (0, 5, 40.0)
+
+
+def test_closed_hours_follow_the_watermark(platform):
+    platform.publish(*[event(n, DAY + n * HOUR // 4) for n in range(13)])
+    out = str(platform.root / "closed")
+    ingest.closed_hours_stream(platform.stream(), out, platform.checkpoint("c"), interval=None).awaitTermination()
     rows = platform.spark.read.parquet(out).orderBy("window_start").collect()
     # The hour that ends at the last event is within the lateness bound and stays open.
     assert [(r.window_start.hour, r.events) for r in rows] == [(0, 4), (1, 4)]
-    batch = E.hourly_figures(
-        ingest.with_event_time(E.decode_events(platform.spark.read.parquet(platform.topic)))
-    ).orderBy("window_start")
-    assert rows == batch.collect()[:2]
 
 
 @pytest.mark.parametrize("validated", [False, True])
@@ -170,7 +215,7 @@ def test_files_per_trigger_splits_the_backlog(platform):
     for n in range(3):
         platform.publish(event(n, DAY))
     query = ingest.ingest_to_lake(
-        platform.stream(files_per_trigger=1), platform.lake, platform.checkpoint("lake"), interval=None
+        platform.stream(files_per_trigger=1), platform.lake, platform.checkpoint("lake"), platform.bad, interval=None
     )
     query.awaitTermination()
     assert query.lastProgress.batchId == 2 and platform.rows().count() == 3

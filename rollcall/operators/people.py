@@ -80,5 +80,10 @@ def enriched_sample(df: DataFrame) -> DataFrame:
     return sample(enrich(df), SAMPLE_COLUMNS, SAMPLE_ROWS, "id", "name")
 
 
+def some_enriched(df: DataFrame) -> DataFrame:
+    """Any few enriched rows; no more of the input is read than gives them."""
+    return enrich(df).limit(SAMPLE_ROWS).select(*SAMPLE_COLUMNS)
+
+
 def batch_sample(df: DataFrame) -> DataFrame:
     return sample(df, BATCH_SAMPLE_COLUMNS, BATCH_SAMPLE_ROWS, "id", "name")

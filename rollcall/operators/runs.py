@@ -7,12 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.config import scratch_dir
 from rollcall.schemas import RUN_STATES
 
-# Range partitions of the distributed running total, and thus rows of its driver-free
-# offset step.
-RUNNING_TOTAL_PARTITIONS = 64
-
 
 def lake_inventory(files: DataFrame) -> DataFrame:
     """Number of files, total bytes and whole kilobytes, from a file listing."""
@@ -29,12 +26,15 @@ def running_total(
 ) -> DataFrame:
     """Exact running total without sorting all rows in one task.
 
-    Rows are range-partitioned by the order and pinned with a reliable
-    checkpoint, because partition numbers must not move when a task is retried.
+    Rows are range-partitioned by the order and pinned in a table in the shared
+    folder, because partition numbers must not move when a task is retried.
     Each partition then sums on its own and adds the total of those before it.
     """
     parts = df.repartitionByRange(partitions, *order_by)
-    pinned = parts.withColumn("_part", F.spark_partition_id()).checkpoint()
+    pinned = parts.withColumn("_part", F.spark_partition_id())
+    path = scratch_dir(df.sparkSession, "running-total")
+    pinned.write.parquet(path)
+    pinned = df.sparkSession.read.schema(pinned.schema).parquet(path)
     upto = Window.partitionBy("_part").orderBy(*order_by)
     local = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # One row per range partition: `partitions` rows at most.
@@ -50,13 +50,15 @@ def running_total(
 
 
 def run_history(
-    records_by_file: DataFrame, files: DataFrame, partitions: int = RUNNING_TOTAL_PARTITIONS
+    records_by_file: DataFrame, files: DataFrame, partitions: int | None = None
 ) -> DataFrame:
     """Per file in modification-time order: records, running total and size.
 
     `records_by_file` has (path, records); `files` is the listing with
     (path, length, modificationTime), so files without readable rows show zero.
+    The running total takes as many range partitions as the session shuffles into.
     """
+    partitions = partitions or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = files.join(records_by_file, "path", "left").select(
         "path",
         F.col("modificationTime").alias("timestamp"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.rules import normal_values
 from rollcall.operators.events import encode_events, to_events
-from rollcall.operators.people import enrich, enriched_sample
+from rollcall.operators.people import enrich, some_enriched
 from rollcall.operators.processor import (
     ERROR,
     RULE,
@@ -131,7 +131,7 @@ def batch_analytics(spark: SparkSession, lake: Lake, target: str) -> tuple[int,
     """
     write_statistics(city_statistics(read_lake(spark, lake)), target)
     counted = spark.read.parquet(target).agg(F.coalesce(F.sum("total_people"), F.lit(0)))
-    return counted.first()[0], enriched_sample(read_lake(spark, lake))
+    return counted.first()[0], some_enriched(read_lake(spark, lake))
 
 
 def enriched_lake(spark: SparkSession, lake: Lake) -> DataFrame:

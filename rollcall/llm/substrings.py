@@ -1,7 +1,7 @@
 """Exact substring removal: Burrows-Wheeler interval expansion over the fragments that may repeat.
 
 A string of ``length`` bytes that occurs in two texts has the same anchor in both: the least of
-the hashes of its 16-byte pieces.  So a text is cut into fragments, maximal runs of windows with
+the hashes of its 20-byte pieces.  So a text is cut into fragments, maximal runs of windows with
 one anchor, and windows can only be equal inside fragments of one anchor.  Anchors that one text
 alone holds are dropped; the rest are dealt out by anchor, and each part is a bounded text whose
 Burrows-Wheeler transform is expanded breadth-first.
@@ -21,12 +21,15 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import small_batches, staged, text_or_empty
 
 LENGTH = 50
-PIECE = 16
+#: Bytes hashed together: a run of 16 and one of 4.
+PIECE, LONG, SHORT = 20, 16, 4
 #: Text bytes an anchor bucket, and fragment bytes a transform, are made for.
 BUCKET_BYTES = 64 << 20
 FRAGMENT_BYTES = 1 << 20
 #: Bytes of text hashed at once; longer texts are taken in overlapping stretches.
 STRETCH = 1 << 20
+#: Documents up to which a list of their ids is broadcast to leave texts out of a shuffle.
+LISTED_DOCS = 1_000_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -47,12 +50,16 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def window_anchors(data: np.ndarray, length: int) -> np.ndarray:
-    """The anchor of each window of ``length`` bytes: the least mixed hash of its 16-byte pieces."""
+    """The anchor of each window of ``length`` bytes: the least mixed hash of its 20-byte pieces."""
     with np.errstate(over="ignore"):
         hashes, multiplier, size = (data.astype(np.uint64) + np.uint64(1)) * _M2, _M1, 1
-        while size < PIECE:
+        while size < LONG:
             hashes = hashes[:-size] * multiplier + hashes[size:]
             multiplier, size = multiplier * multiplier, size * 2
+            if size == SHORT:
+                short, shift = hashes, multiplier
+        count = data.size - PIECE + 1
+        hashes = hashes[:count] * shift + short[LONG : LONG + count]
         return _sliding_min(_mix(hashes), length - PIECE + 1)
 
 
@@ -91,15 +98,18 @@ def _blocks(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np
         begins = ends - sizes
         if data.size >= length:
             got = window_anchors(data, length)
-            at = np.arange(got.size)
-            text = np.repeat(np.arange(sizes.size), sizes)[: got.size]
-            inside = at + length <= ends[text]
-            cut = np.concatenate(([True], (got[1:] != got[:-1]) | (text[1:] != text[:-1]))) & inside
-            first = np.flatnonzero(cut)
-            last = np.minimum(np.append(first[1:], got.size), ends[text[first]] - length + 1)
-            owner.append(np.array(small)[text[first]])
-            begin.append(first - begins[text[first]])
-            end.append(last - begins[text[first]])
+            changed = got[1:] != got[:-1]
+            inner = begins[1:]
+            changed[inner[inner < got.size] - 1] = True
+            first = np.concatenate(([0], np.flatnonzero(changed) + 1))
+            last = np.append(first[1:], got.size)
+            text = np.searchsorted(ends, first, side="right")
+            inside = first + length <= ends[text]
+            first, last, text = first[inside], last[inside], text[inside]
+            last = np.minimum(last, ends[text] - length + 1)
+            owner.append(np.array(small)[text])
+            begin.append(first - begins[text])
+            end.append(last - begins[text])
             with np.errstate(over="ignore"):
                 anchor.append(_mix(got[first] * _M1))
         small, held = [], 0
@@ -143,41 +153,57 @@ def _binary_batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> p
     return pa.RecordBatch.from_arrays(arrays, [n for n, _ in schema])
 
 
-ANCHOR_LISTS = "bucket int, told boolean, texts binary, anchors binary"
+ANCHOR_LISTS = "bucket int, told boolean, texts binary, counts binary, anchors binary"
+
+
+def _named(bucket: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """An anchor's name: its bucket and 32 bits of its hash.  Two anchors of one name only cost work."""
+    return (bucket.astype(np.uint64) << np.uint64(32)) | low.astype(np.uint64)
+
+
+def _anchor_names(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    return _named((anchor >> np.uint64(32)) % np.uint64(buckets), anchor & np.uint64(0xFFFFFFFF))
 
 
 def _anchor_lists(buckets: int, length: int):
-    """Anchors of each batch by bucket.
+    """Anchors of each batch by bucket: keys of texts, how many anchors each has, and those.
 
     An anchor that one text of the batch holds goes to its bucket with that text.  Of one that
     several hold, the bucket gets two of the texts, enough to know that it repeats, and all of
     them are told apart, in a list that any bucket can pass on.
     """
-    kinds = [("bucket", pa.int32()), ("told", pa.bool_()), ("texts", pa.binary()), ("anchors", pa.binary())]
+    kinds = [("bucket", pa.int32()), ("told", pa.bool_()), ("texts", pa.binary()), ("counts", pa.binary()), ("anchors", pa.binary())]
+
+    def listed(bucket: int, told: bool, key: np.ndarray, name: np.ndarray) -> tuple:
+        first = _changes(key)
+        counts = np.diff(np.append(first, key.size)).astype(np.int32)
+        names = name if told else name.astype(np.uint32)
+        return (bucket, told, key[first].tobytes(), counts.tobytes(), names.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, _, _, anchor = _blocks(_bytes_of(batch.column("text")), length)
             key = batch.column("key").to_numpy(zero_copy_only=False)[owner]
-            order = np.lexsort((key, anchor))
-            key, anchor = key[order], anchor[order]
-            fresh = _changes(anchor, key)
-            key, anchor = key[fresh], anchor[fresh]
-            first = _changes(anchor)
-            sizes = np.diff(np.append(first, anchor.size))
-            place = np.arange(anchor.size) - np.repeat(first, sizes)
+            name = _anchor_names(anchor, buckets)
+            order = np.lexsort((key, name))
+            key, name = key[order], name[order]
+            fresh = _changes(name, key)
+            key, name = key[fresh], name[fresh]
+            first = _changes(name)
+            sizes = np.diff(np.append(first, name.size))
             several = np.repeat(sizes > 1, sizes)
-            sent = place < 2
+            sent = np.arange(name.size) - np.repeat(first, sizes) < 2
             rows = []
             if several.any():
-                rows.append((int(anchor[several][0] % np.uint64(buckets)), True, key[several].tobytes(), anchor[several].tobytes()))
-            bucket = ((anchor[sent] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            key, anchor = key[sent], anchor[sent]
+                order = np.argsort(key[several], kind="stable")
+                told_key, told = key[several][order], name[several][order]
+                rows.append(listed(int(told[0] % np.uint64(buckets)), True, told_key, told))
+            key, name = key[sent], name[sent]
+            order = np.lexsort((key, name >> np.uint64(32)))
+            key, name = key[order], name[order]
+            edges = np.searchsorted(name >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
             for b in np.flatnonzero(np.diff(edges)).tolist():
-                at = by[edges[b] : edges[b + 1]]
-                rows.append((b, False, key[at].tobytes(), anchor[at].tobytes()))
+                rows.append(listed(b, False, key[edges[b] : edges[b + 1]], name[edges[b] : edges[b + 1]]))
             if rows:
                 yield _binary_batch(kinds, rows)
 
@@ -186,86 +212,99 @@ def _anchor_lists(buckets: int, length: int):
 
 def _repeated_anchors(lists: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket: for each text, the anchors that other texts hold too."""
-    told = lists[lists["told"]]
-    known_key = np.frombuffer(b"".join(told["texts"]), np.int64)
-    known = np.frombuffer(b"".join(told["anchors"]), np.uint64)
-    rest = lists[~lists["told"]]
-    key = np.frombuffer(b"".join(rest["texts"]), np.int64)
-    anchor = np.frombuffer(b"".join(rest["anchors"]), np.uint64)
-    order = np.argsort(anchor, kind="stable")
-    key, anchor = key[order], anchor[order]
-    first = _changes(anchor)
+
+    def read(rows: pd.DataFrame, kind) -> tuple[np.ndarray, np.ndarray]:
+        texts = np.frombuffer(b"".join(rows["texts"]), np.int64)
+        counts = np.frombuffer(b"".join(rows["counts"]), np.int32)
+        return np.repeat(texts, counts), np.frombuffer(b"".join(rows["anchors"]), kind)
+
+    known_key, known = read(lists[lists["told"]], np.uint64)
+    key, low = read(lists[~lists["told"]], np.uint32)
+    order = np.argsort(low, kind="stable")
+    key, low = key[order], low[order]
+    first = _changes(low)
     if first.size:
-        sizes = np.diff(np.append(first, anchor.size))
+        sizes = np.diff(np.append(first, low.size))
         repeated = np.repeat(np.minimum.reduceat(key, first) != np.maximum.reduceat(key, first), sizes)
-        key, anchor = key[repeated], anchor[repeated]
-    key, anchor = np.concatenate((key, known_key)), np.concatenate((anchor, known))
+        key, low = key[repeated], low[repeated]
+    bucket = np.uint64(lists["bucket"].iloc[0])
+    key, name = np.concatenate((key, known_key)), np.concatenate((_named(np.full(low.size, bucket), low), known))
     order = np.argsort(key, kind="stable")
-    key, anchor = key[order], anchor[order]
+    key, name = key[order], name[order]
     starts = _changes(key)
     ends = np.append(starts[1:], key.size)
-    return pd.DataFrame({"key": key[starts], "anchors": [anchor[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]})
+    return pd.DataFrame({"key": key[starts], "anchors": [name[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]})
 
 
-PIECES = "anchor bigint, fragment binary, first_doc bigint, last_doc bigint, docs binary, keys binary, begins binary"
+PIECES = "anchor bigint, fragment binary, docs array<bigint>, keys array<smallint>, begins array<int>"
 
 
-def _fragments(length: int):
+def _fragments(buckets: int, length: int):
     """Per batch: each distinct fragment with a repeated anchor, and where it stands."""
-    kinds = [
-        ("anchor", pa.int64()),
-        ("fragment", pa.binary()),
-        ("first_doc", pa.int64()),
-        ("last_doc", pa.int64()),
-        ("docs", pa.binary()),
-        ("keys", pa.binary()),
-        ("begins", pa.binary()),
-    ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = _bytes_of(batch.column("text"))
             docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
-            wanted = [np.unique(np.frombuffer(b"".join(x), np.uint64)) for x in batch.column("anchors").to_pylist()]
+            keys = batch.column("key").to_numpy(zero_copy_only=False).astype(np.int16)
+            wanted = [np.frombuffer(b"".join(x), np.uint64) for x in batch.column("anchors").to_pylist()]
             owner, begin, end, anchor = _blocks(texts, length)
             with np.errstate(over="ignore"):
+                name = _anchor_names(anchor, buckets)
                 salt = _mix(np.arange(len(texts), dtype=np.uint64) * _M1)
                 known = [a ^ salt[i] for i, a in enumerate(wanted)]
-                keep = np.flatnonzero(np.isin(anchor ^ salt[owner], np.concatenate(known) if known else anchor[:0]))
-            found: dict[bytes, list[int]] = {}
-            for k, i, a, b in zip(keep.tolist(), owner[keep].tolist(), begin[keep].tolist(), (end[keep] + (length - 1)).tolist(), strict=True):
-                found.setdefault(texts[i][a:b], []).append(k)
-            signed = anchor.view(np.int64)
-            rows = []
-            for fragment, at in found.items():
-                who = docs[owner[at]]
-                rows.append(
-                    (int(signed[at[0]]), fragment, int(who.min()), int(who.max()), who.tobytes(), keys[owner[at]].tobytes(), begin[at].astype(np.int64).tobytes())
-                )
-            for at in range(0, len(rows), 50_000):
-                yield _binary_batch(kinds, rows[at : at + 50_000])
+                keep = np.flatnonzero(np.isin(name ^ salt[owner], np.concatenate(known) if known else name[:0]))
+            owner, begin, end, name = owner[keep], begin[keep], end[keep], name[keep]
+            number: dict[bytes, int] = {}
+            which = [
+                number.setdefault(texts[i][a:b], len(number))
+                for i, a, b in zip(owner.tolist(), begin.tolist(), (end + (length - 1)).tolist(), strict=True)
+            ]
+            if not which:
+                continue
+            which = np.array(which)
+            order = np.argsort(which, kind="stable")
+            first = _changes(which[order])
+            offsets = pa.array(np.append(first, order.size).astype(np.int32))
+            places = [
+                pa.ListArray.from_arrays(offsets, pa.array(c[order]))
+                for c in (docs[owner], keys[owner], begin.astype(np.int32))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(name[order[first]].view(np.int64)), pa.array(list(number), pa.binary()), *places],
+                ["anchor", "fragment", "docs", "keys", "begins"],
+            )
 
     return run
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols or more, by prefix doubling."""
-    packed, taken = symbols.astype(np.uint64), 7
-    padded = np.concatenate((packed, np.zeros(taken, np.uint64)))
-    key = packed
+    """Suffixes in the order of their first ``depth`` symbols or more, by prefix doubling.
+
+    Only suffixes that still tie are sorted again; they keep the places their group has.
+    """
+    taken = 7
+    padded = np.concatenate((symbols.astype(np.uint64), np.zeros(taken, np.uint64)))
+    key = padded[: symbols.size]
     for k in range(1, taken):
-        key = (key << np.uint64(9)) | padded[k : k + packed.size]
-    while True:
-        order = np.argsort(key, kind="stable")
-        if taken >= depth:
-            return order
-        ranked = key[order]
-        rank = np.empty(order.size, np.uint64)
-        rank[order] = np.cumsum(np.concatenate(([True], ranked[1:] != ranked[:-1]))).astype(np.uint64)
-        after = np.concatenate((rank[taken:], np.zeros(min(taken, rank.size), np.uint64)))
-        key = (rank << np.uint64(32)) | after
+        key = (key << np.uint64(9)) | padded[k : k + symbols.size]
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    while taken < depth:
+        tied = np.flatnonzero(~fresh | ~np.append(fresh[1:], True))
+        if not tied.size:
+            break
+        rank = np.zeros(order.size + 1, np.int64)
+        rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(order.size), 0)) + 1
+        here = order[tied]
+        key = (rank[here] << 32) | rank[np.minimum(here + taken, order.size)]
+        by = np.argsort(key, kind="stable")
+        order[tied] = here[by]
+        ranked = key[by]
+        fresh[tied] = np.concatenate(([True], ranked[1:] != ranked[:-1]))
         taken *= 2
+    return order
 
 
 def equal_prefix_classes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -294,17 +333,17 @@ def equal_prefix_classes(symbols: np.ndarray, length: int) -> tuple[np.ndarray,
 
 
 def _first_docs(length: int):
-    """Per part: for the windows of each distinct fragment, the least doc_id that holds the same bytes."""
+    """Per part: for the windows of each distinct fragment, the least doc_id that holds the same bytes.
+
+    Rows are (from, upto, first) over the windows of fragments some window of which is earlier
+    than their own last document.
+    """
 
     def run(pieces: pd.DataFrame) -> pd.DataFrame:
-        merged: dict[bytes, list] = {}
-        for fid, fragment, low, high in zip(pieces["fid"], pieces["fragment"], pieces["first_doc"], pieces["last_doc"], strict=True):
-            got = merged.setdefault(fragment, [fid, low, high])
-            got[1], got[2] = min(got[1], low), max(got[2], high)
-        fragments = list(merged)
+        merged = pieces.groupby("fragment", sort=False).agg(fid=("fid", "first"), low=("first_doc", "min"), high=("last_doc", "max"))
+        fragments, fids = merged.index.tolist(), merged["fid"].to_numpy()
+        low, high = merged["low"].to_numpy(np.int64), merged["high"].to_numpy(np.int64)
         sizes = np.array([len(f) + 1 for f in fragments])
-        low = np.array([v[1] for v in merged.values()], np.int64)
-        high = np.array([v[2] for v in merged.values()], np.int64)
         starts = np.cumsum(sizes) - sizes
         symbols = np.zeros(int(sizes.sum()), np.uint16)
         owner = np.repeat(np.arange(sizes.size), sizes)
@@ -312,49 +351,20 @@ def _first_docs(length: int):
         inside[starts + sizes - 1] = False
         symbols[inside] = np.frombuffer(b"".join(fragments), np.uint8).astype(np.uint16) + 1
         order, classes = equal_prefix_classes(symbols, length)
-        begins = order - starts[owner[order]] < (sizes - length)[owner[order]]
-        doc = np.where(begins, low[owner[order]], np.iinfo(np.int64).max)
-        least = np.minimum.reduceat(doc, _changes(classes))[classes]
+        of = owner[order]
+        begins = order - starts[of] < (sizes - length)[of]
+        doc = np.where(begins, low[of], np.iinfo(np.int64).max)
         firsts = np.empty(symbols.size, np.int64)
-        firsts[order] = least
-        out_id, out_firsts = [], []
-        for i, (fid, _, last) in enumerate(merged.values()):
-            mine = firsts[starts[i] : starts[i] + sizes[i] - length]
-            if (mine < last).any():
-                out_id.append(fid)
-                out_firsts.append(mine.tobytes())
-        return pd.DataFrame({"fid": out_id, "firsts": out_firsts})
-
-    return run
-
-
-def _covered(length: int):
-    """Per occurrence of a fragment: the byte ranges that an earlier document covers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [[], [], [], []]
-            columns = [batch.column(c).to_pylist() for c in ("firsts", "docs", "keys", "begins")]
-            for firsts, docs, keys, begins in zip(*columns, strict=True):
-                first = np.frombuffer(firsts, np.int64)
-                doc, key, begin = (np.frombuffer(x, np.int64) for x in (docs, keys, begins))
-                low, high = first.min(), first.max()
-                whole = doc > high
-                if whole.any():
-                    out[0].append(doc[whole])
-                    out[1].append(key[whole])
-                    out[2].append(begin[whole])
-                    out[3].append(begin[whole] + (first.size - 1 + length))
-                for k in np.flatnonzero(~whole & (doc > low)).tolist():
-                    hit = np.flatnonzero(first < doc[k])
-                    cut = np.flatnonzero(np.concatenate(([True], np.diff(hit) > 1)))
-                    start, last = hit[cut], hit[np.append(cut[1:], hit.size) - 1]
-                    out[0].append(np.full(cut.size, doc[k]))
-                    out[1].append(np.full(cut.size, key[k]))
-                    out[2].append(begin[k] + start)
-                    out[3].append(begin[k] + last + length)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], ["doc_id", "key", "start", "stop"])
+        firsts[order] = np.minimum.reduceat(doc, _changes(classes))[classes]
+        window = np.arange(symbols.size) - starts[owner]
+        valid = window < (sizes - length)[owner]
+        owner, window, firsts = owner[valid], window[valid], firsts[valid]
+        at = _changes(owner, firsts)
+        mine, begin, first = owner[at], window[at], firsts[at]
+        upto = window[np.append(at[1:], owner.size) - 1] + 1
+        earlier = first < high[mine]
+        mine, begin, upto, first = mine[earlier], begin[earlier], upto[earlier], first[earlier]
+        return pd.DataFrame({"fid": fids[mine], "from": begin, "upto": upto, "first": first})
 
     return run
 
@@ -382,6 +392,17 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _binary_batch(list(zip(names, kinds, strict=True)), rows)
 
 
+def _listed(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """Texts whose doc_id is among the places, if a list of those is small enough to send; else all.
+
+    The join that follows takes the same rows either way; a short list spares the shuffle the rest.
+    """
+    ids = places.select("_doc").distinct()
+    if ids.limit(LISTED_DOCS + 1).count() > LISTED_DOCS:
+        return texts
+    return texts.join(F.broadcast(ids.withColumnRenamed("_doc", "_listed")), F.col("doc_id") == F.col("_listed"), "left_semi")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES, fragment_bytes: int = FRAGMENT_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row.
 
@@ -403,29 +424,47 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BU
     )
     firsts = facts.groupBy("sha", "key", "n_bytes").agg(F.min("doc_id").alias("first"))
     total = firsts.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = max(16, -(-total // bucket_bytes) * 4)
+    buckets = max(16, -(-total // bucket_bytes))
+    # Enough of the key to tell apart texts that share a doc_id.
+    short_key = F.col("key").bitwiseAND(F.lit(0x7FFF)).cast("smallint")
     with small_batches(docs.sparkSession, "16m"):
         searched = keyed.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
         lists = searched.select("key", "text").mapInArrow(_anchor_lists(buckets, length), ANCHOR_LISTS)
         found = lists.groupBy("bucket").applyInPandas(_repeated_anchors, "key bigint, anchors binary")
         repeated = found.groupBy("key").agg(F.collect_list("anchors").alias("anchors"))
-        places = firsts.where("first is not null").join(repeated, "key").select(F.col("first").alias("_doc"), F.col("key").alias("_key"), "anchors")
-        held = searched.join(places, (searched["doc_id"] == places["_doc"]) & (searched["key"] == places["_key"]))
-        pieces = held.select("doc_id", "key", "text", "anchors").mapInArrow(_fragments(length), PIECES)
-        pieces = staged(pieces.withColumn("fid", F.unhex(F.substring(F.sha2("fragment", 256), 1, 32))), "repeat-pieces")
+        places = staged(
+            firsts.where("first is not null").join(repeated, "key").select(F.col("first").alias("_doc"), F.col("key").alias("_key"), "anchors"),
+            "repeat-anchors",
+        )
+        held = _listed(searched, places)
+        held = held.join(places, (held["doc_id"] == places["_doc"]) & (held["key"] == places["_key"]))
+        held = held.select("doc_id", short_key.alias("key"), "text", "anchors")
+        pieces = held.mapInArrow(_fragments(buckets, length), PIECES).withColumn("fid", F.xxhash64("fragment", "anchor"))
+        pieces = staged(pieces, "repeat-pieces", compression="zstd")
         bulk = pieces.agg(F.sum(F.octet_length("fragment").cast("bigint"))).first()[0] or 0
         parts = max(1, -(-bulk // fragment_bytes))
-        dealt = pieces.select("fid", "fragment", "first_doc", "last_doc", F.pmod("anchor", F.lit(parts)).alias("part"))
-        earlier = dealt.groupBy("part").applyInPandas(_first_docs(length), "fid binary, firsts binary")
-        where = pieces.select("fid", "docs", "keys", "begins").join(earlier, "fid").drop("fid")
-        ranges = where.mapInArrow(_covered(length), "doc_id bigint, key bigint, start bigint, stop bigint")
-        ranges = staged(ranges.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")), "repeat-ranges")
-        spans = ranges.withColumnsRenamed({"doc_id": "_doc", "key": "_key"})
-        hit = searched.join(spans, (searched["doc_id"] == spans["_doc"]) & (searched["key"] == spans["_key"]))
-        cut = hit.select("doc_id", "key", "text", "ranges").mapInArrow(
+        dealt = pieces.select(
+            "fid",
+            "fragment",
+            F.array_min("docs").alias("first_doc"),
+            F.array_max("docs").alias("last_doc"),
+            F.pmod(F.xxhash64("anchor"), F.lit(parts)).cast("int").alias("part"),
+        )
+        earlier = dealt.groupBy("part").applyInPandas(_first_docs(length), "fid bigint, from int, upto int, first bigint")
+        stands = pieces.select("fid", F.inline(F.arrays_zip("docs", "keys", "begins")))
+        hit = stands.join(earlier, "fid").where(F.col("first") < F.col("docs"))
+        span = F.struct(
+            (F.col("begins") + F.col("from")).cast("bigint").alias("start"),
+            (F.col("begins") + F.col("upto") + (length - 1)).cast("bigint").alias("stop"),
+        )
+        ranges = hit.groupBy(F.col("docs").alias("_doc"), F.col("keys").alias("_key")).agg(F.collect_list(span).alias("ranges"))
+        ranges = staged(ranges, "repeat-ranges")
+        texts = _listed(searched, ranges).withColumn("short", short_key)
+        cut = texts.join(ranges, (texts["doc_id"] == ranges["_doc"]) & (texts["short"] == ranges["_key"]))
+        cut = cut.select("doc_id", "key", "text", "ranges").mapInArrow(
             _cut_out, "doc_id bigint, key bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
         )
-        cut = staged(cut.dropDuplicates(["doc_id", "key"]), "repeat-cut").withColumnsRenamed({"doc_id": "_doc", "key": "_key"})
+        cut = staged(cut, "repeat-cut").dropDuplicates(["doc_id", "key"]).withColumnsRenamed({"doc_id": "_doc", "key": "_key"})
     owners = firsts.select(F.col("sha").alias("_sha"), "first")
     row = facts.join(owners, facts["sha"] == owners["_sha"]).join(
         cut, (facts["doc_id"] == cut["_doc"]) & (facts["key"] == cut["_key"]), "left"

@@ -2,23 +2,24 @@ from pyspark.sql import functions as F
 
 from rollcall.llm import mixing
 
-FLAT = {"domain": F.lit(1), "lang": F.lit(1), "source": F.lit(1)}
+def flat():
+    return {"domain": F.lit(1), "lang": F.lit(1), "source": F.lit(1)}
 
 
 def test_shortages_go_to_siblings_before_ancestors(spark):
     leaves = [("a", "en", "s1", 10), ("a", "en", "s2", 1000), ("a", "de", "s1", 1000), ("b", "en", "s1", 1000), ("c", None, None, 0)]
     frame = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens bigint")
-    found = {tuple(r)[:3]: r["budget"] for r in mixing.leaf_budgets(frame, FLAT, F.lit(800), 1).collect()}
+    found = {tuple(r)[:3]: r["budget"] for r in mixing.leaf_budgets(frame, flat(), F.lit(800), 1).collect()}
     # a and b get 400 each; a's languages 200 each; s1 has 10, so its sibling takes the other 190.
     assert found == {("a", "en", "s1"): 10, ("a", "en", "s2"): 190, ("a", "de", "s1"): 200, ("b", "en", "s1"): 400}
-    every = mixing.leaf_budgets(frame, FLAT, F.lit(10**9), 1).agg(F.sum("budget")).first()[0]
+    every = mixing.leaf_budgets(frame, flat(), F.lit(10**9), 1).agg(F.sum("budget")).first()[0]
     assert every == 3010
 
 
 def test_prefixes_fit_and_epochs_repeat(docs):
     rows = [(i, "w " * (1 + i % 5), "en", "hot") for i in range(300)] + [(1000 + i, "v " * 4, "de", "cold") for i in range(10)]
     rows += [(None, "n n", None, None), (2000, None, "en", "hot"), (2001, "", "de", "cold"), (5, "w", "en", "hot"), (5, "w", "en", "hot")]
-    chosen = mixing.mix(docs(rows, tokens=1, budget=2, key=3), F.lit("d"), FLAT, F.lit(400), "seed", max_epochs=2, buckets=16)
+    chosen = mixing.mix(docs(rows, tokens=1, budget=2, key=3), F.lit("d"), flat(), F.lit(400), "seed", max_epochs=2, buckets=16)
     found = chosen.collect()
     spent = {}
     for r in found:
@@ -28,6 +29,6 @@ def test_prefixes_fit_and_epochs_repeat(docs):
     assert max(r["_mix_epoch"] for r in found if r["source"] == "cold") == 2
     assert chosen.columns[: len(docs(rows).columns)] == docs(rows).columns
     for buckets in (2, 4096):
-        again = mixing.mix(docs(rows[::-1], tokens=1, budget=2, key=3), F.lit("d"), FLAT, F.lit(400), "seed", 2, buckets)
+        again = mixing.mix(docs(rows[::-1], tokens=1, budget=2, key=3), F.lit("d"), flat(), F.lit(400), "seed", 2, buckets)
         assert sorted(map(str, again.collect())) == sorted(map(str, found))
-    assert mixing.mix(docs([]), F.lit("d"), FLAT, F.lit(400), "seed").count() == 0
+    assert mixing.mix(docs([]), F.lit("d"), flat(), F.lit(400), "seed").count() == 0

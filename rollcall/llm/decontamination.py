@@ -192,4 +192,5 @@ def leaked_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows with a null doc_id stay."""
     leaked = leaked_windows(docs, benchmark).select(F.col("doc_id").alias("_leaked")).where("_leaked is not null").distinct()
+    leaked = broadcast_if_small(staged(leaked, "leak-documents"))
     return docs.join(leaked, docs["doc_id"] == leaked["_leaked"], "left_anti")

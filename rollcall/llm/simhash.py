@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import small_batches, staged, text_or_empty
+from rollcall.llm.common import broadcast_if_small, small_batches, staged, text_or_empty
 from rollcall.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -167,8 +167,12 @@ def first_of_each_group(docs: DataFrame) -> DataFrame:
     named and stay.  Where the least doc_id itself is on several rows, one of them stays.
     """
     groups = near_duplicate_groups(docs)
-    dropped = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_dropped")).distinct()
-    kept = docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
-    return kept.where(F.col("doc_id").isNull()).unionAll(
-        kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    )
+    dropped = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+    dropped = broadcast_if_small(staged(dropped, "simhash-dropped"))
+    kept = docs.join(dropped, docs["doc_id"] == dropped["_id"], "left_anti")
+    # Only rows whose doc_id is on several are gathered by it; texts of the others stay in place.
+    shared = groups.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1")
+    shared = broadcast_if_small(staged(shared.select("_id"), "simhash-shared"))
+    alone = kept.join(shared, kept["doc_id"] == shared["_id"], "left_anti")
+    together = kept.join(shared, kept["doc_id"] == shared["_id"], "left_semi")
+    return alone.unionAll(together.dropDuplicates(["doc_id"]))

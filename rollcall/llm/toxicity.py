@@ -24,6 +24,7 @@ from rollcall.llm.common import small_batches, staged, text_or_empty
 DECAY = 0.6
 REACH = 5
 WINDOW = 8
+SHARED = 5
 LANDMARKS = 64
 #: Similarities below it count as none, so that most words need no more than a bound.
 FLOOR = 0.3
@@ -32,8 +33,9 @@ TRAIN_ROWS = 2000
 TRAIN_BYTES = 16_384
 HELD_OUT_PART = 5
 SCORED_WORDS = 65_536
+SCORED_CHARS = 2 << 20
 
-_SENTENCE = re.compile(r"[.!?\n]+")
+_SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 _SPACE = re.compile(r"\s+")
 _LETTERS = 64
@@ -45,7 +47,7 @@ _TRIPLES = {
 
 
 def sentence_units(sentence: str) -> list[str]:
-    """The words of a sentence, letters alone; a row of single letters makes one word."""
+    """The words of a sentence, letters alone, between marks; a row of single letters makes one word."""
     units, letters = [], ""
     for token in sentence.split():
         word = token if token.isalpha() else _NOT_LETTER.sub("", token)
@@ -53,12 +55,12 @@ def sentence_units(sentence: str) -> list[str]:
             letters += word
             continue
         if len(letters) > 2:
-            units.append(letters)
+            units.append(f"^{letters}$")
         letters = ""
         if len(word) > 2:
-            units.append(word)
+            units.append(f"^{word}$")
     if len(letters) > 2:
-        units.append(letters)
+        units.append(f"^{letters}$")
     return units
 
 
@@ -85,7 +87,7 @@ class Kernel:
             for i, j, k in _TRIPLES[len(landmark)]:
                 self.table[self._feature(codes, i, j, k), column] += DECAY ** (k - i + 1)
         self.norms = np.array([self.self_norm(len(s)) for s in landmarks], np.float32)
-        self.peak = (self.table / self.norms).max(axis=1) if landmarks else self.table[:, 0]
+        self.peak = (self.table / self.norms).max(axis=1) if landmarks else np.zeros(len(self.table), np.float32)
 
     @staticmethod
     def _feature(codes, i, j, k):
@@ -186,9 +188,12 @@ def _landmarks(texts: list[str], labels: np.ndarray, count: int) -> list[str]:
         if k >= 3 and p > q:
             scored.append(((p - q) / ((p + q) / 2 + 0.01) ** 0.5, len(gram), gram))
     chosen: list[str] = []
+    taken: set[str] = set()
     for _, _, gram in sorted(scored, reverse=True):
-        # A gram that shares all but its ends with a chosen one is nearly the same landmark.
-        if not any(gram[1:-1] in c or c[1:-1] in gram for c in chosen):
+        # A gram with a long part of a chosen one is nearly the same landmark.
+        parts = {gram[i : i + SHARED] for i in range(max(1, len(gram) - SHARED + 1))}
+        if not parts & taken and not any(gram in c for c in chosen):
+            taken |= {gram[i : i + n] for n in (4, SHARED) for i in range(len(gram) - n + 1)}
             chosen.append(gram)
         if len(chosen) == count:
             break
@@ -290,12 +295,18 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_
     """
     marked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(~is_held_out(F.col("doc_id"))).withColumnRenamed("doc_id", "_labelled")
-    known = docs.select("doc_id", text_or_empty().alias("text")).where(F.octet_length("text").between(1, train_bytes))
-    rows = known.join(marked, known["doc_id"] == marked["_labelled"]).select("doc_id", "text", "toxic")
-    order = [F.xxhash64("doc_id", F.lit("toxicity")), F.col("doc_id"), F.col("text")]
-    sample = []
-    for label in (0, 1):
-        sample += rows.where(F.col("toxic") == label).orderBy(*order).limit(train_rows).collect()
+    known = docs.select("doc_id", text_or_empty().alias("text"))
+    sizes = known.select("doc_id", F.octet_length("text").alias("size")).where(F.col("size").between(1, train_bytes))
+    # Ids are chosen without their texts; only the chosen rows' texts are read and sent.
+    rows = sizes.join(marked, sizes["doc_id"] == marked["_labelled"]).select("doc_id", "toxic").distinct()
+    order = [F.xxhash64("doc_id", F.lit("toxicity")), F.col("doc_id")]
+    chosen = [rows.where(F.col("toxic") == label).orderBy(*order).limit(train_rows) for label in (0, 1)]
+    chosen = staged(chosen[0].unionAll(chosen[1]), "toxicity-sample").withColumnRenamed("doc_id", "_chosen")
+    picked = known.where(F.octet_length("text").between(1, train_bytes)).join(
+        F.broadcast(chosen), F.col("doc_id") == F.col("_chosen")
+    )
+    sample = picked.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sample = sorted(sample.collect(), key=lambda r: r["doc_id"])
     return train([r["text"] for r in sample], [int(r["toxic"]) for r in sample])
 
 
@@ -306,7 +317,15 @@ def with_scores(docs: DataFrame, model: ToxicityModel, name: str = "toxicity") -
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         kernel = Kernel(list(model.landmarks))
         for batch in batches:
-            yield pd.Series(score_texts(list(batch), model, kernel))
+            # A batch can be large; the lists of its words are made for a part of it at a time.
+            if batch.empty:
+                yield pd.Series([], dtype="float64")
+                continue
+            part = batch.str.len().cumsum() // SCORED_CHARS
+            yield pd.concat(
+                [pd.Series(score_texts(list(texts), model, kernel)) for _, texts in batch.groupby(part, sort=True)],
+                ignore_index=True,
+            )
 
     return docs.withColumn(name, scores(text_or_empty()))
 

@@ -24,7 +24,7 @@ LENGTH = 50
 #: Bytes hashed together: a run of 16 and one of 4.
 PIECE, LONG, SHORT = 20, 16, 4
 #: Text bytes an anchor bucket, and fragment bytes a transform, are made for.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 32 << 20
 FRAGMENT_BYTES = 1 << 20
 #: Bytes of text hashed at once; longer texts are taken in overlapping stretches.
 STRETCH = 1 << 20
@@ -427,7 +427,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BU
     buckets = max(16, -(-total // bucket_bytes))
     # Enough of the key to tell apart texts that share a doc_id.
     short_key = F.col("key").bitwiseAND(F.lit(0x7FFF)).cast("smallint")
-    with small_batches(docs.sparkSession, "16m"):
+    with small_batches(docs.sparkSession, "6m"):
         searched = keyed.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
         lists = searched.select("key", "text").mapInArrow(_anchor_lists(buckets, length), ANCHOR_LISTS)
         found = lists.groupBy("bucket").applyInPandas(_repeated_anchors, "key bigint, anchors binary")

@@ -1,3 +1,6 @@
+import textwrap
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from rollcall.llm import licenses as L
@@ -43,6 +46,48 @@ def test_the_telling_terms_lose_no_line():
         assert (fitted.best(line) is not None) <= bool(fitted.scan(line))
 
 
+FULL = Path(L.__file__).parent / "license_texts"
+COPYRIGHT = "Copyright (c) 2024 Some Widget Makers International Inc."
+
+
+def wrapped(text, width, mark=""):
+    return "\n".join(f"{mark}{line}" for line in textwrap.wrap(" ".join(text.split()), width))
+
+
+def test_real_licence_files_and_wrapped_notices(spark):
+    filler = "".join(f"some line {i} of prose about {i * 7} other things\n" for i in range(40))
+    mit, bsd = (FULL / "MIT.txt").read_text(), (FULL / "BSD-3-Clause.txt").read_text()
+    gpl, apache = (FULL / "GPL-3.0.txt").read_text(), (FULL / "Apache-2.0.txt").read_text()
+    notice = gpl[gpl.index("    This program is free software") : gpl.index("Also add information")]
+    licensed = apache[apache.index("   Licensed under the Apache License") :]
+    cases = {
+        "MIT": [mit, wrapped(mit, 100), f"{COPYRIGHT}\n{mit[mit.index('Permission') :]}", filler + wrapped(mit, 60, "# ") + "\n" + filler],
+        "BSD-3-Clause": [bsd, bsd[: bsd.index("3. Neither")], filler + wrapped(bsd, 50, " * ") + "\n" + filler],
+        "GPL-3.0": [gpl, wrapped(gpl, 120), wrapped(notice, 60, "// ") + "\n" + filler, f"{COPYRIGHT}\n" + notice.split("\n\n")[0] + "\n" + filler],
+        "Apache-2.0": [apache, wrapped(licensed, 70, "# ") + "\n" + filler, f"{COPYRIGHT}\n{licensed}{filler}", filler + apache + filler],
+        "Proprietary": [f"{COPYRIGHT} All rights reserved.", f"{COPYRIGHT}\nAll rights reserved.\n" + filler, "Copyright (c) 2024 Acme. All rights reserved.\n" + filler],
+        "LGPL-3.0": [notice.replace("GNU General", "GNU Lesser General") + filler],
+        "GPL-2.0": [notice.replace("version 3", "version 2") + filler],
+        None: [filler, "the permission to copy this program is in the hands of its holders\n" + filler],
+    }
+    rows = [(name, text) for name, texts in cases.items() for text in texts]
+    bulk = [f"{filler} the work is of version {i}, and you may use it as you see fit under the sun" for i in range(60)]
+    files = [(i, f"{i}/x.txt", text) for i, text in enumerate([t for _, t in rows] + bulk)]
+    found = L.file_licenses(spark.createDataFrame(files, "doc_id bigint, path string, text string"), F.lit(True)).collect()
+    got = {r["doc_id"]: r["license"] for r in found}
+    assert [got[i] for i in range(len(rows))] == [name for name, _ in rows]
+    assert not any(got[i] for i in range(len(rows), len(files)))
+
+
+def test_a_run_has_the_similarity_of_its_joined_lines():
+    counts = {t: 3 + i % 50 for i, t in enumerate(sorted({t for texts in L.TEMPLATES.values() for x in texts for t in L.terms(x)}))}
+    fitted = L.Templates(L.TEMPLATES, counts, 1000, 0.75)
+    lines = [*(f"word{i} and the other" for i in range(9)), *wrapped(L.TEMPLATES["Apache-2.0"][2], 50, "# ").split("\n"), "more of the same"]
+    name, similarity, line, _ = max((m for m in fitted.scan("\n".join(lines)) if m[3] == "header"), key=lambda m: m[1])
+    assert (name, line) == ("Apache-2.0", 9)
+    assert abs(similarity - fitted.best("\n".join(lines[9:-1]))[0]) < 1e-8
+
+
 def test_an_empty_table(spark):
     files = spark.createDataFrame([], "doc_id bigint, path string, text string")
     assert L.file_licenses(files, F.lit(True)).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.config import scratch_dir
 from rollcall.llm.common import small_batches, staged, text_or_empty
 from rollcall.llm.feistel import permute
 
@@ -61,7 +63,7 @@ def encode_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     with small_batches(docs.sparkSession):
         return staged(
-            texts.mapInArrow(_encode(ranks), "doc_id bigint, part int, start bigint, n_tokens bigint, tokens binary"), "token-ids"
+            texts.mapInArrow(_encode(ranks), "doc_id bigint, part int, start bigint, n_tokens bigint, tokens binary"), "token-ids", "zstd"
         )
 
 
@@ -117,6 +119,9 @@ def _join_pieces(length: int):
     return run
 
 
+RECORD = "shard int, slot bigint, byte_offset bigint, sequence bigint, n_tokens int, doc_ids array<bigint>, tokens binary"
+
+
 def training_records(
     docs: DataFrame,
     key: str,
@@ -124,20 +129,23 @@ def training_records(
     sequence_tokens: int = SEQUENCE_TOKENS,
     shard_sequences: int = SHARD_SEQUENCES,
 ) -> DataFrame:
-    """(shard, slot, byte_offset, sequence, n_tokens, doc_ids, tokens) for each sequence.
+    """(shard, slot, byte_offset, sequence, n_tokens, doc_ids, tokens) for each sequence, read back from shard files.
 
     The ids of all texts, an end mark after each, make one stream in the order the table is
     read, cut every ``sequence_tokens``; the last sequence is padded with end marks.  The keyed
     permutation of sequence numbers gives each its slot in training order; a shard holds
     ``shard_sequences`` slots in a row, and a record lies at slot within shard times the stride.
-    Each shard is one task's sorted rows.  Every column but doc_id and text is left behind; a
-    null doc_id is a null in doc_ids; an empty table gives no sequences.
+    Each shard is one task's sorted rows and one file in the shared scratch folder; the rows
+    returned are those of the files.  Every column but doc_id and text is left behind; a null
+    doc_id is a null in doc_ids; an empty table gives no sequences.
 
     Texts are encoded once into a staged table; only cut ids are shuffled, and once.
     """
     encoded = encode_documents(docs, tokenizer)
     sizes = encoded.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
+    if not total:
+        return docs.sparkSession.createDataFrame([], RECORD)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     placed = encoded.join(F.broadcast(bases), "part").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "tokens")
@@ -149,43 +157,76 @@ def training_records(
     records = dealt.select("sequence", "slot", "doc_id", "ids").mapInArrow(
         _join_pieces(sequence_tokens), "sequence bigint, slot bigint, n_tokens int, doc_ids array<bigint>, tokens binary"
     )
-    return records.select(
-        F.floor(F.col("slot") / shard_sequences).cast("int").alias("shard"),
-        "slot",
-        (F.col("slot") % shard_sequences * (sequence_tokens * TOKEN_BYTES)).alias("byte_offset"),
-        "sequence",
-        "n_tokens",
-        "doc_ids",
-        "tokens",
-    )
+    path = scratch_dir(docs.sparkSession, "training-shards")
+    _write_dealt(records.withColumn("shard", F.floor(F.col("slot") / shard_sequences).cast("int")), path)
+    return read_shards(docs.sparkSession, path, sequence_tokens, shard_sequences)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The file of each shard, whose records arrive in slot order: their bytes, then the index and its size."""
+    now, held, index = None, [], []
+
+    def close() -> pa.RecordBatch:
+        about = json.dumps(index, separators=(",", ":")).encode()
+        content = b"".join([*held, about, b"%016x" % len(about)])
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([content], pa.binary())], ["shard", "content"])
+
+    for batch in batches:
+        names = ("shard", "tokens", "sequence", "n_tokens", "doc_ids")
+        for shard, tokens, *about in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            if now is not None and now != shard:
+                yield close()
+                held, index = [], []
+            now = shard
+            held.append(tokens)
+            index.append(about)
+    if now is not None:
+        yield close()
+
+
+def _write_dealt(records: DataFrame, path: str) -> None:
+    files = records.select("shard", "tokens", "sequence", "n_tokens", "doc_ids").mapInArrow(_pack, "shard int, content binary")
+    with small_batches(records.sparkSession):
+        files.select("shard", F.col("content").cast("string").alias("value")).write.partitionBy("shard").text(path)
 
 
 def write_shards(records: DataFrame, path: str) -> None:
-    """One file for each shard: records in slot order, each ended by a line feed, so of one stride.
+    """One file for each shard: records in slot order, one after the other, so of one stride, and their index.
 
-    Spark's text writer puts out the bytes of a record as they are, on any store, and commits
-    a shard when its task has succeeded.  Record k of a shard begins at k x (bytes + 1).
+    Record k of a shard begins at k x bytes of a record.  Behind the last one are, as JSON, the
+    sequence, size and doc_ids of each, and the size of that in 16 digits.  Spark's text writer
+    puts out the bytes as they are and a line feed, on any store, and commits a shard when its
+    task has succeeded.
     """
-    (
-        records.repartition("shard")
-        .sortWithinPartitions("shard", "slot")
-        .select("shard", F.col("tokens").cast("string").alias("value"))
-        .write.partitionBy("shard")
-        .text(path)
-    )
+    _write_dealt(records.repartition("shard").sortWithinPartitions("slot"), path)
+
+
+def _unpack(stride: int, shard_sequences: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["shard", "slot", "byte_offset", "sequence", "n_tokens", "doc_ids", "tokens"]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+        for batch in batches:
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
+                content = content.as_py()
+                # The text writer's line feed is last.
+                size = int(content[-17:-1], 16)
+                end = len(content) - 17 - size
+                about = json.loads(content[end : end + size])
+                if end != len(about) * stride:
+                    raise ValueError(f"shard {shard}: {end} bytes of records, {len(about)} of {stride} expected")
+                for low in range(0, len(about), 1024):
+                    part = range(low, min(low + 1024, len(about)))
+                    rows = [(shard, shard * shard_sequences + k, k * stride, *about[k], content[k * stride : (k + 1) * stride]) for k in part]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    return run
 
 
 def read_shards(spark, path: str, sequence_tokens: int = SEQUENCE_TOKENS, shard_sequences: int = SHARD_SEQUENCES, from_slot: int = 0) -> DataFrame:
-    """(slot, tokens) of the written records from ``from_slot`` on: a run resumes where it stopped.
+    """The written records from ``from_slot`` on, as ``training_records`` has them: a run resumes where it stopped.
 
     Whole shards before the slot are pruned by folder.
     """
-    stride = sequence_tokens * TOKEN_BYTES + 1
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    files = files.where(F.col("shard") >= from_slot // shard_sequences)
-    numbers = F.sequence(F.lit(0), (F.length("content") / stride).cast("int") - 1)
-    each = files.select("shard", "content", F.explode(numbers).alias("k"))
-    slot = (F.col("shard").cast("bigint") * shard_sequences + F.col("k")).alias("slot")
-    return each.select(slot, F.substring("content", F.col("k") * stride + 1, F.lit(stride - 1)).alias("tokens")).where(
-        F.col("slot") >= from_slot
-    )
+    files = files.where(F.col("shard") >= from_slot // shard_sequences).select(F.col("shard").cast("int").alias("shard"), "content")
+    return files.mapInArrow(_unpack(sequence_tokens * TOKEN_BYTES, shard_sequences), RECORD).where(F.col("slot") >= from_slot)

@@ -34,5 +34,19 @@ def test_records_hold_every_text_in_one_stream(spark, docs, tmp_path):
     assert sorted(r["slot"] for r in resumed.collect()) == list(range(13, len(rows)))
 
 
+def test_rows_come_from_files_and_lie_at_their_offsets(spark, docs, monkeypatch):
+    paths = []
+    make = K.scratch_dir
+    monkeypatch.setattr(K, "scratch_dir", lambda spark, name: paths.append(make(spark, name)) or paths[-1])
+    rows = K.training_records(docs([(i, f"text number {i}\n é " * 9) for i in range(200)]), "key", sequence_tokens=64, shard_sequences=8).collect()
+    assert len(rows) > 16 and len(paths) == 1
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(paths[0]).collect()
+    content = {int(r["shard"]): bytes(r["content"]) for r in files}
+    assert len(files) == len(content) == len({r["shard"] for r in rows})
+    for r in rows:
+        assert content[r["shard"]][r["byte_offset"] : r["byte_offset"] + 128] == bytes(r["tokens"])
+        assert r["doc_ids"] and r["doc_ids"] == sorted(r["doc_ids"])
+
+
 def test_an_empty_table(docs):
     assert K.training_records(docs([]), "key").count() == 0

@@ -2,8 +2,9 @@
 
 The kernel of two strings counts the three-letter subsequences they share, each weighted by
 ``DECAY`` per letter it spans, so letters put in between weaken a match but do not end it.  A
-sentence is compared with a landmark by its best window of a word; single letters in a row
-are read as one word.  The similarities to all landmarks, whitened by the landmarks' own kernel
+word that holds a landmark's letters in order, with up to one other between any two, is nearly as
+similar as the landmark itself.  A sentence is compared with a landmark by its best window of a
+word; tokens of one or two letters in a row are read as one word.  The similarities to all landmarks, whitened by the landmarks' own kernel
 matrix, are the sentence's features for a linear support vector machine.
 """
 
@@ -26,6 +27,9 @@ REACH = 5
 WINDOW = 8
 SHARED = 5
 LANDMARKS = 64
+#: What each letter put in leaves of the similarity, where a word holds all of a landmark's.
+INSERTED = 0.95
+KNOWN_WORDS = 200_000
 #: Similarities below it count as none, so that most words need no more than a bound.
 FLOOR = 0.3
 #: Bounds of the labelled sample the classifier is fitted on: rows of each label, bytes of a text.
@@ -47,20 +51,29 @@ _TRIPLES = {
 
 
 def sentence_units(sentence: str) -> list[str]:
-    """The words of a sentence, letters alone, between marks; a row of single letters makes one word."""
-    units, letters = [], ""
+    """The words of a sentence, letters alone, between marks; rows of single letters, and of one or two, make one word each."""
+    units, letters, short = [], "", ""
     for token in sentence.split():
         word = token if token.isalpha() else _NOT_LETTER.sub("", token)
         if len(word) == 1:
             letters += word
+            short += word
             continue
         if len(letters) > 2:
             units.append(f"^{letters}$")
+        if len(word) == 2:
+            short += word
+        else:
+            if len(short) > max(2, len(letters)):
+                units.append(f"^{short}$")
+            short = ""
+            if word:
+                units.append(f"^{word}$")
         letters = ""
-        if len(word) > 2:
-            units.append(f"^{word}$")
     if len(letters) > 2:
         units.append(f"^{letters}$")
+    if len(short) > max(2, len(letters)):
+        units.append(f"^{short}$")
     return units
 
 
@@ -76,6 +89,11 @@ def _codes(strings: list[str]) -> np.ndarray:
     return np.where(points == 0, -1, codes)
 
 
+def _gapped(landmark: str) -> str:
+    letters = landmark.strip("^$")
+    return ("\\^" if landmark[0] == "^" else "") + "[^$]?".join(map(re.escape, letters)) + ("\\$" if landmark[-1] == "$" else "")
+
+
 class Kernel:
     """Similarities of short strings to a fixed list of landmarks."""
 
@@ -87,6 +105,10 @@ class Kernel:
             for i, j, k in _TRIPLES[len(landmark)]:
                 self.table[self._feature(codes, i, j, k), column] += DECAY ** (k - i + 1)
         self.norms = np.array([self.self_norm(len(s)) for s in landmarks], np.float32)
+        #: Landmarks with at most one letter put in anywhere between two of theirs.
+        self.gapped = [(k, re.compile(_gapped(s)), sum(c not in "^$" for c in s)) for k, s in enumerate(landmarks) if len(s.strip("^$")) >= 4]
+        self.any_gapped = re.compile("|".join(_gapped(landmarks[k]) for k, _, _ in self.gapped)) if self.gapped else None
+        self.known: dict[str, tuple[tuple[int, float], ...]] = {}
         self.peak = (self.table / self.norms).max(axis=1) if landmarks else np.zeros(len(self.table), np.float32)
 
     @staticmethod
@@ -98,6 +120,19 @@ class Kernel:
         """The norm of a string whose subsequences all differ."""
         return max(sum(DECAY ** (2 * (k - i + 1)) for i, _, k in _TRIPLES[size]), 1e-9) ** 0.5
 
+    def interleaved(self, word: str) -> tuple[tuple[int, float], ...]:
+        """Landmarks the word holds with letters put in, and the similarity that leaves."""
+        found = self.known.get(word)
+        if found is None:
+            found = ()
+            if self.any_gapped and len(word) > 6 and self.any_gapped.search(word):
+                hits = [(k, size, m) for k, pattern, size in self.gapped if (m := pattern.search(word))]
+                found = tuple((k, INSERTED ** (len(m[0].strip("^$")) - size)) for k, size, m in hits)
+            if len(self.known) >= KNOWN_WORDS:
+                self.known.clear()
+            self.known[word] = found
+        return found
+
     def similarities(self, strings: list[str]) -> np.ndarray:
         """A row for each string, a column for each landmark, 0 to about 1."""
         out = np.zeros((len(strings), len(self.landmarks)), np.float32)
@@ -161,6 +196,10 @@ def _sentence_features(texts: list[str], kernel: Kernel) -> tuple[np.ndarray, np
     ends = np.append(starts[1:], which.size)
     for k in np.flatnonzero(word_tells).tolist():
         by_word[k] = near[which[starts[k] : ends[k]]].max(axis=0)
+    for k, word in enumerate(distinct):
+        for column, similarity in kernel.interleaved(word):
+            by_word[k, column] = max(by_word[k, column], similarity)
+            word_tells[k] = True
     out = np.zeros((len(owner), len(kernel.landmarks)), np.float32)
     hits = np.flatnonzero(word_tells[codes])
     of = np.array(sentence_of)[hits]

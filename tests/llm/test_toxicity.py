@@ -41,6 +41,30 @@ def test_held_out_accuracy_and_gapped_insults():
     assert right(model, corpus(150, 5, inserted)) > 0.85
 
 
+def recall(model, change):
+    rows = [r for r in corpus(300, 6, change) if r[2]]
+    return right(model, rows), right(model, [r for r in corpus(300, 8) if not r[2]])
+
+
+def test_every_number_of_inserted_letters_and_short_runs():
+    rows = corpus(300, 1)
+    model = T.train([r[1] for r in rows], [r[2] for r in rows])
+    for count in range(1, 8):
+
+        def put(word, rng, letter, count=count):
+            gaps = set(rng.sample(range(1, len(word)), min(count, len(word) - 1)))
+            return "".join((letter(rng) if i in gaps else "") + c for i, c in enumerate(word))
+
+        for letter in (lambda rng: "x", lambda rng: rng.choice("abcdefghijklmnopqrstuvwxyz")):
+            found, clean = recall(model, lambda w, rng, f=letter, put=put: put(w, rng, f))
+            print(count, found, clean)
+            assert found > 0.95 and clean > 0.97
+    for change in (lambda w, rng: " ".join(w[i : i + 2] for i in range(0, len(w), 2)), lambda w, rng: f"{w[:2]} {w[2:4]} " + " ".join(w[4:])):
+        found, clean = recall(model, change)
+        print(found, clean)
+        assert found > 0.9 and clean > 0.97
+
+
 def test_the_kernel_counts_weighted_common_subsequences():
     kernel = T.Kernel(["abc"])
     same, gapped, other = kernel.similarities(["abc", "axbc", "xyz"])[:, 0]

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, decontamination, licenses, mixing, quality, sharding, simhash, substrings, tokens, toxicity
+from rollcall.llm import (
+    chat,
+    decontamination,
+    licenses,
+    mixing,
+    prefix_trie,
+    quality,
+    sharding,
+    simhash,
+    substrings,
+    tokens,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,3 +152,16 @@ def op7_license_scan(spark, sf):
     files = table(spark, sf, "documents").select("doc_id", document_path().alias("path"), "text")
     opens = F.exists("matches", lambda m: (m["kind"] == "file") | (m["line"] == 0))
     return licenses.file_licenses(files, opens)
+
+
+#: Conversations of one hundred share the opening of the first, up to fewer than so many turns.
+OPENING_OF, OPENING_TURNS = 100, 6
+
+
+@register
+def op11_conversation_trie(spark, sf):
+    turns = prefix_trie.conversation_turns(table(spark, sf, "conversations"))
+    conv = F.col("conv_id")
+    taken = F.crc32(conv.cast("string").cast("binary")) % OPENING_TURNS
+    shared = prefix_trie.with_shared_openings(turns, conv - conv % OPENING_OF, taken, OPENING_TURNS - 1)
+    return prefix_trie.prefix_nodes(prefix_trie.sequences(shared))

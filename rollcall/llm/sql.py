@@ -127,6 +127,19 @@ FEATURES = rf"""
   )"""
 
 
+#: CRC-32 in plain SQL: a table of 256 remainders, and a fold over a list of bytes.
+CRC_TABLE = """
+  crc_table AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, step: xor(v >> 1, (v & 1) * 3988292384)) ORDER BY i) AS crc
+    FROM range(256) AS t(i)
+  )"""
+
+
+def crc32(byte_list: str) -> str:
+    fold = "lambda v, b: xor(crc[CAST((xor(v, b) & 255) + 1 AS BIGINT)], v >> 8)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {byte_list}), {fold}), 4294967295::BIGINT)"
+
+
 ORACLES = {
     "op4_budgeted_chat": r"""
 WITH turns AS (
@@ -171,5 +184,40 @@ FROM failed f LEFT JOIN cuts c ON f.lang IS NOT DISTINCT FROM c.lang
     "op10_hierarchical_mix": f"""
 WITH {mix_ctes("rollcall-mix", 2, "documents")}
 SELECT doc_id, domain, lang, source, n_tokens, CAST(epoch AS INT) AS epoch FROM mixed
+""",
+    "op11_conversation_trie": f"""
+WITH {CRC_TABLE},
+  own AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+  ),
+  taken AS (
+    SELECT *, {crc32("list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} % 6 AS h
+    FROM own, crc_table
+  ),
+  rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(list_slice(b.turns, 1, h), []), list_slice(c.turns, h + 1, len(c.turns))) AS seq
+    FROM taken c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+  ),
+  nodes AS (
+    SELECT d AS depth, list_slice(seq, 1, d) AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+      sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(seq) = d), '')) AS ends_sha256
+    FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt) GROUP BY ALL
+  ),
+  linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id,
+      (n.n_convs - 1) * CASE WHEN n.depth = 0 THEN 0 ELSE length(n.prefix[n.depth].t) END AS saved
+    FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+  ),
+  children AS (
+    SELECT depth - 1 AS depth, list_slice(prefix, 1, depth - 1) AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+  ),
+  counted AS (SELECT l.*, coalesce(c.n, 0) AS n_children FROM linked l LEFT JOIN children c USING (depth, prefix)),
+  below AS (
+    SELECT d AS depth, list_slice(prefix, 1, d) AS prefix, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY ALL
+  )
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM counted JOIN below USING (depth, prefix)
 """,
 }

@@ -16,6 +16,8 @@ from rollcall.llm import (
     quality,
     sharding,
     simhash,
+    spelling,
+    spherical,
     substrings,
     tokens,
     toxicity,
@@ -165,3 +167,14 @@ def op11_conversation_trie(spark, sf):
     taken = F.crc32(conv.cast("string").cast("binary")) % OPENING_TURNS
     shared = prefix_trie.with_shared_openings(turns, conv - conv % OPENING_OF, taken, OPENING_TURNS - 1)
     return prefix_trie.prefix_nodes(prefix_trie.sequences(shared))
+
+
+@register
+def op12_spelling_variants(spark, sf):
+    words = spelling.with_typos(spelling.runs(table(spark, sf, "documents")))
+    return spelling.spelling_forms(spelling.word_counts(words))
+
+
+@register
+def op13_embedding_near_dedup(spark, sf):
+    return spherical.near_duplicate_vectors(table(spark, sf, "embeddings"))

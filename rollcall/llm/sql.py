@@ -219,5 +219,65 @@ WITH {CRC_TABLE},
   )
 SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
 FROM counted JOIN below USING (depth, prefix)
+""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE {CRC_TABLE},
+  runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]{{5,}}')) AS run FROM documents)
+    GROUP BY ALL
+  ),
+  coded AS (
+    SELECT run, n, {crc32("flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda x: "
+      "CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END))")} AS h
+    FROM runs, crc_table
+  ),
+  words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM coded)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+  ),
+  cuts AS (
+    SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+  ),
+  near AS (
+    SELECT a.word, b.word AS near FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT c.word, w.word FROM cuts c JOIN words w ON c.rest = w.word
+    UNION SELECT w.word, c.word FROM cuts c JOIN words w ON c.rest = w.word
+  ),
+  ranked AS (
+    SELECT a.word, a.near, w.n AS near_n, count(*) OVER (PARTITION BY a.word) AS n_near,
+      row_number() OVER (PARTITION BY a.word ORDER BY w.n DESC, a.near) AS place
+    FROM near a JOIN words w ON a.near = w.word
+  ),
+  formed AS (
+    SELECT w.word, w.n, CASE WHEN r.near_n >= 2 * w.n THEN r.near END AS form, CASE WHEN r.near_n >= 2 * w.n THEN r.near_n END AS form_n,
+      coalesce(r.n_near, 0) AS n_near
+    FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1
+  ),
+  ways AS (
+    SELECT word, word AS root, 0 AS steps FROM formed
+    UNION ALL SELECT y.word, f.form, y.steps + 1 FROM ways y JOIN formed f ON f.word = y.root WHERE f.form IS NOT NULL
+  )
+SELECT f.word, n, form, form_n, n_near, y.root
+FROM formed f JOIN (SELECT word, arg_max(root, steps) AS root FROM ways GROUP BY word) y USING (word)
+""",
+    "op13_embedding_near_dedup": """
+WITH RECURSIVE vectors AS (
+    SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  ),
+  usable AS (
+    SELECT * FROM vectors
+    WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(v, v) > 0
+  ),
+  links AS (
+    SELECT a.rid AS a, b.rid AS b FROM usable a JOIN usable b ON a.rid <> b.rid AND len(a.v) = len(b.v)
+    WHERE list_inner_product(a.v, b.v) >= 0.95 * sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))
+  ),
+  reach AS (SELECT rid AS a, rid AS b FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+  least AS (SELECT r.a, min(v.vec_id) AS component_id FROM reach r JOIN vectors v ON r.b = v.rid GROUP BY r.a)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.rid) AS n_links, component_id, v.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM vectors v JOIN least l ON l.a = v.rid
 """,
 }

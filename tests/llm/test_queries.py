@@ -14,7 +14,7 @@ import corpus_pipeline  # noqa: E402
 from rollcall.llm.sql import ORACLES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
-NAMES = [f"op{n}_" for n in range(1, 11)]
+NAMES = [f"op{n}_" for n in range(1, 14)]
 
 
 def test_every_operator_is_registered():

@@ -40,6 +40,8 @@ TRIED = 128
 BLOCK_ROWS = 2_048
 #: Rows of the comparison done at once.
 STRIP = 512
+#: Members up to which filters are first tried together for any near pair.
+SMALL_ROWS = 64
 
 
 class ProductCode:
@@ -183,34 +185,65 @@ def _compare(units, sides, weights, lists, own_filter, min_cosine: float):
     return counted @ weights, _groups(near)
 
 
+def _worth_comparing(units: np.ndarray, starts: np.ndarray, min_cosine: float) -> np.ndarray:
+    """For each run of rows from ``starts``, whether any two of it are near; large runs count as such.
+
+    All small runs are tried at once: every row with the row k further on, for k below their size.
+    """
+    sizes = np.diff(np.append(starts, len(units)))
+    worth = sizes > SMALL_ROWS
+    run = np.repeat(np.arange(len(starts)), sizes)
+    end = np.repeat(starts + sizes, sizes)
+    rows = np.flatnonzero(~worth[run])
+    for step in range(1, SMALL_ROWS):
+        rows = rows[rows + step < end[rows]]
+        if not len(rows):
+            break
+        near = np.einsum("ij,ij->i", units[rows], units[rows + step]) >= min_cosine - 1e-9
+        worth[run[rows[near]]] = True
+    return worth
+
+
 def _compare_blocks(kind: str, min_cosine: float):
-    """Streams sorted blocks and compares each as it is complete."""
+    """Streams sorted blocks; compares each as it is complete, the small ones of a batch together."""
     size = np.dtype(kind).itemsize
 
-    def finish(rows: pd.DataFrame) -> pd.DataFrame:
-        dim = len(rows["packed"].iloc[0]) // size
-        ids, weights = rows["cid"].to_numpy(), rows["copies"].to_numpy()
-        units = _units(rows["packed"], dim, kind)
-        counts, roots = _compare(units, rows["side"].to_numpy(), weights, list(rows["filters"]), rows["filter"].iloc[0], min_cosine)
-        out = pd.DataFrame({"cid": ids, "links": counts, "root": ids[roots]})
-        return out[(out["links"] > 0) | (out["root"] != out["cid"])]
+    def finish(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        place = rows[["dim", "filter", "pair"]].to_numpy()
+        starts = np.concatenate(([0], np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1))
+        dims, sizes = place[starts, 0], np.diff(np.append(starts, len(rows)))
+        ids, copies, sides = (rows[c].to_numpy() for c in ("cid", "copies", "side"))
+        packed, lists = rows["packed"].to_numpy(), rows["filters"].to_numpy()
+        for dim in np.unique(dims):
+            chosen = np.flatnonzero(dims == dim)
+            at = np.concatenate([np.arange(starts[k], starts[k] + sizes[k]) for k in chosen])
+            units = _units(packed[at], int(dim) // size, kind)
+            inner = np.concatenate(([0], np.cumsum(sizes[chosen])[:-1]))
+            for k in np.flatnonzero(_worth_comparing(units, inner, min_cosine)):
+                own = slice(inner[k], inner[k] + sizes[chosen[k]])
+                of = at[own]
+                counts, roots = _compare(units[own], sides[of], copies[of], list(lists[of]), place[of[0], 1], min_cosine)
+                linked = (counts > 0) | (roots != np.arange(len(of)))
+                if linked.any():
+                    yield pd.DataFrame({"cid": ids[of], "links": counts, "root": ids[of][roots]})[linked]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for batch in batches:
-            block = batch[["dim", "filter", "pair"]].to_numpy()
-            starts = np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1
-            done = []
-            for a, b in zip([0, *starts], [*starts, len(batch)], strict=True):
-                piece = batch.iloc[a:b]
-                if held and tuple(held[-1][["dim", "filter", "pair"]].iloc[-1]) != tuple(block[a]):
-                    done.append(finish(pd.concat(held) if len(held) > 1 else held[0]))
-                    held = []
-                held.append(piece)
-            if done:
-                yield pd.concat(done)
+            place = batch[["dim", "filter", "pair"]].to_numpy()
+            # The last block of a batch may go on in the next one.
+            last = int(np.flatnonzero((place != place[-1]).any(axis=1))[-1]) + 1 if (place != place[-1]).any() else 0
+            if held and (last or (held[-1][["dim", "filter", "pair"]].to_numpy()[-1] != place[0]).any()):
+                done = finish(pd.concat([*held, batch.iloc[:last]]))
+                held = []
+            else:
+                done = finish(batch.iloc[:last]) if last else iter(())
+            out = list(done)
+            if out:
+                yield pd.concat(out)
+            held.append(batch.iloc[last:])
         if held:
-            yield finish(pd.concat(held) if len(held) > 1 else held[0])
+            yield from finish(pd.concat(held))
 
     return compare
 

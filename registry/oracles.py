@@ -345,6 +345,11 @@ SELECT dt, hour, count(*) FILTER (error IS NULL) AS records, true AS covered
 FROM (SELECT *, {first_error(RECORD_RULES)} FROM rows) GROUP BY dt, hour""",
     "lake_evolved": f"""WITH {EVENTS}, keyed AS (SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour FROM people_events)
 SELECT *, CAST(NULL AS VARCHAR) AS country FROM keyed UNION ALL SELECT *, 'of ' || city FROM keyed WHERE age > 50""",
+    "lake_compacted": f"""WITH {EVENTS} SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour, true AS keeps_batch, true AS packed
+FROM people_events""",
+    "lambda_statistics": f"""WITH {EVENTS} SELECT city, count(*) AS total_people, round(avg(age), 6) AS avg_age,
+  min(age) AS min_age, max(age) AS max_age, round(stddev_samp(age), 6) AS stddev_age,
+  count(DISTINCT status) AS distinct_statuses FROM people_events WHERE {COMPLETE} GROUP BY city""",
     "city_report_raw": f"""WITH {PEOPLE} SELECT city, count(*) AS total_people,
   CAST({one_decimal('sum(age) / CAST(count(age) AS DOUBLE)')} AS DOUBLE) AS avg_age,
   min(age) AS min_age, max(age) AS max_age FROM people GROUP BY city""",

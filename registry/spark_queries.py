@@ -39,6 +39,7 @@ from rollcall.plans import jobs
 from rollcall.schemas import EVENT_FIELDS, EVENT_TEXT, LAKE, PERSON_FIELDS
 from rollcall.sinks import event_log as log_sink
 from rollcall.sinks import files as sink
+from rollcall.sinks import storage
 from rollcall.sources import event_log as log_source
 from rollcall.sources import files as source
 from rollcall.sources.generator import people_from_index
@@ -484,6 +485,24 @@ def file_running_total(spark, sf):
     return history.select("path", "records", "cumulative_total", "size_kb")
 
 
+@register
+def lake_compacted(spark, sf):
+    """A lake of five batches an hour, packed: its rows, and whether folders and names came out right."""
+    lake = scratch_dir(spark, "lake")
+    part = F.pmod(F.xxhash64("id", "eventTime"), F.lit(5))
+    for n in range(5):
+        sink.write_lake(_lake_events(spark, sf).filter(part == n), lake)
+    before = source.list_data_files(spark, lake).count()
+    removed = source.compact_lake(spark, lake)
+    after = source.list_data_files(spark, lake).count()
+    rows = source.read_lake(spark, lake, batches=True)
+    return rows.select(
+        *LAKE.names,
+        F.col("batch").startswith("write-").alias("keeps_batch"),
+        F.lit(after < before and removed > after).alias("packed"),
+    )
+
+
 # Events
 
 
@@ -550,6 +569,36 @@ def lambda_merge(spark, sf):
     return E.lambda_merge(batch, keyed.withColumn("layer", F.lit("speed")))
 
 
+@register
+def lambda_statistics(spark, sf):
+    """City statistics of a batch view and a speed view together.
+
+    The batch view covers the days before the cut.  Then late events of these days and all newer
+    ones arrive, the stream's last batch is run again, and the batch view catches up with a part
+    of the late days.
+    """
+    root = scratch_dir(spark, "views")
+    lake, view, speed, checkpoint = (f"{root}/{n}" for n in ("lake", "batch", "speed", "cp"))
+    millis = F.get_json_object("value", "$.eventTime").cast("bigint")
+    early = F.coalesce((millis < FIXED_MILLIS + 14 * 86_400_000) & (F.xxhash64("value") % 4 != 0), F.lit(True))
+    messages = views.messages(spark, sf)
+
+    def stream() -> None:
+        source_log = log_source.stream_staged_messages(spark, f"{root}/topic")
+        _run(ingest.ingest_to_lake(source_log, lake, checkpoint, f"{root}/bad", interval=None, speed_view=speed))
+
+    log_sink.publish_staged(messages.filter(early), f"{root}/topic")
+    stream()
+    jobs.refresh_batch_view(spark, lake, view, dt_to=BATCH_CUT[0])
+    log_sink.publish_staged(messages.filter(~early), f"{root}/topic")
+    stream()
+    last = max(storage.files(spark, f"{checkpoint}/commits"), key=lambda n: int(n) if n.isdigit() else -1)
+    storage.delete(spark, f"{checkpoint}/commits/{last}")
+    stream()
+    jobs.refresh_batch_view(spark, lake, view, "2024-01-03", "2024-01-05")
+    return _rounded(jobs.lambda_statistics(spark, view, speed), "avg_age", "stddev_age")
+
+
 # Streams
 
 

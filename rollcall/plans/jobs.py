@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.rules import normal_values
+from rollcall.operators.city_state import city_parts, merged_parts, statistics_of_parts
 from rollcall.operators.events import encode_events, to_events
 from rollcall.operators.people import enrich, some_enriched
 from rollcall.operators.processor import (
@@ -22,11 +23,13 @@ from rollcall.operators.processor import (
 from rollcall.operators.quality import MINIMUM_RATE, processing_stats, validate_lake
 from rollcall.operators.runs import lake_inventory, run_history
 from rollcall.operators.statistics import batch_profile, city_statistics, combined_report
-from rollcall.schemas import PERSON_FIELDS
+from rollcall.schemas import CITY_PARTS, LAKE_BATCH, LAKE_FOLDERS, PERSON_FIELDS
+from rollcall.sinks import storage
 from rollcall.sinks.event_log import PublishCounts
 from rollcall.sinks.files import (
     SplitWrite,
     land_batch,
+    replace_batch,
     write_json_lines,
     write_report,
     write_split,
@@ -138,6 +141,40 @@ def enriched_lake(spark: SparkSession, lake: Lake) -> DataFrame:
     return enrich(read_lake(spark, lake))
 
 
+def refresh_batch_view(
+    spark: SparkSession, lake: str, view: str, dt_from: str | None = None, dt_to: str | None = None
+) -> None:
+    """Recompute the parts of city statistics of the given days from the lake; other days stay.
+
+    Days are replaced whole, so the job can be repeated.
+    """
+    parts = city_parts(read_lake(spark, lake, dt_from, dt_to, batches=True))
+    replace_batch(parts.hint("rebalance", "dt"), view, "dt")
+
+
+def lambda_parts(spark: SparkSession, view: str, speed_view: str) -> DataFrame:
+    """Parts of the batch view, and of the speed view where the batch view has not caught up."""
+    views = [spark.read.schema(CITY_PARTS).parquet(path).select(*CITY_PARTS.names) for path in (view, speed_view)]
+    return merged_parts(*views)
+
+
+def lambda_statistics(spark: SparkSession, view: str, speed_view: str) -> DataFrame:
+    """City statistics over all events so far, without reading the events."""
+    merged = statistics_of_parts(lambda_parts(spark, view, speed_view))
+    return merged.orderBy(F.desc("total_people"), "city")
+
+
+def trim_speed_view(spark: SparkSession, view: str, speed_view: str) -> int:
+    """Delete the speed view's batches that the batch view holds in every hour; returns their number."""
+    batch, speed = (
+        spark.read.schema(CITY_PARTS).parquet(path).select(*LAKE_FOLDERS.names).distinct() for path in (view, speed_view)
+    )
+    missing = speed.join(batch, LAKE_FOLDERS.names, "left_anti").select(LAKE_BATCH)
+    held = speed.select(LAKE_BATCH).distinct().join(missing, LAKE_BATCH, "left_anti")
+    names = [r[0] for r in held.toLocalIterator()]
+    return sum(storage.delete(spark, f"{speed_view}/{LAKE_BATCH}={name}") for name in names)
+
+
 def generate(
     spark: SparkSession,
     lake: str,

@@ -28,8 +28,14 @@ PERSON_EVENT = _struct(*[(f, _person_type(f)) for f in PERSON_FIELDS], ("eventTi
 PARTITION_KEYS = ("dt", "hour")
 # The lake's last folder level: who wrote a batch, so that it replaces only itself.
 LAKE_BATCH = "batch"
+# The batch that first wrote a row, in folders that a compaction has made.
+ORIGIN = "origin"
 _PARTITIONS = [(k, T.StringType()) for k in PARTITION_KEYS]
 LAKE = T.StructType(PERSON_EVENT.fields + _struct(*_PARTITIONS).fields)
+LAKE_FOLDERS = _struct(*_PARTITIONS, (LAKE_BATCH, T.StringType()))
+COMPACTION_LOG = T.StructType(
+    _struct(("run", T.StringType()), ("state", T.StringType())).fields + LAKE_FOLDERS.fields
+)
 LEGACY_LAKE = T.StructType(PERSON_RECORD.fields + _struct(("dt", T.StringType())).fields)
 
 # JSON is decoded with every field as text; numbers are then checked by rule, so
@@ -37,6 +43,19 @@ LEGACY_LAKE = T.StructType(PERSON_RECORD.fields + _struct(("dt", T.StringType())
 PERSON_TEXT = _struct(*[(f, T.StringType()) for f in PERSON_FIELDS])
 EVENT_TEXT = _struct(*[(f, T.StringType()) for f in EVENT_FIELDS])
 
+# Parts of city statistics: whole numbers that add up over batches.
+CITY_PARTS = T.StructType(
+    LAKE_FOLDERS.fields
+    + _struct(
+        ("city", T.StringType()),
+        ("status", T.StringType()),
+        *[(c, T.LongType()) for c in ("people", "ages", "age_sum")],
+        ("age_squares", T.DecimalType(38, 0)),
+        ("min_age", T.IntegerType()),
+        ("max_age", T.IntegerType()),
+    ).fields
+)
+
 EVENT_LOG_FRAME = _struct(("key", T.StringType()), ("value", T.StringType()))
 
 CITY_ROW = _struct(

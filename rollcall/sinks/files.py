@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rollcall.functions.codec import to_json_text
+from rollcall.operators.city_state import city_parts
 from rollcall.operators.events import partition_keys
 from rollcall.operators.people import to_storage
 from rollcall.operators.processor import ERROR
 from rollcall.operators.quality import ProcessingStats, outcome_counts
 from rollcall.schemas import LAKE_BATCH, PARTITION_KEYS, PERSON_FIELDS, REPORT_FIGURE
+from rollcall.sinks import storage
 
 OUTCOME = "outcome"
 ACCEPTED, REJECTED = "accepted", "rejected"
@@ -74,14 +76,38 @@ def write_split(processed: DataFrame, path: str) -> SplitWrite:
     )
 
 
-def append_to_lake(events: DataFrame, path: str, batch: str) -> None:
+def batch_markers(lake: str) -> str:
+    """Folder of one empty file for each batch that may be written again."""
+    return f"{lake}/_batches"
+
+
+def settle_batch(spark: SparkSession, lake: str, batch: str) -> None:
+    """Say that a batch will not be written again; from now on compaction may take it."""
+    storage.delete(spark, f"{batch_markers(lake)}/{batch}")
+
+
+def append_to_lake(events: DataFrame, path: str, batch: str, speed_view: str | None = None) -> None:
     """Put events under dt/hour/batch; a batch that is written again replaces only itself.
 
-    Rebalancing groups each hour's rows into few files, and AQE splits an hour
-    that is too big for one task, however large its share of the rows.
+    The first time a batch is written its rows are appended, which costs one rename a file; only
+    a batch with a marker, which an earlier try has left, overwrites its own folders.
+    Rebalancing groups each hour's rows into few files, and AQE splits an hour that is too big
+    for one task, however large its share of the rows.  With ``speed_view`` the parts of the
+    batch's city statistics go there.
     """
-    keyed = partition_keys(events).withColumn(LAKE_BATCH, F.lit(batch))
-    replace_batch(keyed.hint("rebalance", *PARTITION_KEYS), path, *PARTITION_KEYS, LAKE_BATCH)
+    first = storage.mark(events.sparkSession, f"{batch_markers(path)}/{batch}")
+    _write_batch(events, path, batch, first)
+    if speed_view is not None:
+        keyed = partition_keys(events).withColumn(LAKE_BATCH, F.lit(batch))
+        replace_batch(city_parts(keyed), speed_view, LAKE_BATCH)
+
+
+def _write_batch(events: DataFrame, path: str, batch: str, first: bool) -> None:
+    keyed = partition_keys(events).withColumn(LAKE_BATCH, F.lit(batch)).hint("rebalance", *PARTITION_KEYS)
+    if first:
+        keyed.write.mode("append").partitionBy(*PARTITION_KEYS, LAKE_BATCH).parquet(path)
+    else:
+        replace_batch(keyed, path, *PARTITION_KEYS, LAKE_BATCH)
 
 
 def replace_batch(df: DataFrame, path: str, *keys: str) -> None:
@@ -89,16 +115,24 @@ def replace_batch(df: DataFrame, path: str, *keys: str) -> None:
     writer.partitionBy(*keys).parquet(path)
 
 
-def write_lake(events: DataFrame, path: str) -> None:
-    """Append events to the lake as a batch of their own."""
-    append_to_lake(events, path, f"write-{uuid.uuid4().hex}")
+def write_lake(events: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append events to the lake as a batch of their own.
+
+    A caller that may repeat the write names the batch, which then replaces itself.
+    """
+    if batch is None:
+        _write_batch(events, path, f"write-{uuid.uuid4().hex}", first=True)
+    else:
+        append_to_lake(events, path, batch)
 
 
-def land_batch(people: DataFrame, path: str, run_millis: Column | None = None) -> None:
+def land_batch(
+    people: DataFrame, path: str, run_millis: Column | None = None, batch: str | None = None
+) -> None:
     """Append a batch of people to the lake under the hour of the run."""
     millis = F.unix_millis(F.current_timestamp()) if run_millis is None else run_millis
     landed = people.select(*PERSON_FIELDS, millis.alias("eventTime"))
-    append_to_lake(landed, path, f"land-{uuid.uuid4().hex}")
+    write_lake(landed, path, batch)
 
 
 def write_report(report: DataFrame, path: str, generated_at: Column | None = None) -> None:

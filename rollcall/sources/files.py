@@ -12,7 +12,21 @@ from pyspark.sql import types as T
 from rollcall.functions.text import jvm_trim
 from rollcall.operators.processor import accepted, check, storage_spec
 from rollcall.operators.runs import concatenate
-from rollcall.schemas import LAKE, LEGACY_LAKE, PERSON_EVENT, PERSON_FIELDS, PERSON_RECORD, REPORT, RUN_LOG_JSON
+from rollcall.schemas import (
+    LAKE,
+    LAKE_BATCH,
+    LAKE_FOLDERS,
+    LEGACY_LAKE,
+    ORIGIN,
+    PERSON_EVENT,
+    PERSON_FIELDS,
+    PERSON_RECORD,
+    REPORT,
+    RUN_LOG_JSON,
+)
+from rollcall.sinks import storage
+from rollcall.sinks.compaction import TARGET_BYTES, compact, live_rows, plan, recover
+from rollcall.sinks.files import batch_markers
 
 DATA_FILES = "*.parquet"
 # One root folder or several.
@@ -46,6 +60,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PERSON_RECORD).parquet(path).select(*PERSON_FIELDS)
 
 
+def _level(name: str) -> Column:
+    """The value of a folder level in ``path``; null for files outside such folders."""
+    return F.nullif(F.regexp_extract("path", rf"/{name}=([^/]+)/", 1), F.lit("")).alias(name)
+
+
 def _hours(dt_from: str | None, dt_to: str | None) -> Column:
     bounds = F.lit(True)
     if dt_from is not None:
@@ -61,16 +80,42 @@ def read_lake(
     dt_from: str | None = None,
     dt_to: str | None = None,
     extra: T.StructType | None = None,
+    batches: bool = False,
 ) -> DataFrame:
     """The event lake: one root, or several read as one table.
 
     Bounds are inclusive dates and prune directories.  ``extra`` names columns that newer
     files carry.  Files written before a column existed read as null there, which is what a
-    merged schema gives, without opening every footer first.
+    merged schema gives, without opening every footer first.  With ``batches`` the name of the
+    batch that wrote a row comes along.  Folders of a compaction in progress, or replaced by
+    one, are left out.
     """
     schema = T.StructType(LAKE.fields + (extra.fields if extra else []))
-    roots = [spark.read.schema(schema).parquet(root).select(*schema.names) for root in _roots(lake)]
-    return concatenate(*roots).filter(_hours(dt_from, dt_to))
+    stored = T.StructType([*schema.fields, T.StructField(ORIGIN, T.StringType()), LAKE_FOLDERS[LAKE_BATCH]])
+    names = schema.names + [LAKE_BATCH] * batches
+
+    def rows(root: str) -> DataFrame:
+        found = live_rows(spark, root, lambda: spark.read.schema(stored).parquet(root))
+        return found.withColumn(LAKE_BATCH, F.coalesce(ORIGIN, LAKE_BATCH)).select(*names)
+
+    return concatenate(*map(rows, _roots(lake))).filter(_hours(dt_from, dt_to))
+
+
+def compact_lake(spark: SparkSession, lake: str, target_bytes: int = TARGET_BYTES, clean: bool = True) -> int:
+    """Pack small batches of each hour into files of about ``target_bytes``; returns the folders deleted.
+
+    Batches that may be written again are left alone.  ``clean`` also deletes what was replaced;
+    leave it to a later `recover` where readers are at work.
+    """
+    if clean:
+        recover(spark, lake)
+    kept = spark.createDataFrame([(n,) for n in storage.files(spark, batch_markers(lake))], f"{LAKE_BATCH} string")
+    listed = list_data_files(spark, lake).select("length", *[_level(n) for n in LAKE_FOLDERS.names])
+    chosen = plan(listed.join(kept, LAKE_BATCH, "left_anti"), target_bytes)
+    stored = T.StructType([*LAKE.fields, T.StructField(ORIGIN, T.StringType()), LAKE_FOLDERS[LAKE_BATCH]])
+    rows = live_rows(spark, lake, lambda: spark.read.schema(stored).parquet(lake))
+    run = compact(spark, lake, rows, chosen)
+    return recover(spark, lake) if run and clean else 0
 
 
 def read_legacy_lake(
@@ -98,16 +143,16 @@ def scan_data_files(spark: SparkSession, lake: Lake, extra: T.StructType | None
     A recursive read finds no partition columns, so dt and hour come from the
     path; they are null for files outside such folders.
     """
-    path = F.col("_metadata.file_path")
     columns = T.StructType(PERSON_EVENT.fields + (extra.fields if extra else []))
 
-    def level(name: str) -> Column:
-        return F.nullif(F.regexp_extract(path, rf"/{name}=([^/]+)/", 1), F.lit("")).alias(name)
-
     def scan(root: str) -> DataFrame:
-        files = spark.read.schema(columns).option("recursiveFileLookup", True)
-        found = files.option("pathGlobFilter", DATA_FILES).parquet(root)
-        return found.select(*columns.names, level("dt"), level("hour"), path.alias("path"))
+        files = spark.read.schema(columns).option("recursiveFileLookup", True).option("pathGlobFilter", DATA_FILES)
+
+        def read() -> DataFrame:
+            found = files.parquet(root).select(*columns.names, F.col("_metadata.file_path").alias("path"))
+            return found.select("*", *[_level(n) for n in LAKE_FOLDERS.names])
+
+        return live_rows(spark, root, read).select(*schema.names)
 
     levels = T.StructType(LAKE.fields[len(PERSON_EVENT.fields) :])
     schema = T.StructType(columns.fields + levels.fields + [T.StructField("path", T.StringType())])
@@ -119,12 +164,17 @@ def list_data_files(spark: SparkSession, lake: Lake) -> DataFrame:
 
     def listing(root: str) -> DataFrame:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        # The path is taken as `scan_data_files` takes it, so that the two can be joined.
-        return files.option("pathGlobFilter", DATA_FILES).load(root).select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_modification_time").alias("modificationTime"),
-            F.col("_metadata.file_size").alias("length"),
-        )
+
+        def read() -> DataFrame:
+            # The path is taken as `scan_data_files` takes it, so that the two can be joined.
+            found = files.option("pathGlobFilter", DATA_FILES).load(root).select(
+                F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_modification_time").alias("modificationTime"),
+                F.col("_metadata.file_size").alias("length"),
+            )
+            return found.select("*", *[_level(n) for n in LAKE_FOLDERS.names])
+
+        return live_rows(spark, root, read).select(*FILE_LISTING.names)
 
     return concatenate(*[_or_empty(spark, listing, root, FILE_LISTING) for root in _roots(lake)])
 

@@ -26,7 +26,7 @@ from rollcall.operators.events import (
 )
 from rollcall.operators.processor import ERROR, RULE, RecordSpec, accepted, check, storage_spec
 from rollcall.schemas import EVENT_FIELDS, LAKE_BATCH
-from rollcall.sinks.files import append_to_lake, replace_batch
+from rollcall.sinks.files import append_to_lake, replace_batch, settle_batch
 
 QUARANTINE = T.StructType([T.StructField(c, T.StringType()) for c in ("value", ERROR, RULE)])
 HOURS = T.StructType(
@@ -61,29 +61,39 @@ def ingest_to_lake(
     quarantine: str | None = None,
     strict: bool = False,
     interval: str | None = TRIGGER_INTERVAL,
+    speed_view: str | None = None,
 ) -> StreamingQuery:
     """Decode messages and append complete events to the lake, exactly once.
 
     Messages that cannot be decoded go to the quarantine, from the same decode; with
     `strict` the first one fails the query instead.  One of the two must be chosen.
+    Each batch's parts of the city statistics go to `speed_view`, if one is named.
     """
     if not strict and quarantine is None:
         raise ValueError("name a quarantine for bad messages, or set strict")
     decoded = decode_events(messages, strict=strict)
-    return _ingest(decoded, None, lake, quarantine, checkpoint, interval)
+    return _ingest(decoded, None, lake, quarantine, checkpoint, interval, speed_view)
 
 
 def _ingest(
-    verdict: DataFrame, spec: RecordSpec | None, lake: str, quarantine: str | None, checkpoint: str, interval: str | None
+    verdict: DataFrame,
+    spec: RecordSpec | None,
+    lake: str,
+    quarantine: str | None,
+    checkpoint: str,
+    interval: str | None,
+    speed_view: str | None = None,
 ) -> StreamingQuery:
     """Write good rows to the lake, rebalanced by hour, and bad rows to the quarantine."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         name = _batch_name(batch, batch_id)
-        rows = batch.persist() if quarantine else batch
+        rows = batch.persist() if quarantine or speed_view else batch
         try:
             good = accepted(rows, spec) if spec else rows.filter(F.col(ERROR).isNull())
-            append_to_lake(good.select(*EVENT_FIELDS), lake, name)
+            # A query only ever repeats its last batch.
+            settle_batch(batch.sparkSession, lake, _batch_name(batch, batch_id - 1))
+            append_to_lake(good.select(*EVENT_FIELDS), lake, name, speed_view)
             if quarantine:
                 bad = quarantine_rows(rows).withColumn(LAKE_BATCH, F.lit(name))
                 replace_batch(bad, quarantine, LAKE_BATCH)

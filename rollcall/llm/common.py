@@ -25,6 +25,14 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores behind, as no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared scratch folder and read back: cuts lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession, name)

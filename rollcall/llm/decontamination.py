@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import broadcast_if_small, staged, text_or_empty
+from rollcall.llm.common import broadcast_if_small, free_name, staged, text_or_empty
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -190,7 +190,23 @@ def leaked_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; rows with a null doc_id stay."""
-    leaked = leaked_windows(docs, benchmark).select(F.col("doc_id").alias("_leaked")).where("_leaked is not null").distinct()
-    leaked = broadcast_if_small(staged(leaked, "leak-documents"))
-    return docs.join(leaked, docs["doc_id"] == leaked["_leaked"], "left_anti")
+    """``docs`` without the documents that hold a benchmark item.
+
+    Rows whose doc_id is null or on several rows are judged one by one, by their own text.
+    """
+
+    def clean(rows: DataFrame, name: str) -> DataFrame:
+        leaked = leaked_windows(rows.withColumn("doc_id", F.col(name)), benchmark)
+        leaked = leaked.select(F.col("doc_id").alias("_leaked")).where("_leaked is not null").distinct()
+        leaked = broadcast_if_small(staged(leaked, "leak-documents"))
+        return rows.join(leaked, rows[name] == leaked["_leaked"], "left_anti")
+
+    shared = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    shared = broadcast_if_small(staged(shared, "leak-shared"))
+    unclear = docs.join(shared, docs["doc_id"] == shared["_id"], "left_semi").unionAll(docs.where("doc_id is null"))
+    alone = docs.where("doc_id is not null").join(shared, docs["doc_id"] == shared["_id"], "left_anti")
+    if not unclear.limit(1).count():
+        return clean(alone, "doc_id")
+    row = free_name(docs, "_row")
+    unclear = staged(unclear.withColumn(row, F.monotonically_increasing_id()), "leak-unclear")
+    return clean(alone, "doc_id").unionAll(clean(unclear, row).drop(row))

@@ -56,7 +56,7 @@ def share_budget(children: DataFrame, parent: list[str], name: str) -> DataFrame
 
 
 def leaf_budgets(leaves: DataFrame, weights: dict[str, Column], budget: Column, max_epochs: int) -> DataFrame:
-    """(domain, lang, source, tokens, budget) of each leaf with tokens.
+    """(domain, lang, source, tokens, budget) of each leaf with tokens; others cost nothing and have none.
 
     ``leaves``: domain, lang, source, tokens (bigint).  ``weights``: for each level a positive
     whole number as a Column over the columns of that level and above.  ``budget``: a Column
@@ -98,7 +98,7 @@ def mix(
     epoch's seeded order, the longest prefix that fits; a row chosen in k epochs comes out k
     times, numbered from 1.  Null domains, languages and sources are leaves of their own.  Texts
     without words weigh nothing and go with the prefix they stand in: with a full epoch, or
-    before the cut.  A null doc_id orders by its text.  Repeated rows are separate rows that
+    before the cut; a leaf of such texts alone is taken once.  A null doc_id orders by its text.  Repeated rows are separate rows that
     stand next to each other.
 
     A leaf may hold most rows, so no leaf is sorted: its tokens are summed per bucket of the
@@ -118,9 +118,11 @@ def mix(
     )
     on = [F.col(f"_mix_{c}").eqNullSafe(F.col(f"_leaf_{c}")) for c in LEVELS]
     key = order_key(seed, F.col("_full") + 1, F.col("doc_id"), text_or_empty())
-    placed = rows.join(plan, on).withColumn("_key", key)
+    placed = rows.join(plan, on, "left").drop(*[f"_leaf_{c}" for c in LEVELS])
+    placed = placed.withColumns({"_full": F.coalesce("_full", F.lit(1)), "_rest": F.coalesce("_rest", F.lit(0))})
+    placed = placed.withColumn("_key", key)
     placed = placed.withColumn("_bucket", F.shiftright("_key", KEY_BITS - (buckets.bit_length() - 1)))
-    leaf = [f"_leaf_{c}" for c in LEVELS]
+    leaf = [f"_mix_{c}" for c in LEVELS]
     sums = placed.where("_rest > 0").groupBy(*leaf, "_bucket", "_rest").agg(F.sum("_mix_tokens").alias("_sum"))
     upto = Window.partitionBy(*leaf).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     sums = sums.withColumn("_after", F.sum("_sum").over(upto))

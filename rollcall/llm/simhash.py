@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import broadcast_if_small, small_batches, staged, text_or_empty
+from rollcall.llm.common import broadcast_if_small, free_name, small_batches, staged, text_or_empty
 from rollcall.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -140,6 +140,19 @@ def near_links(fingerprints: DataFrame, paired_cell: int = PAIRED_CELL) -> DataF
     return paired.unionByName(listed.join(least, "shared").select("a", "b").distinct()).where("a != b")
 
 
+def _grouped(docs: DataFrame, paired_cell: int) -> DataFrame:
+    """(doc_id, bits, root, component_id) for each row; root is a fingerprint that names the group."""
+    with small_batches(docs.sparkSession):
+        prints = staged(docs.select("doc_id", fingerprint(text_or_empty()).alias("bits")), "simhash-prints")
+    firsts = staged(prints.groupBy("bits").agg(F.min("doc_id").alias("first_id")), "simhash-firsts")
+    roots = connected_components(near_links(firsts, paired_cell))
+    rooted = firsts.join(roots.select(F.col("node").alias("bits"), "root"), "bits", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "bits"))
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    groups = rooted.join(least, "root").select("bits", "root", "component_id")
+    return prints.join(groups, "bits").select("doc_id", "bits", "root", "component_id")
+
+
 def near_duplicate_groups(docs: DataFrame, paired_cell: int = PAIRED_CELL) -> DataFrame:
     """(doc_id, bits, component_id) for each row; component_id is the least doc_id of the group.
 
@@ -149,30 +162,30 @@ def near_duplicate_groups(docs: DataFrame, paired_cell: int = PAIRED_CELL) -> Da
     rows stay repeated; a null doc_id is kept and is never the least; a group of null doc_ids
     alone has a null component_id.  Columns other than doc_id and text are not looked at.
     """
-    with small_batches(docs.sparkSession):
-        prints = staged(docs.select("doc_id", fingerprint(text_or_empty()).alias("bits")), "simhash-prints")
-    firsts = staged(prints.groupBy("bits").agg(F.min("doc_id").alias("first_id")), "simhash-firsts")
-    roots = connected_components(near_links(firsts, paired_cell))
-    rooted = firsts.join(roots.select(F.col("node").alias("bits"), "root"), "bits", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "bits"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    groups = rooted.join(least, "root").select("bits", "component_id")
-    return prints.join(groups, "bits").select("doc_id", "bits", "component_id")
+    return _grouped(docs, paired_cell).select("doc_id", "bits", "component_id")
 
 
 def first_of_each_group(docs: DataFrame) -> DataFrame:
     """The documents that stay: of each near-duplicate group, the row with the least doc_id.
 
-    All columns of ``docs`` are kept.  Rows whose doc_id is null belong to no group that can be
-    named and stay.  Where the least doc_id itself is on several rows, one of them stays.
+    All columns of ``docs`` are kept.  Rows without a doc_id go where their group has a named
+    row; of a group without any, one row stays.  Where the least doc_id is on several rows of a
+    group, one of them stays; rows of other groups that share a doc_id are judged by their own
+    group.
     """
-    groups = near_duplicate_groups(docs)
-    dropped = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+    groups = staged(_grouped(docs, PAIRED_CELL), "simhash-groups")
+    named = groups.where("doc_id is not null")
+    dropped = named.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
     dropped = broadcast_if_small(staged(dropped, "simhash-dropped"))
-    kept = docs.join(dropped, docs["doc_id"] == dropped["_id"], "left_anti")
-    # Only rows whose doc_id is on several are gathered by it; texts of the others stay in place.
-    shared = groups.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1")
+    # Only rows whose doc_id does not tell them apart are looked at by their text.
+    shared = named.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1")
     shared = broadcast_if_small(staged(shared.select("_id"), "simhash-shared"))
-    alone = kept.join(shared, kept["doc_id"] == shared["_id"], "left_anti")
-    together = kept.join(shared, kept["doc_id"] == shared["_id"], "left_semi")
-    return alone.unionAll(together.dropDuplicates(["doc_id"]))
+    alone = docs.where("doc_id is not null").join(shared, docs["doc_id"] == shared["_id"], "left_anti")
+    alone = alone.join(dropped, alone["doc_id"] == dropped["_id"], "left_anti")
+    together = docs.join(shared, docs["doc_id"] == shared["_id"], "left_semi").unionAll(docs.where("doc_id is null"))
+    firsts = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    printed, root = free_name(docs, "_print"), free_name(docs, "_root")
+    firsts = firsts.select(F.col("doc_id").alias("_id"), F.col("bits").alias("_bits"), F.col("root").alias(root)).distinct()
+    together = together.withColumn(printed, fingerprint(text_or_empty()))
+    together = together.join(firsts, together["doc_id"].eqNullSafe(firsts["_id"]) & (together[printed] == firsts["_bits"]))
+    return alone.unionAll(together.dropDuplicates([root]).select(*[together[c] for c in docs.columns]))

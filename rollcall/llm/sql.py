@@ -64,11 +64,11 @@ def mix_ctes(seed: str, max_epochs: int, docs: str) -> str:
   ),
   s1 AS ({_share("source", "s0", "domain, lang")}),
   keyed AS (
-    SELECT r.*, s1.budget // s1.tokens AS whole, s1.budget % s1.tokens AS remainder,
+    SELECT r.*, coalesce(s1.budget // s1.tokens, 1) AS whole, coalesce(s1.budget % s1.tokens, 0) AS remainder,
       sum(r.n_tokens) OVER (PARTITION BY r.domain, r.lang, r.source
         ORDER BY substr(sha256('{seed}:' || CAST(s1.budget // s1.tokens + 1 AS VARCHAR) || ':' || coalesce(CAST(r.doc_id AS VARCHAR), '')
                  || ':' || sha256(coalesce(r.text, ''))), 1, 15), r.doc_id ROWS UNBOUNDED PRECEDING) AS upto
-    FROM mix_rows r JOIN s1 ON r.domain IS NOT DISTINCT FROM s1.domain AND r.lang IS NOT DISTINCT FROM s1.lang
+    FROM mix_rows r LEFT JOIN s1 ON r.domain IS NOT DISTINCT FROM s1.domain AND r.lang IS NOT DISTINCT FROM s1.lang
       AND r.source IS NOT DISTINCT FROM s1.source
   ),
   mixed AS (

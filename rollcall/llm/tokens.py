@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,28 @@ def load_encoder(ranks: bytes):
     return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=table, special_tokens={})
 
 
+# The white space that the split rule's \\s stands for.
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 1_000
+_LONG_RUNS = re.compile(f"[{BLANKS}]{{{LONG_RUN},}}")
+
+
+def encode_text(encoder, text: str) -> list[int]:
+    """Ids of a text, special tokens as ordinary text.
+
+    The rule takes a run of white space as one piece, less its last character if more text
+    follows; its matcher cannot take very long runs, so these are cut out and encoded as the
+    pieces they are.
+    """
+    ids, at = [], 0
+    for run in _LONG_RUNS.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoder.encode_ordinary(text[at : run.start()])
+        ids += encoder._encode_single_piece(text[run.start() : stop])
+        at = stop
+    return ids + encoder.encode_ordinary(text[at:])
+
+
 def _encode(ranks: bytes):
     """Ids of each text and the end mark, and where they begin among those of the task."""
 
@@ -40,7 +63,7 @@ def _encode(ranks: bytes):
         for batch in batches:
             starts, sizes, ids = [], [], []
             for text in batch.column("text").to_pylist():
-                got = np.array([*encoder.encode_ordinary(text), END_OF_TEXT], "<u2")
+                got = np.array([*encode_text(encoder, text), END_OF_TEXT], "<u2")
                 starts.append(at)
                 sizes.append(got.size)
                 ids.append(got.tobytes())

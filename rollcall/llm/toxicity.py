@@ -38,6 +38,8 @@ TRAIN_BYTES = 16_384
 HELD_OUT_PART = 5
 SCORED_WORDS = 65_536
 SCORED_CHARS = 2 << 20
+#: Characters of training texts whose features are made at once, in the driver.
+FITTED_CHARS = 1 << 19
 
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -213,18 +215,37 @@ def _sentence_features(texts: list[str], kernel: Kernel) -> tuple[np.ndarray, np
 
 def _landmarks(texts: list[str], labels: np.ndarray, count: int) -> list[str]:
     """The letter sequences that tell the labels apart best, none nearly the same as another."""
-    seen: list[Counter] = [Counter(), Counter()]
+
+    def grams(word: str) -> set[str]:
+        return {word[i : i + n] for n in range(4, WINDOW + 1) for i in range(len(word) - n + 1)}
+
+    def distinct_words(text: str) -> set[str]:
+        return {word for words in _sentences(text) for word in words}
+
+    told: Counter = Counter()
     for text, label in zip(texts, labels, strict=True):
-        grams = set()
-        for words in _sentences(text):
-            for word in words:
-                grams.update(word[i : i + n] for n in range(4, WINDOW + 1) for i in range(len(word) - n + 1))
-        seen[int(label)].update(grams)
+        if label == 1:
+            told.update(set().union(*map(grams, distinct_words(text))))
+    told = Counter({gram: k for gram, k in told.items() if k >= 3})
+    # Of the other texts only the grams that came up are counted, and each word is cut up once.
+    wanted: dict[str, frozenset[str]] = {}
+    other: Counter = Counter()
+    for text, label in zip(texts, labels, strict=True):
+        if label == 1:
+            continue
+        met: set[str] = set()
+        for word in distinct_words(text):
+            if word not in wanted:
+                if len(wanted) >= KNOWN_WORDS:
+                    wanted.clear()
+                wanted[word] = frozenset(g for g in grams(word) if g in told)
+            met |= wanted[word]
+        other.update(met)
     n = [max(1, int((labels == k).sum())) for k in (0, 1)]
     scored = []
-    for gram, k in seen[1].items():
-        p, q = k / n[1], seen[0][gram] / n[0]
-        if k >= 3 and p > q:
+    for gram, k in told.items():
+        p, q = k / n[1], other[gram] / n[0]
+        if p > q:
             scored.append(((p - q) / ((p + q) / 2 + 0.01) ** 0.5, len(gram), gram))
     chosen: list[str] = []
     taken: set[str] = set()
@@ -270,6 +291,30 @@ def _logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-6)), float(b)
 
 
+def _distinct_features(texts: list[str], kernel: Kernel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct feature rows, the row of each sentence, and the text each sentence is from.
+
+    Texts are taken a part at a time.  Most sentences resemble no landmark and share the first
+    row, all zero.
+    """
+    known = {bytes(4 * len(kernel.landmarks)): 0}
+    rows, owners, done = [], [], 0
+    while done < len(texts):
+        stop, size = done, 0
+        while stop < len(texts) and (stop == done or size + len(texts[stop]) <= FITTED_CHARS):
+            size += len(texts[stop])
+            stop += 1
+        near, owner = _sentence_features(texts[done:stop], kernel)
+        row = np.zeros(len(near), np.int64)
+        for k in np.flatnonzero(near.any(axis=1)).tolist():
+            row[k] = known.setdefault(near[k].tobytes(), len(known))
+        rows.append(row)
+        owners.append(owner + done)
+        done = stop
+    distinct = np.frombuffer(b"".join(known), np.float32).reshape(len(known), len(kernel.landmarks))
+    return distinct, np.concatenate(rows), np.concatenate(owners)
+
+
 def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> ToxicityModel:
     """Fit on labelled texts.  A text labelled 1 lends its label to its most telling sentence.
 
@@ -288,21 +333,26 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> To
     own = kernel.similarities(chosen).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
-    near, owner = _sentence_features(texts, kernel)
+    near, row, owner = _distinct_features(texts, kernel)
+    if not owner.size:
+        return ToxicityModel((), (), 0.0, 1.0, -4.0)
     x = near.astype(np.float64) @ whiten
     starts = np.flatnonzero(np.diff(owner, prepend=-1))
     docs = owner[starts]
     bounds = np.append(starts[1:], owner.size)
-    margin = near.max(axis=1).astype(np.float64)
+    # Sentences with equal features are one row that costs as much as all of them.
+    negatives = np.bincount(row[label[owner] == 0], minlength=len(near))
+    negative = np.flatnonzero(negatives)
+    margin = near.max(axis=1).astype(np.float64)[row]
     for _ in range(4):
         telling = np.array([a + int(np.argmax(margin[a:b])) for a, b in zip(starts, bounds, strict=True)])
-        positive = telling[label[docs] == 1]
-        negative = np.flatnonzero(label[owner] == 0)
+        positive = row[telling[label[docs] == 1]]
         rows = np.concatenate([positive, negative])
         y = np.concatenate([np.ones(positive.size), -np.ones(negative.size)])
-        cost = np.where(y > 0, 1.0, max(1e-3, positive.size / max(1, negative.size)) * 4)
+        each = max(1e-3, positive.size / max(1, negatives.sum())) * 4
+        cost = np.concatenate([np.ones(positive.size), negatives[negative] * each])
         w = _svm(x[rows], y, cost)
-        margin = x @ w[:-1] + w[-1]
+        margin = (x @ w[:-1] + w[-1])[row]
     top = np.maximum.reduceat(margin, starts)
     slope, offset = _logistic(top, label[docs])
     return ToxicityModel(tuple(chosen), tuple((whiten @ w[:-1]).tolist()), float(w[-1]), slope, offset)

@@ -63,7 +63,7 @@ def test_leaks_match_brute_force(spark, docs):
     assert got == {k: round(v, 9) for k, v in plain(rows, items).items()}
     assert len(found) == len(got)
     kept = {r["doc_id"] for r in D.without_leaks(docs([*rows, (None, items[0][1])]), benchmark).collect()}
-    assert kept == {r[0] for r in rows} - {d for d, _ in got} | {None}
+    assert kept == {r[0] for r in rows} - {d for d, _ in got}
 
 
 def test_empty_tables(spark, docs):
@@ -72,3 +72,12 @@ def test_empty_tables(spark, docs):
     assert D.leaked_windows(docs([]), some).count() == 0
     assert D.leaked_windows(docs([(1, "a b c d e f")]), none).count() == 0
     assert D.leaked_windows(docs([(1, "a b c d e f")]), some).count() == 1
+
+
+def test_rows_that_share_a_doc_id_or_have_none_are_judged_by_their_text(spark, docs):
+    item = " ".join(f"item{i}" for i in range(20))
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(1, f"x y {item} z"), (1, "clean text of one"), (None, item), (None, "clean text"), (2, item), (3, "clean")]
+    kept = D.without_leaks(docs(rows, _row=1), benchmark)
+    assert sorted(str(r["text"]) for r in kept.collect()) == ["clean", "clean text", "clean text of one"]
+    assert kept.columns == docs(rows, _row=1).columns

@@ -32,3 +32,12 @@ def test_prefixes_fit_and_epochs_repeat(docs):
         again = mixing.mix(docs(rows[::-1], tokens=1, budget=2, key=3), F.lit("d"), flat(), F.lit(400), "seed", 2, buckets)
         assert sorted(map(str, again.collect())) == sorted(map(str, found))
     assert mixing.mix(docs([]), F.lit("d"), flat(), F.lit(400), "seed").count() == 0
+
+
+def test_a_leaf_without_tokens_is_kept_once(docs):
+    rows = [(1, "a b", "en", "s1"), (2, "", "en", "s2"), (3, None, None, None), (4, "  ", "de", "s1"), (5, "c", None, "s1")]
+    for budget in (0, 10**9):
+        chosen = mixing.mix(docs(rows), F.lit("d"), flat(), F.lit(budget), "seed", max_epochs=2).collect()
+        assert sorted(r["doc_id"] for r in chosen if r["_mix_tokens"] == 0) == [2, 3, 4]
+        assert len(chosen) == (3 if budget == 0 else 7)
+    assert mixing.mix(docs([(1, ""), (1, None)]), F.lit("d"), flat(), F.lit(5), "seed").count() == 2

@@ -84,5 +84,16 @@ def test_groups_with_nulls_copies_and_clashing_columns(spark, docs):
     found = simhash.near_duplicate_groups(docs(rows, bits=1, component_id=2, point=3)).collect()
     assert sorted((r["doc_id"] or -1, r["component_id"]) for r in found) == [(-1, 4), (3, 3), (4, 4), (5, 3), (5, 3), (8, 8), (9, 4)]
     kept = simhash.first_of_each_group(docs(rows, bits=1)).collect()
-    assert sorted(r["doc_id"] or -1 for r in kept) == [-1, 3, 4, 8]
+    assert sorted(r["doc_id"] or -1 for r in kept) == [3, 4, 8]
     assert simhash.near_duplicate_groups(docs([])).count() == 0
+
+
+def test_rows_that_share_a_doc_id_or_have_none_are_judged_by_their_text(docs):
+    same, other = "a b c d e f g", "totally different words stand here for once"
+    def kept(rows):
+        return sorted(((r["doc_id"], r["text"]) for r in simhash.first_of_each_group(docs(rows, bits=1, root=2)).collect()), key=str)
+
+    assert kept([(5, same), (5, other), (3, same)]) == [(3, same), (5, other)]
+    assert kept([(5, same), (5, other), (5, same)]) == [(5, same), (5, other)]
+    assert kept([(None, same), (None, other), (None, same), (7, other)]) == [(7, other), (None, same)]
+    assert kept([(None, None), (1, ""), (1, None)]) in ([(1, "")], [(1, None)])

@@ -50,3 +50,19 @@ def test_rows_come_from_files_and_lie_at_their_offsets(spark, docs, monkeypatch)
 
 def test_an_empty_table(docs):
     assert K.training_records(docs([]), "key").count() == 0
+
+
+def test_long_runs_of_white_space_encode_as_the_rule_says(monkeypatch):
+    import re
+
+    encoder = K.load_encoder(open(K.TOKENIZER, "rb").read())
+    texts = [a + run + b for a in ("", "word", "1 ") for b in ("", "next", "\nx", "?!") for run in (" " * 9, "\n" * 7, " \n\t     ", "\r\n" * 5)]
+    monkeypatch.setattr(K, "_LONG_RUNS", re.compile(f"[{K.BLANKS}]{{3,}}"))
+    for text in texts:
+        assert K.encode_text(encoder, text) == encoder.encode_ordinary(text)
+
+
+def test_very_long_runs_survive(spark, docs):
+    texts = [" " * 10_000_000, "a" + "\n" * 10_000_000 + "b", "x" * 10_000_000, "end"]
+    rows = K.training_records(docs(list(enumerate(texts))), "key").collect()
+    assert Counter(decoded(rows)) == Counter(texts)

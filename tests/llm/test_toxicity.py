@@ -89,3 +89,26 @@ def test_operator_edges(spark, docs):
     assert T.toxicity(docs([]), labels).count() == 0
     one = T.toxicity(frame, labels.where("false")).select("score").distinct().count()
     assert one == 1
+
+
+def test_landmarks_and_features_equal_the_plain_way():
+    rows = corpus(120, 9)
+    texts, labels = [r[1] for r in rows], np.array([r[2] for r in rows])
+    counts = [{}, {}]
+    for text, label in zip(texts, labels, strict=True):
+        words = {w for s in T._sentences(text) for w in s}
+        for gram in {w[i : i + n] for w in words for n in range(4, T.WINDOW + 1) for i in range(len(w) - n + 1)}:
+            counts[label][gram] = counts[label].get(gram, 0) + 1
+    n = [(labels == k).sum() for k in (0, 1)]
+
+    def telling(gram):
+        p, q = counts[1].get(gram, 0) / n[1], counts[0].get(gram, 0) / n[0]
+        return ((p - q) / ((p + q) / 2 + 0.01) ** 0.5, len(gram), gram)
+
+    chosen = T._landmarks(texts, labels, T.LANDMARKS)
+    best = max((g for g in counts[1] if counts[1][g] >= 3), key=telling)
+    assert chosen[0] == best and [telling(g) for g in chosen] == sorted(map(telling, chosen), reverse=True)
+    kernel = T.Kernel(chosen)
+    near, owner = T._sentence_features(texts, kernel)
+    distinct, row, owners = T._distinct_features(texts, kernel)
+    assert (distinct[row] == near).all() and (owners == owner).all() and len(distinct) <= len(near) + 1

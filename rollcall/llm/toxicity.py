@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import small_batches, staged, text_or_empty
+from rollcall.llm.common import free_name, small_batches, staged, text_or_empty
 
 DECAY = 0.6
 REACH = 5
@@ -439,5 +439,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those that score 0.5 or more."""
-    return with_scores(docs, fit(docs, labels), "_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    """``docs`` without those that score 0.5 or more; written once, as texts go to Python in small batches."""
+    name = free_name(docs, "_toxicity")
+    scored = with_scores(docs, fit(docs, labels), name)
+    with small_batches(docs.sparkSession):
+        return staged(scored.where(F.col(name) < 0.5).drop(name), "toxicity-kept")

@@ -29,7 +29,7 @@ SHARED = 5
 LANDMARKS = 64
 #: What each letter put in leaves of the similarity, where a word holds all of a landmark's.
 INSERTED = 0.95
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 50_000
 #: Similarities below it count as none, so that most words need no more than a bound.
 FLOOR = 0.3
 #: Bounds of the labelled sample the classifier is fitted on: rows of each label, bytes of a text.
@@ -37,7 +37,7 @@ TRAIN_ROWS = 2000
 TRAIN_BYTES = 16_384
 HELD_OUT_PART = 5
 SCORED_WORDS = 65_536
-SCORED_CHARS = 2 << 20
+SCORED_CHARS = 1 << 20
 #: Characters of training texts whose features are made at once, in the driver.
 FITTED_CHARS = 1 << 19
 
@@ -101,17 +101,22 @@ class Kernel:
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
-        self.table = np.zeros((_LETTERS**3 + 1, len(landmarks)), np.float32)
-        for column, landmark in enumerate(landmarks):
-            codes = _codes([landmark])[0]
-            for i, j, k in _TRIPLES[len(landmark)]:
-                self.table[self._feature(codes, i, j, k), column] += DECAY ** (k - i + 1)
+        # Row 0 is for subsequences that no landmark has.
+        self.row = np.zeros(_LETTERS**3, np.int32)
+        coded = [_codes([landmark])[0] for landmark in landmarks]
+        held = [[(int(self._feature(c, i, j, k)), DECAY ** (k - i + 1)) for i, j, k in _TRIPLES[len(s)]] for c, s in zip(coded, landmarks, strict=True)]
+        known = sorted({feature for weights in held for feature, _ in weights})
+        self.row[known] = np.arange(1, len(known) + 1)
+        self.table = np.zeros((len(known) + 1, len(landmarks)), np.float32)
+        for column, weights in enumerate(held):
+            for feature, weight in weights:
+                self.table[self.row[feature], column] += weight
         self.norms = np.array([self.self_norm(len(s)) for s in landmarks], np.float32)
         #: Landmarks with at most one letter put in anywhere between two of theirs.
         self.gapped = [(k, re.compile(_gapped(s)), sum(c not in "^$" for c in s)) for k, s in enumerate(landmarks) if len(s.strip("^$")) >= 4]
         self.any_gapped = re.compile("|".join(_gapped(landmarks[k]) for k, _, _ in self.gapped)) if self.gapped else None
         self.known: dict[str, tuple[tuple[int, float], ...]] = {}
-        self.peak = (self.table / self.norms).max(axis=1) if landmarks else np.zeros(len(self.table), np.float32)
+        self.peak = (self.table / self.norms).max(axis=1) if landmarks else np.zeros(1, np.float32)
 
     @staticmethod
     def _feature(codes, i, j, k):
@@ -144,7 +149,7 @@ class Kernel:
             if not at.size:
                 continue
             codes = _codes([strings[i] for i in at])
-            triples = [(self._feature(codes, i, j, k), DECAY ** (k - i + 1)) for i, j, k in _TRIPLES[size]]
+            triples = [(self.row[self._feature(codes, i, j, k)], DECAY ** (k - i + 1)) for i, j, k in _TRIPLES[size]]
             # No landmark can be nearer than if each subsequence met the one that weighs it most.
             bound = np.zeros(at.size, np.float32)
             for feature, weight in triples:
@@ -213,6 +218,23 @@ def _sentence_features(texts: list[str], kernel: Kernel) -> tuple[np.ndarray, np
     return out, np.array(owner)
 
 
+def _frequent_grams(texts: list[set[str]], least: int = 3) -> dict[str, int]:
+    """In how many texts each gram of 4 to ``WINDOW`` letters occurs, if in ``least`` or more.
+
+    A gram is only counted if both its parts one letter shorter are that frequent.
+    """
+    told: dict[str, int] = {}
+    shorter: set[str] = set()
+    for n in range(4, WINDOW + 1):
+        count: Counter = Counter()
+        for words in texts:
+            found = {word[i : i + n] for word in words for i in range(len(word) - n + 1)}
+            count.update(found if n == 4 else [g for g in found if g[:-1] in shorter and g[1:] in shorter])
+        shorter = {gram for gram, k in count.items() if k >= least}
+        told.update((gram, count[gram]) for gram in shorter)
+    return told
+
+
 def _landmarks(texts: list[str], labels: np.ndarray, count: int) -> list[str]:
     """The letter sequences that tell the labels apart best, none nearly the same as another."""
 
@@ -222,11 +244,7 @@ def _landmarks(texts: list[str], labels: np.ndarray, count: int) -> list[str]:
     def distinct_words(text: str) -> set[str]:
         return {word for words in _sentences(text) for word in words}
 
-    told: Counter = Counter()
-    for text, label in zip(texts, labels, strict=True):
-        if label == 1:
-            told.update(set().union(*map(grams, distinct_words(text))))
-    told = Counter({gram: k for gram, k in told.items() if k >= 3})
+    told = _frequent_grams([distinct_words(text) for text, label in zip(texts, labels, strict=True) if label == 1])
     # Of the other texts only the grams that came up are counted, and each word is cut up once.
     wanted: dict[str, frozenset[str]] = {}
     other: Counter = Counter()

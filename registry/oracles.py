@@ -350,6 +350,10 @@ FROM people_events""",
     "lambda_statistics": f"""WITH {EVENTS} SELECT city, count(*) AS total_people, round(avg(age), 6) AS avg_age,
   min(age) AS min_age, max(age) AS max_age, round(stddev_samp(age), 6) AS stddev_age,
   count(DISTINCT status) AS distinct_statuses FROM people_events WHERE {COMPLETE} GROUP BY city""",
+    "lake_merged": f"""WITH {EVENTS}, keyed AS (SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour FROM people_events)
+SELECT *, CAST(NULL AS VARCHAR) AS country, CAST(NULL AS BIGINT) AS visits FROM keyed
+UNION ALL SELECT keyed.*, 'of ' || city, age FROM keyed, range(2) WHERE age > 50""",
+    "recursive_scan_days": f"WITH {MIXED} SELECT {EVENT}, dt, hour FROM mixed WHERE dt BETWEEN '2024-01-03' AND '2024-01-04'",
     "city_report_raw": f"""WITH {PEOPLE} SELECT city, count(*) AS total_people,
   CAST({one_decimal('sum(age) / CAST(count(age) AS DOUBLE)')} AS DOUBLE) AS avg_age,
   min(age) AS min_age, max(age) AS max_age FROM people GROUP BY city""",

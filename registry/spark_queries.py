@@ -464,6 +464,23 @@ def lake_evolved(spark, sf):
     return source.read_lake(spark, lake, extra=extra)
 
 
+@register
+def lake_merged(spark, sf):
+    """Columns that newer batches carry, found by the reader; one of them grew wider."""
+    lake = _written_lake(spark, sf)
+    events = _lake_events(spark, sf).filter(F.col("age") > 50)
+    for kind in ("int", "bigint"):
+        sink.write_lake(events.withColumns({"country": F.concat(F.lit("of "), "city"), "visits": F.col("age").cast(kind)}), lake)
+    return source.read_lake(spark, lake, merge_schema=True)
+
+
+@register
+def recursive_scan_days(spark, sf):
+    """Two days of both layouts, of which alone the folders are read."""
+    days = source.scan_data_files(spark, _mixed_lake(spark, sf), dt_from="2024-01-03", dt_to="2024-01-04")
+    return days.select(*LAKE.names)
+
+
 @register
 def run_history_totals(spark, sf):
     """Last running total of the history, and the sum it must equal."""

@@ -27,6 +27,7 @@ from rollcall.schemas import (
 from rollcall.sinks import storage
 from rollcall.sinks.compaction import TARGET_BYTES, compact, live_rows, plan, recover
 from rollcall.sinks.files import batch_markers
+from rollcall.sources.evolution import reconciled, stored_schemas
 
 DATA_FILES = "*.parquet"
 # One root folder or several.
@@ -81,15 +82,19 @@ def read_lake(
     dt_to: str | None = None,
     extra: T.StructType | None = None,
     batches: bool = False,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """The event lake: one root, or several read as one table.
 
     Bounds are inclusive dates and prune directories.  ``extra`` names columns that newer
     files carry.  Files written before a column existed read as null there, which is what a
-    merged schema gives, without opening every footer first.  With ``batches`` the name of the
+    merged schema gives, without opening every footer first; ``merge_schema`` finds the new
+    columns by itself, from the footers of one file a batch.  With ``batches`` the name of the
     batch that wrote a row comes along.  Folders of a compaction in progress, or replaced by
     one, are left out.
     """
+    if merge_schema:
+        extra = added_columns(spark, lake)
     schema = T.StructType(LAKE.fields + (extra.fields if extra else []))
     stored = T.StructType([*schema.fields, T.StructField(ORIGIN, T.StringType()), LAKE_FOLDERS[LAKE_BATCH]])
     names = schema.names + [LAKE_BATCH] * batches
@@ -101,6 +106,21 @@ def read_lake(
     return concatenate(*map(rows, _roots(lake))).filter(_hours(dt_from, dt_to))
 
 
+def added_columns(spark: SparkSession, lake: Lake) -> T.StructType:
+    """Columns beyond the lake's own that files of any batch carry, as wide as the widest.
+
+    A batch is written by one job with one schema, so one file of each is looked at.  Columns
+    whose types do not fit raise `SchemaClash`; the lake's own columns must keep their types.
+    """
+    names = [_level(n) for n in LAKE_FOLDERS.names]
+    listed = list_data_files(spark, lake).select("path", *names)
+    chosen = listed.groupBy(F.coalesce(LAKE_BATCH, F.concat_ws("/", "dt", "hour"))).agg(F.min("path").alias("path"))
+    paths = sorted(r["path"] for r in chosen.select("path").collect())  # one for each batch
+    found = reconciled([*stored_schemas(spark, paths), (PERSON_EVENT, "the lake's own schema")])
+    known = {n.lower() for n in (*LAKE.names, ORIGIN, LAKE_BATCH)}
+    return T.StructType([f for f in found.fields if f.name.lower() not in known])
+
+
 def compact_lake(spark: SparkSession, lake: str, target_bytes: int = TARGET_BYTES, clean: bool = True) -> int:
     """Pack small batches of each hour into files of about ``target_bytes``; returns the folders deleted.
 
@@ -137,19 +157,46 @@ def _or_empty(
         return spark.createDataFrame([], schema)
 
 
-def scan_data_files(spark: SparkSession, lake: Lake, extra: T.StructType | None = None) -> DataFrame:
+def day_folders(spark: SparkSession, root: str, dt_from: str | None, dt_to: str | None) -> list[str]:
+    """Folders dt=... within inclusive bounds, at any depth below the root.
+
+    Only folders above the level of days are listed, so the work does not grow with files.
+    """
+    found = []
+    for name in storage.folders(spark, root):
+        day = name.removeprefix("dt=")
+        if day == name:
+            found += day_folders(spark, f"{root}/{name}", dt_from, dt_to)
+        elif (dt_from is None or day >= dt_from) and (dt_to is None or day <= dt_to):
+            found.append(f"{root}/{name}")
+    return found
+
+
+def scan_data_files(
+    spark: SparkSession,
+    lake: Lake,
+    extra: T.StructType | None = None,
+    dt_from: str | None = None,
+    dt_to: str | None = None,
+) -> DataFrame:
     """Every Parquet file below the roots as one table, whatever its depth or columns.
 
     A recursive read finds no partition columns, so dt and hour come from the
-    path; they are null for files outside such folders.
+    path; they are null for files outside such folders.  With bounds (inclusive dates) only the
+    folders of these days are listed and read, and files outside such folders are left out.
     """
+    bounded = dt_from is not None or dt_to is not None
     columns = T.StructType(PERSON_EVENT.fields + (extra.fields if extra else []))
 
     def scan(root: str) -> DataFrame:
         files = spark.read.schema(columns).option("recursiveFileLookup", True).option("pathGlobFilter", DATA_FILES)
 
+        paths = day_folders(spark, root, dt_from, dt_to) if bounded else [root]
+        if not paths:
+            return spark.createDataFrame([], schema)
+
         def read() -> DataFrame:
-            found = files.parquet(root).select(*columns.names, F.col("_metadata.file_path").alias("path"))
+            found = files.parquet(*paths).select(*columns.names, F.col("_metadata.file_path").alias("path"))
             return found.select("*", *[_level(n) for n in LAKE_FOLDERS.names])
 
         return live_rows(spark, root, read).select(*schema.names)

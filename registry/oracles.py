@@ -189,6 +189,10 @@ def _hash_id(seed: str) -> str:
     )
 
 
+EVENT_JSON = """concat('{"id":"', id, '","name":',
+  CASE WHEN name IS NULL THEN 'null' ELSE concat('"', name, '"') END, ',"email":"', email, '","age":',
+  CAST(age AS VARCHAR), ',"city":"', city, '","status":"', status, '","createdAt":"', createdAt,
+  '","eventTime":', CAST(eventTime AS VARCHAR), '}')"""
 CREATE_RULES = {k: RECORD_RULES[k] for k in ("email", "age", "city")}
 MIXED = f"""{READABLE}, {EVENTS},
 mixed AS (
@@ -306,10 +310,11 @@ FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_
     "event_records": f"""WITH {EVENTS} SELECT id AS key, {EVENT},
   CASE WHEN name IS NULL THEN 'Missing name' END AS error, CASE WHEN name IS NULL THEN 'name' END AS error_rule
 FROM people_events""",
-    "event_messages": f"""WITH {EVENTS} SELECT id AS key, concat('{{"id":"', id, '","name":',
-  CASE WHEN name IS NULL THEN 'null' ELSE concat('"', name, '"') END, ',"email":"', email, '","age":',
-  CAST(age AS VARCHAR), ',"city":"', city, '","status":"', status, '","createdAt":"', createdAt,
-  '","eventTime":', CAST(eventTime AS VARCHAR), '}}') AS value FROM people_events""",
+    "event_messages": f"WITH {EVENTS} SELECT id AS key, {EVENT_JSON} AS value FROM people_events",
+    "publish_outcomes": f"""WITH {EVENTS}, outcome AS (SELECT CASE WHEN id LIKE '%0' THEN 'No key or no value'
+  WHEN broken THEN 'Not an object' WHEN strlen({EVENT_JSON}) > 254 THEN 'Too large' END AS error FROM people_events)
+SELECT error, count(*) AS messages, (SELECT count(*) FROM outcome WHERE error IS NULL) AS success,
+  (SELECT count(*) FROM outcome WHERE error IS NOT NULL) AS failure FROM outcome GROUP BY error""",
     "event_bytes": f"""WITH {EVENTS} SELECT event_id, id, name, email, CAST(age AS VARCHAR) AS age, city, status,
   createdAt, CAST(eventTime AS VARCHAR) AS eventTime FROM people_events""",
     "decode_outcomes": f"""WITH {EVENTS} SELECT error, error_rule, count(*) AS messages
@@ -329,6 +334,15 @@ FROM people_events WHERE {COMPLETE} GROUP BY ALL""",
 WHERE {COMPLETE} UNION ALL SELECT {PERSON}, 1704067200000, '2024-01-01', '00' FROM readable""",
     "stream_restart": f"""WITH {EVENTS} SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour FROM people_events WHERE {COMPLETE}""",
     "stream_late_events": f"WITH {EVENTS} {hourly('people_events', COMPLETE)}",
+    "stream_closed_hours": f"""WITH {EVENTS}, complete AS (
+  SELECT age, eventTime, {_HOUR_START} AS window_start, eventTime < 1704499200000 AND age % 10 = 0 AS late
+  FROM people_events WHERE {COMPLETE})
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) FILTER (NOT late) AS events,
+  round(avg(age) FILTER (NOT late), 6) AS avg_age, round(stddev_samp(age) FILTER (NOT late), 6) AS stddev_age,
+  count(*) FILTER (late) AS late
+FROM complete GROUP BY window_start
+HAVING count(*) FILTER (NOT late) > 0
+  AND epoch_ms(window_start) + 3600000 <= (SELECT max(eventTime) - 10000 FROM complete)""",
     "stream_quarantine": f"""WITH {EVENTS} SELECT error, error_rule, count(*) AS messages
 FROM (SELECT {DECODE_OUTCOME} FROM people_events) WHERE error IS NOT NULL GROUP BY error, error_rule""",
     "stream_validation": f"""WITH {EVENTS}, outcome AS (
@@ -343,6 +357,19 @@ FROM people_events""",
     "run_history": f"""WITH {EVENTS}, rows AS (SELECT *, {DT} AS dt, {HOUR} AS hour FROM people_events)
 SELECT dt, hour, count(*) FILTER (error IS NULL) AS records, true AS covered
 FROM (SELECT *, {first_error(RECORD_RULES)} FROM rows) GROUP BY dt, hour""",
+    "run_history_refreshed": f"""WITH {EVENTS}, rows AS (SELECT *, {DT} AS dt, {HOUR} AS hour FROM people_events),
+checked AS (SELECT *, {first_error(RECORD_RULES)} FROM rows),
+history AS (SELECT dt, hour,
+  count(*) FILTER (error IS NULL) + count(*) FILTER (error IS NULL AND age > 50) AS records FROM checked GROUP BY dt, hour)
+SELECT *, (SELECT CAST(sum(records) AS BIGINT) FROM history) AS last_total, true AS new_files_only FROM history""",
+    "report_figures": f"""WITH {READABLE}, sited AS (
+  SELECT *, age % 7 AS site, {AGE_GROUP} AS g, {LAST_DOMAIN} AS d FROM readable)
+SELECT site, 'total' AS section, CAST(NULL AS VARCHAR) AS key, count(*) AS count, CAST(NULL AS INT) AS min_age,
+  CAST(NULL AS INT) AS max_age FROM sited GROUP BY site
+UNION ALL SELECT site, 'city', city, count(*), min(age), max(age) FROM sited GROUP BY site, city
+UNION ALL SELECT site, 'age_group', g, count(*), NULL, NULL FROM sited GROUP BY site, g
+UNION ALL SELECT site, 'status', status, count(*), NULL, NULL FROM sited GROUP BY site, status
+UNION ALL SELECT site, 'domain', d, count(*), NULL, NULL FROM sited GROUP BY site, d""",
     "lake_evolved": f"""WITH {EVENTS}, keyed AS (SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour FROM people_events)
 SELECT *, CAST(NULL AS VARCHAR) AS country FROM keyed UNION ALL SELECT *, 'of ' || city FROM keyed WHERE age > 50""",
     "lake_compacted": f"""WITH {EVENTS} SELECT {EVENT}, {DT} AS dt, {HOUR} AS hour, true AS keeps_batch, true AS packed
@@ -363,6 +390,21 @@ UNION ALL SELECT keyed.*, 'of ' || city, age FROM keyed, range(2) WHERE age > 50
     "spec_on_orders": """SELECT o_orderkey,
   CASE WHEN o_custkey % 7 = 0 THEN concat('Bad customer ', o_custkey) WHEN o_totalprice < 1000 THEN 'Too cheap' END AS error,
   CASE WHEN o_custkey % 7 = 0 THEN 'customer' WHEN o_totalprice < 1000 THEN 'price' END AS error_rule FROM orders""",
+    "spec_on_order_lines": """WITH fields AS (SELECT o_orderkey, o_orderkey % 29 = 0 AS bad,
+  CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN '1.5' ELSE CAST(o_custkey AS VARCHAR) END AS customer,
+  CASE WHEN o_orderkey % 13 = 0 THEN 'dear' ELSE CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) END AS price,
+  CASE WHEN o_orderkey % 23 = 0 THEN '1995-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders),
+typed AS (SELECT *, CASE WHEN NOT bad AND customer <> '1.5' THEN CAST(customer AS BIGINT) END AS o_custkey,
+  CASE WHEN NOT bad THEN TRY_CAST(price AS DECIMAL(18, 2)) END AS amount,
+  CASE WHEN NOT bad AND day <> '1995-02-30' THEN day END AS o_orderdate FROM fields),
+ruled AS (SELECT *, CASE WHEN bad THEN 'json' WHEN customer IS NULL OR customer = '1.5' THEN 'o_custkey'
+  WHEN price = 'dear' THEN 'o_totalprice' WHEN day = '1995-02-30' THEN 'o_orderdate' WHEN amount < 1000 THEN 'price' END AS error_rule
+  FROM typed)
+SELECT o_orderkey, o_custkey, CAST(CASE WHEN error_rule IS NULL THEN amount * 2 ELSE amount END AS DOUBLE) AS o_totalprice,
+  o_orderdate, error_rule, CASE error_rule WHEN 'json' THEN 'Parse error: malformed JSON'
+    WHEN 'o_custkey' THEN concat('Parse error: ', CASE WHEN customer IS NULL THEN 'Missing o_custkey' ELSE 'Invalid o_custkey: 1.5' END)
+    WHEN 'o_totalprice' THEN 'Parse error: Invalid o_totalprice: dear'
+    WHEN 'o_orderdate' THEN 'Parse error: Invalid o_orderdate: 1995-02-30' WHEN 'price' THEN 'Too cheap' END AS error FROM ruled""",
     "success_gate": f"""WITH {CHECKED}, rate AS (SELECT 100.0 * count(*) FILTER (error IS NULL) / count(*) AS rate FROM checked)
 SELECT CAST(n AS INT) AS minimum, rate >= n AS passes FROM rate, unnest([25, 50, 95]) AS t(n)""",
 }

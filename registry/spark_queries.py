@@ -22,8 +22,10 @@ from rollcall.operators.processor import (
     check,
     create_people,
     business_spec,
+    json_parser,
     parse_people,
     person_id_from,
+    process,
     rejected,
     storage_spec,
 )
@@ -34,6 +36,7 @@ from rollcall.operators.quality import (
     rejects_by_rule,
     validate_lake,
 )
+from rollcall.operators.report import report_figures
 from rollcall.operators.runs import concatenate, lake_inventory, run_history, run_log_summary
 from rollcall.plans import jobs
 from rollcall.schemas import EVENT_FIELDS, EVENT_TEXT, LAKE, PERSON_FIELDS
@@ -481,6 +484,57 @@ def recursive_scan_days(spark, sf):
     return days.select(*LAKE.names)
 
 
+@register
+def run_history_refreshed(spark, sf):
+    """The history kept up file by file: two batches, a refresh after each, and one with nothing new."""
+    lake, store = _hour_files(spark, sf), f"{scratch_dir(spark, 'history')}/files"
+    read, files = [], []
+    for newer in (None, F.col("age") > 50):
+        if newer is not None:
+            sink.write_lake(_lake_events(spark, sf).filter(newer), lake)
+        files.append(source.list_data_files(spark, lake).count())
+        read += [jobs.refresh_history(spark, lake, store), jobs.refresh_history(spark, lake, store)]
+    history = jobs.read_history(spark, lake, store)
+    by_hour = history.groupBy(
+        F.regexp_extract("path", "/dt=([^/]+)/", 1).alias("dt"), F.regexp_extract("path", "/hour=([^/]+)/", 1).alias("hour")
+    ).agg(F.sum("records").alias("records"))
+    totals = history.agg(F.max("cumulative_total").alias("last_total"))
+    new_only = read == [files[0], 0, files[1] - files[0], 0]
+    return by_hour.join(F.broadcast(totals)).withColumn("new_files_only", F.lit(new_only))
+
+
+@register
+def report_figures_(spark, sf):
+    """A report document for each of seven ages modulo, written as JSON and read side by side."""
+    root = scratch_dir(spark, "documents")
+    people = _readable(spark, sf).withColumn("site", F.col("age") % 7).withColumn("domain", P.domain_or_unknown(F.col("email")))
+    group = P.age_group(F.col("age"))
+
+    def part(key: Column, *figures: Column) -> DataFrame:
+        return people.groupBy("site", key.alias("key")).agg(F.count(F.lit(1)).alias("n"), *figures)
+
+    def counts(key: Column, name: str) -> DataFrame:
+        entries = F.map_from_entries(F.collect_list(F.struct("key", "n")))
+        return part(key).groupBy("site").agg(entries.alias(name))
+
+    cities = part(F.col("city"), F.min("age").alias("low"), F.max("age").alias("high"))
+    city = F.struct(F.col("key").alias("city"), F.col("n").alias("total_people"), F.col("low").alias("min_age"), F.col("high").alias("max_age"))
+    band = F.struct(F.col("key").alias("age_group"), F.col("n").alias("count"))
+    documents = (
+        people.groupBy("site")
+        .agg(F.count(F.lit(1)).alias("total_records"))
+        .join(cities.groupBy("site").agg(F.collect_list(city).alias("city_statistics")), "site")
+        .join(part(group).groupBy("site").agg(F.collect_list(band).alias("age_groups")), "site")
+        .join(counts(F.col("status"), "status_distribution"), "site")
+        .join(counts(F.col("domain"), "email_domains"), "site")
+    )
+    text = F.to_json(F.struct(*documents.columns[1:]), {"pretty": "true"})
+    documents.select("site", text.alias("value")).repartition("site").write.partitionBy("site").text(root)
+    figures = report_figures(source.read_reports(spark, root))
+    site = F.regexp_extract("source", "/site=([^/]+)/", 1).cast("int").alias("site")
+    return figures.select(site, "section", "key", "count", "min_age", "max_age")
+
+
 @register
 def run_history_totals(spark, sf):
     """Last running total of the history, and the sum it must equal."""
@@ -616,6 +670,33 @@ def lambda_statistics(spark, sf):
     return _rounded(jobs.lambda_statistics(spark, view, speed), "avg_age", "stddev_age")
 
 
+# Longest value that the log of `publish_outcomes` takes, in bytes.
+MOST_BYTES = 254
+
+
+def _open_small_log():
+    """A sender whose log refuses long values and what is no JSON object."""
+
+    def deliver(batch):
+        return [
+            "Too large" if len(value.encode()) > MOST_BYTES else None if value.endswith("}") else "Not an object"
+            for _, value in batch
+        ]
+
+    return deliver
+
+
+@register
+def publish_outcomes(spark, sf):
+    """Messages sent one by one to a log that refuses some: outcomes, and the counts of the run."""
+    path = scratch_dir(spark, "outcomes")
+    keyed = views.messages(spark, sf).withColumn("key", F.when(~F.col("key").endswith("0"), F.col("key")))
+    counts = log_sink.publish_acknowledged(keyed, _open_small_log, path)
+    outcomes = spark.read.schema("key string, value string, error string").parquet(path)
+    grouped = outcomes.groupBy("error").agg(F.count(F.lit(1)).alias("messages"))
+    return grouped.withColumns({"success": F.lit(counts.success).cast("bigint"), "failure": F.lit(counts.failure).cast("bigint")})
+
+
 # Streams
 
 
@@ -689,6 +770,26 @@ def stream_late_events(spark, sf):
     return _figures(ingest.read_hours(spark, f"{root}/hours"))
 
 
+@register
+def stream_closed_hours(spark, sf):
+    """Hours closed by the watermark over three batches and two restarts, and how many events each lost.
+
+    The last batch brings the newest events, and events of the first days, whose hours are closed.
+    """
+    root = scratch_dir(spark, "stream")
+    time, age = (F.get_json_object("value", f"$.{c}").cast("bigint") for c in ("eventTime", "age"))
+    late = F.coalesce((time < FIXED_MILLIS + 5 * 86_400_000) & (age % 10 == 0), F.lit(False))
+    batch = F.when(late | (time >= FIXED_MILLIS + 20 * 86_400_000), 3).when(time >= FIXED_MILLIS + 10 * 86_400_000, 2)
+    messages = views.messages(spark, sf).withColumn("batch", F.coalesce(batch, F.lit(1)))
+    for n in (1, 2, 3):
+        log_sink.publish_staged(messages.filter(F.col("batch") == n).drop("batch"), f"{root}/topic")
+        for start, out in ((ingest.closed_hours_stream, "closed"), (ingest.hourly_stream, "hours")):
+            stream = log_source.stream_staged_messages(spark, f"{root}/topic")
+            _run(start(stream, f"{root}/{out}", f"{root}/cp-{out}", interval=None))
+    closed = ingest.read_closed_hours(spark, f"{root}/closed")
+    return _figures(E.late_after_close(closed, ingest.read_hours(spark, f"{root}/hours")))
+
+
 @register
 def stream_quarantine(spark, sf):
     root = scratch_dir(spark, "stream")
@@ -739,6 +840,34 @@ def spec_on_orders(spark, sf):
     return check(orders, spec).select("o_orderkey", "error", "error_rule")
 
 
+@register
+def spec_on_order_lines(spark, sf):
+    """Orders as JSON text through the runner that people go through: parse, rules, transforms."""
+    key = F.col("o_orderkey")
+    price = F.when(key % 13 == 0, F.lit("dear")).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    customer = F.when(key % 17 != 0, F.when(key % 19 == 0, F.lit("1.5")).otherwise(F.col("o_custkey").cast("string")))
+    day = F.when(key % 23 == 0, F.lit("1995-02-30")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    fields = {"o_custkey": customer, "o_totalprice": price, "o_orderdate": day}
+    text = F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
+    text = F.when(key % 29 == 0, F.lit("[]")).otherwise(text)
+    lines = views.table(spark, sf, "orders").select("o_orderkey", text.alias("value"))
+    schema = T.StructType(
+        [
+            T.StructField("o_custkey", T.LongType()),
+            T.StructField("o_totalprice", T.DecimalType(18, 2)),
+            T.StructField("o_orderdate", T.DateType()),
+        ]
+    )
+    spec = RecordSpec(
+        tuple(schema.names),
+        {"price": F.when(F.col("o_totalprice") < 1000, F.lit("Too cheap"))},
+        {"o_totalprice": (F.col("o_totalprice") * 2).cast("decimal(18,2)")},
+        json_parser(schema, required_fields=("o_custkey",)),
+    )
+    done = process(lines, spec).drop("value")
+    return done.withColumns({"o_totalprice": F.col("o_totalprice").cast("double"), "o_orderdate": F.col("o_orderdate").cast("string")})
+
+
 @register
 def success_gate(spark, sf):
     """Whether the gate lets a run pass, at three limits."""

@@ -17,6 +17,8 @@ CONSUMER_GROUP = "people-lake"
 
 # Stream timing.
 TRIGGER_INTERVAL = "60 seconds"
+# Longest time that one micro-batch may take.
+COMMIT_TIMEOUT_SECONDS = 600.0
 WATERMARK_DELAY = "10 seconds"
 WINDOW_LENGTH = "1 hour"
 

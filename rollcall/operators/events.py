@@ -102,6 +102,17 @@ def lambda_merge(batch: DataFrame, speed: DataFrame) -> DataFrame:
     return batch.unionByName(speed.join(hours, known, "left_anti"), allowMissingColumns=True)
 
 
+def late_after_close(closed: DataFrame, hours: DataFrame) -> DataFrame:
+    """Closed hours with `late`: how many of their events came after the hour was closed.
+
+    ``hours`` are the figures of all events so far, which hold the late ones too; figures that lag
+    behind the closed hours count nothing rather than less than nothing.
+    """
+    seen = hours.select("window_start", "window_end", F.col("events").alias("_seen"))
+    late = F.greatest(F.coalesce("_seen", F.lit(0)) - F.col("events"), F.lit(0)).alias("late")
+    return closed.join(seen, ["window_start", "window_end"], "left").select(*closed.columns, late)
+
+
 def hourly_parts(events: DataFrame, timestamp: str = "event_ts") -> DataFrame:
     """Whole-number parts of an hour's figures, which add up: events, ages, their sum and squares."""
     age = F.col("age").cast("bigint")

@@ -6,11 +6,12 @@ the whole chain as one projection.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.functions.rules import (
     age_error,
@@ -35,11 +36,16 @@ ERROR, RULE = "error", "error_rule"
 
 @dataclass(frozen=True)
 class RecordSpec:
-    """Ordered rules (name -> error text or null) and transforms (field -> new value)."""
+    """Ordered rules (name -> error text or null), transforms (field -> new value), and a parse step.
+
+    The parse step turns the frame that `process` is given into one with the spec's columns, and may
+    leave `error` and `error_rule` for rows that cannot be read.
+    """
 
     fields: tuple[str, ...]
     rules: Mapping[str, Column]
     transforms: Mapping[str, Column] = field(default_factory=dict)
+    parse: Callable[[DataFrame], DataFrame] | None = None
 
 
 def check(df: DataFrame, spec: RecordSpec) -> DataFrame:
@@ -70,8 +76,8 @@ def rejected(checked: DataFrame) -> DataFrame:
 
 
 def process(df: DataFrame, spec: RecordSpec) -> DataFrame:
-    """Check and transform in one projection: good rows get new values, bad rows keep theirs."""
-    checked = check(df, spec)
+    """Parse, check and transform in one projection: good rows get new values, bad rows keep theirs."""
+    checked = check(spec.parse(df) if spec.parse else df, spec)
     good = F.col(ERROR).isNull()
     return checked.withColumns(
         {name: F.when(good, value).otherwise(F.col(name)) for name, value in spec.transforms.items()}
@@ -87,6 +93,46 @@ def business_spec() -> RecordSpec:
     return RecordSpec(PERSON_FIELDS, business_errors())
 
 
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """Text of a JSON value as another type; null where it does not fit."""
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, T.IntegralType):
+        return whole_number(text).try_cast(kind)
+    return text.try_cast(kind)
+
+
+def json_parser(
+    schema: T.StructType, value: str = "value", required_fields: Collection[str] = ()
+) -> Callable[[DataFrame], DataFrame]:
+    """A parse step for JSON text of records with any flat schema.
+
+    Adds the schema's columns and the first error in field order: text that is no object, a
+    required field that is missing or null, or a value that does not fit its type, which is shown
+    in the message.  A field of another name is passed over.  Columns of the frame stay, but for
+    those that the schema names.
+    """
+    texts = T.StructType([T.StructField(f"_text_{f.name}", T.StringType()) for f in schema])
+    as_named = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+
+    def error(f: T.StructField) -> Column:
+        text = F.col(f"_text_{f.name}")
+        unfit = F.when(text.isNotNull() & F.col(f.name).isNull(), F.concat(F.lit(f"Invalid {f.name}: "), text))
+        return F.coalesce(unfit, required(text, f.name)) if f.name in required_fields else unfit
+
+    def parse(lines: DataFrame) -> DataFrame:
+        passed = [c for c in lines.columns if c not in schema.names]
+        decoded = decode_column(lines, value, as_named, passed)
+        decoded = decoded.withColumnsRenamed({f.name: t.name for f, t in zip(schema, texts, strict=True)})
+        typed = decoded.withColumns({f.name: _typed(F.col(f"_text_{f.name}"), f.dataType) for f in schema})
+        rules = {"json": F.when(F.col(MALFORMED), F.lit("malformed JSON"))} | {f.name: error(f) for f in schema}
+        messages = {name: F.concat(F.lit("Parse error: "), text) for name, text in rules.items()}
+        checked = check(typed, RecordSpec(tuple(schema.names), messages))
+        return checked.select(*passed, *schema.names, ERROR, RULE)
+
+    return parse
+
+
 def parse_people(lines: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to person columns and `error`; canonical values where there is no error.
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.config import scratch_dir
 from rollcall.functions.rules import normal_values
 from rollcall.operators.city_state import city_parts, merged_parts, statistics_of_parts
 from rollcall.operators.events import encode_events, to_events
@@ -18,12 +20,13 @@ from rollcall.operators.processor import (
     business_spec,
     check,
     parse_people,
+    process,
     storage_spec,
 )
 from rollcall.operators.quality import MINIMUM_RATE, processing_stats, validate_lake
 from rollcall.operators.runs import lake_inventory, run_history
 from rollcall.operators.statistics import batch_profile, city_statistics, combined_report
-from rollcall.schemas import CITY_PARTS, LAKE_BATCH, LAKE_FOLDERS, PERSON_FIELDS
+from rollcall.schemas import CITY_PARTS, FILE_RECORDS, LAKE_BATCH, LAKE_FOLDERS, PERSON_FIELDS
 from rollcall.sinks import storage
 from rollcall.sinks.event_log import PublishCounts
 from rollcall.sinks.files import (
@@ -38,6 +41,7 @@ from rollcall.sinks.files import (
 from rollcall.sources.files import (
     Lake,
     list_data_files,
+    read_file_records,
     read_json_lines,
     read_lake,
     readable_by_file,
@@ -50,18 +54,19 @@ from rollcall.sources.generator import (
     generate_people,
 )
 
+# What tells a file apart from one that replaced it.
+FILE_KEY = ("path", "modificationTime", "length")
+# Files whose records one step of the history counts.
+HISTORY_FILES = 10_000
+
 
 def process_lines(lines: DataFrame) -> DataFrame:
     """Parse, check the business rules and normalise, as one projection.
 
     Good rows carry normalised values; bad rows keep theirs, and the line.
     """
-    verdict = check(parse_people(lines), business_spec())
-    good = F.col(ERROR).isNull()
-    return verdict.withColumns(
-        {name: F.when(good, value).otherwise(F.col(name)) for name, value in normal_values().items()}
-        | {"value": F.when(~good, F.col("value"))}
-    )
+    done = normal_values() | {"value": F.lit(None).cast("string")}
+    return process(lines, replace(business_spec(), transforms=done, parse=parse_people))
 
 
 def preprocess(
@@ -211,3 +216,41 @@ def export_history(spark: SparkSession, lake: Lake) -> DataFrame:
     """Records, running total and size of every file, oldest first."""
     counts = readable_by_file(scan_data_files(spark, lake))
     return run_history(counts, list_data_files(spark, lake))
+
+
+def refresh_history(spark: SparkSession, lake: Lake, store: str, most_files: int = HISTORY_FILES) -> int:
+    """Count the records of files that the store does not know; returns how many files were read.
+
+    A file is known by path, time and size, so one that was replaced is read again, and one that
+    shows up late, with a time before files already known, is not missed.  The oldest files go
+    first, at most ``most_files`` in one step, and each step's counts appear whole or not at all:
+    a run that dies is taken up again where it stopped.
+    """
+    known = list_data_files(spark, lake).join(read_file_records(spark, store), list(FILE_KEY), "left_anti")
+    listed = known.withColumn("_at", F.unix_micros("modificationTime"))
+    path = scratch_dir(spark, "new-files")
+    listed.write.mode("overwrite").parquet(path)
+    fresh = spark.read.schema(listed.schema).parquet(path)
+    left, read = fresh, 0
+    while step := left.select("_at", "path").orderBy("_at", "path").limit(most_files).collect():
+        last = F.struct(F.lit(step[-1]["_at"]).cast("bigint"), F.lit(step[-1]["path"]))
+        place = F.struct("_at", "path")
+        # The condition on the path picks files before any is opened.
+        counts = readable_by_file(scan_data_files(spark, lake).filter(F.col("path").isin([r["path"] for r in step])))
+        counted = left.filter(place <= last).join(counts, "path", "left")
+        counted = counted.withColumn("records", F.coalesce("records", F.lit(0)).cast("bigint"))
+        counted.select(*FILE_RECORDS.names).coalesce(1).write.mode("append").parquet(store)
+        read += len(step)
+        left = fresh.filter(place > last)
+    return read
+
+
+def read_history(spark: SparkSession, lake: Lake, store: str) -> DataFrame:
+    """`export_history` of the lake from the stored counts; no file is opened.
+
+    Files that are gone, after a compaction say, are left out; those not counted yet have no
+    records until the next refresh.
+    """
+    listed = list_data_files(spark, lake)
+    counts = read_file_records(spark, store).dropDuplicates(list(FILE_KEY)).join(listed, list(FILE_KEY), "left_semi")
+    return run_history(counts.select("path", "records"), listed)

@@ -56,6 +56,14 @@ CITY_PARTS = T.StructType(
     ).fields
 )
 
+# Readable records of a file as it stood when it was read.
+FILE_RECORDS = _struct(
+    ("path", T.StringType()),
+    ("modificationTime", T.TimestampType()),
+    ("length", T.LongType()),
+    ("records", T.LongType()),
+)
+
 EVENT_LOG_FRAME = _struct(("key", T.StringType()), ("value", T.StringType()))
 
 CITY_ROW = _struct(
@@ -76,6 +84,8 @@ REPORT = _struct(
     ("status_distribution", T.MapType(T.StringType(), T.LongType())),
     ("email_domains", T.MapType(T.StringType(), T.LongType())),
 )
+# Text of a document that is no report.
+UNREADABLE = "_unreadable"
 REPORT_FIGURE = _struct(
     ("section", T.StringType()),
     ("key", T.StringType()),

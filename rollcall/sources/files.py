@@ -13,6 +13,7 @@ from rollcall.functions.text import jvm_trim
 from rollcall.operators.processor import accepted, check, storage_spec
 from rollcall.operators.runs import concatenate
 from rollcall.schemas import (
+    FILE_RECORDS,
     LAKE,
     LAKE_BATCH,
     LAKE_FOLDERS,
@@ -23,6 +24,7 @@ from rollcall.schemas import (
     PERSON_RECORD,
     REPORT,
     RUN_LOG_JSON,
+    UNREADABLE,
 )
 from rollcall.sinks import storage
 from rollcall.sinks.compaction import TARGET_BYTES, compact, live_rows, plan, recover
@@ -226,6 +228,11 @@ def list_data_files(spark: SparkSession, lake: Lake) -> DataFrame:
     return concatenate(*[_or_empty(spark, listing, root, FILE_LISTING) for root in _roots(lake)])
 
 
+def read_file_records(spark: SparkSession, path: str) -> DataFrame:
+    """What earlier refreshes have counted; an absent table has no rows."""
+    return _or_empty(spark, lambda p: spark.read.schema(FILE_RECORDS).parquet(p), path, FILE_RECORDS).select(*FILE_RECORDS.names)
+
+
 def readable_by_file(scanned: DataFrame) -> DataFrame:
     """Rows per file that pass the record rules."""
     good = accepted(check(scanned, storage_spec()), storage_spec())
@@ -237,6 +244,17 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REPORT).option("multiLine", True).json(path)
 
 
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """All report documents below a path, whatever their depth, one row each with its `source`.
+
+    A document that cannot be read is a row too, with its text in `_unreadable`.
+    """
+    schema = T.StructType([*REPORT.fields, T.StructField(UNREADABLE, T.StringType())])
+    documents = spark.read.schema(schema).option("columnNameOfCorruptRecord", UNREADABLE)
+    found = documents.option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    return found.select(F.col("_metadata.file_path").alias("source"), *schema.names)
+
+
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """Task runs stored as JSON documents, one row each, times as timestamps."""
     log = spark.read.schema(RUN_LOG_JSON).option("multiLine", True).json(path)

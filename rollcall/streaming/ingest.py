@@ -9,12 +9,14 @@ landed batches may share the root, and a new checkpoint starts folders of its ow
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from rollcall.config import TRIGGER_INTERVAL, WATERMARK_DELAY
+from rollcall.config import COMMIT_TIMEOUT_SECONDS, TRIGGER_INTERVAL, WATERMARK_DELAY
 from rollcall.operators.events import (
     HOUR_PARTS,
     decode_events,
@@ -34,6 +36,12 @@ HOURS = T.StructType(
     + [T.StructField(c, T.LongType()) for c in HOUR_PARTS]
 )
 
+CLOSED_HOURS = T.StructType(
+    HOURS.fields[:2]
+    + [T.StructField("events", T.LongType())]
+    + [T.StructField(c, T.DoubleType()) for c in ("avg_age", "stddev_age")]
+)
+
 
 def _batch_name(batch: DataFrame, batch_id: int) -> str:
     """The query's id, which stays over restarts and is new with a new checkpoint, and the batch."""
@@ -48,6 +56,29 @@ def _trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter
     return writer.trigger(processingTime=interval)
 
 
+class BatchTimeout(RuntimeError):
+    """A micro-batch ran longer than it may; its query has been stopped, nothing of it is committed."""
+
+
+def run_within(query: StreamingQuery, batch_seconds: float = COMMIT_TIMEOUT_SECONDS, poll_seconds: float = 1.0) -> None:
+    """Wait for a query to end, and stop it when one micro-batch takes longer than ``batch_seconds``.
+
+    The time between batches does not count, so a query may wait for messages as long as it likes.  A
+    batch that is stopped stays uncommitted in the checkpoint and is run again by the next start.  Its
+    tasks are ended; code of the caller's own that blocks the driver can only be waited for.
+    A failure of the query is raised as `awaitTermination` does.
+    """
+    batch, since = None, time.monotonic()
+    while not query.awaitTermination(poll_seconds):
+        progress = query.lastProgress
+        now = (progress["batchId"] if progress else None, query.status["isTriggerActive"])
+        if now != batch or not now[1]:
+            batch, since = now, time.monotonic()
+        elif time.monotonic() - since > batch_seconds:
+            query.stop()
+            raise BatchTimeout(f"a batch of {query.id} ran longer than {batch_seconds} s")
+
+
 def with_event_time(decoded: DataFrame) -> DataFrame:
     """Event timestamp and the bounded-lateness watermark."""
     timed = decoded.withColumn("event_ts", event_timestamp(F.col("eventTime")))
@@ -163,9 +194,15 @@ def closed_hours_stream(
 ) -> StreamingQuery:
     """Hourly figures, written once the watermark passes the hour.
 
-    Rows later than that are not in these figures; `hourly_stream` counts them.
+    The watermark and the open hours are kept over restarts.  Rows later than that are not in
+    these figures; `hourly_stream` counts them, and `late_after_close` says how many they are.
     """
     decoded = decode_events(messages).filter(F.col(ERROR).isNull())
     figures = hourly_figures(with_event_time(decoded))
     writer = figures.writeStream.format("parquet").outputMode("append")
     return _trigger(writer.option("checkpointLocation", checkpoint), interval).start(path)
+
+
+def read_closed_hours(spark: SparkSession, path: str) -> DataFrame:
+    """Hours closed so far; none yet is an empty table."""
+    return spark.read.schema(CLOSED_HOURS).parquet(path)

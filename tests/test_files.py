@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rollcall.operators.events import to_events
 from rollcall.operators.processor import check, process, storage_spec
+from rollcall.operators.report import report_figures
 from rollcall.operators.runs import run_log_summary
 from rollcall.operators.statistics import city_statistics, combined_report
 from rollcall.schemas import PERSON_FIELDS
@@ -215,3 +216,28 @@ def test_an_oversized_hour_is_split_over_writers(spark, tmp_path):
     files = list(Path(path).rglob("*.parquet"))
     assert {p.parent.parent.name for p in files} == {"hour=00"} and len(files) > 2
     assert source.read_lake(spark, path).count() == 20000
+
+
+def test_many_reports_are_unfolded_side_by_side(spark, tmp_path):
+    whole = {
+        "generated_at": "t", "total_records": 2,
+        "city_statistics": [{"city": "X", "total_people": 2, "avg_age": 1.5, "min_age": 1, "max_age": 2}],
+        "age_groups": [{"age_group": "Minor", "count": 2, "percentage": "100.0%"}],
+        "status_distribution": {"Active": 2}, "email_domains": {"test.com": 1, "demo.org": 1},
+    }
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.json").write_text(json.dumps(whole, indent=2))
+    (tmp_path / "deep" / "b.json").write_text(json.dumps({"age_groups": [], "status_distribution": {"Gone": 7}}))
+    (tmp_path / "c.json").write_text('{"total_records": ')
+    rows = report_figures(source.read_reports(spark, str(tmp_path))).collect()
+    by_source = {}
+    for r in rows:
+        by_source.setdefault(Path(r.source).name, set()).add(tuple(r)[2:])
+    assert by_source["a.json"] == {
+        ("total", None, 2, None, None, None, None), ("city", "X", 2, 1.5, 1, 2, None),
+        ("age_group", "Minor", 2, None, None, None, "100.0%"), ("status", "Active", 2, None, None, None, None),
+        ("domain", "test.com", 1, None, None, None, None), ("domain", "demo.org", 1, None, None, None, None),
+    }
+    none = (None,) * 4
+    assert by_source["b.json"] == {("total", None, 0, *none), ("status", "Gone", 7, *none)}
+    assert by_source["c.json"] == {("unreadable", None, None, *none)}

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.operators import processor
 from rollcall.operators.processor import RecordSpec, accepted, check, parse_people, process, rejected
@@ -149,3 +150,27 @@ def test_validate_lake(people):
     assert row.asDict() == {"records_read": 3, "valid": 2, "invalid": 1, "dropped": 2, "blank_names": 1}
     by_rule = rejects_by_rule(check(df, processor.storage_spec())).collect()
     assert {r.rule: r.rejected for r in by_rule} == {"age": 1, "status": 1}
+
+
+def test_a_parse_step_of_any_schema(spark):
+    schema = T.StructType(
+        [T.StructField("n", T.IntegerType()), T.StructField("x", T.DoubleType()), T.StructField("d", T.DateType()), T.StructField("s", T.StringType())]
+    )
+    texts = [
+        '{"n": 1, "x": "2.5", "d": "2024-02-29", "s": "a", "other": 1}', '{"n": "7.0"}', '{"n": 7.5}', '{"n": 99999999999}',
+        '{"x": 1}', '{"n": null, "x": "?"}', '{"n": 1, "d": "2024-02-30"}', "{", "[]", "", None, '{"n": 1} x', '{"n": -5, "s": {"k": 1}}',
+    ]
+    lines = spark.createDataFrame([(i, t, "old") for i, t in enumerate(texts)], "i int, value string, s string")
+    spec = RecordSpec(
+        tuple(schema.names), {"sign": F.when(F.col("n") < 0, F.lit("Negative"))}, {"n": F.col("n") + 1},
+        processor.json_parser(schema, required_fields=("n",)),
+    )
+    rows = process(lines, spec).orderBy("i").collect()
+    assert [(r.n, r.error_rule) for r in rows] == [
+        (2, None), (8, None), (None, "n"), (None, "n"), (None, "n"), (None, "n"), (1, "d"),
+        (None, "json"), (None, "json"), (None, "json"), (None, "json"), (None, "json"), (-5, "sign"),
+    ]
+    assert rows[0].x == 2.5 and str(rows[0].d) == "2024-02-29" and rows[0].s == "a"
+    assert rows[3].error == "Parse error: Invalid n: 99999999999" and rows[4].error == "Parse error: Missing n"
+    assert rows[6].error == "Parse error: Invalid d: 2024-02-30" and rows[12].s == '{"k":1}'
+    assert process(lines.limit(0), spec).collect() == []

@@ -1,4 +1,7 @@
 import json
+import os
+import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,10 +9,10 @@ from pyspark.sql.streaming.query import StreamingQueryException
 
 from rollcall.operators import events as E
 from rollcall.plans import jobs
-from rollcall.sinks.event_log import publish_staged
-from rollcall.sinks.files import append_to_lake
+from rollcall.sinks.event_log import publish_acknowledged, publish_staged
+from rollcall.sinks.files import append_to_lake, write_lake
 from rollcall.sources.event_log import stream_staged_messages, stream_topic
-from rollcall.sources.files import read_lake, scan_data_files
+from rollcall.sources.files import compact_lake, read_lake, scan_data_files
 from rollcall.streaming import ingest
 
 HOUR = 3_600_000
@@ -227,3 +230,118 @@ def test_kafka_source_asks_for_the_connector(spark):
         assert stream_topic(spark).isStreaming
     except Exception as error:
         assert "kafka" in str(error).lower()
+
+
+def test_late_events_of_closed_hours_are_counted_over_restarts(platform):
+    spark, closed, hours = platform.spark, str(platform.root / "closed"), str(platform.root / "hours")
+
+    def run(*events):
+        platform.publish(*events)
+        for start, out in ((ingest.closed_hours_stream, closed), (ingest.hourly_stream, hours)):
+            start(platform.stream(), out, platform.checkpoint(out[-6:].strip("/")), interval=None).awaitTermination()
+        rows = E.late_after_close(ingest.read_closed_hours(spark, closed), ingest.read_hours(spark, hours))
+        return [(r.window_start.hour, r.events, r.late) for r in rows.orderBy("window_start").collect()]
+
+    assert run(event(0, DAY), event(1, DAY + HOUR + 1), event(2, DAY + 2 * HOUR)) == [(0, 1, 0)]
+    # Hour 1 is open still and takes its event; hour 0 is closed.
+    late = [event(3, DAY + 5), event(4, DAY + HOUR + 5), event(5, DAY + 6)]
+    assert run(*late, event(6, DAY + 3 * HOUR)) == [(0, 1, 2), (1, 2, 0)]
+    assert run(event(7, DAY + 4 * HOUR)) == [(0, 1, 2), (1, 2, 0), (2, 1, 0)]
+
+
+def test_figures_that_lag_behind_lose_nothing(platform):
+    stamps = "window_start timestamp, window_end timestamp, events long"
+    one = [(datetime(2024, 1, 1, 0), datetime(2024, 1, 1, 1), 3)]
+    closed, older = platform.spark.createDataFrame(one, stamps), platform.spark.createDataFrame([(*one[0][:2], 1)], stamps)
+    assert [r.late for r in E.late_after_close(closed, older).collect()] == [0]
+    assert [r.late for r in E.late_after_close(closed, older.limit(0)).collect()] == [0]
+
+
+def test_a_hanging_batch_is_stopped_and_run_again(platform):
+    platform.publish(event(0, DAY))
+    out, slow = str(platform.root / "out"), [True]
+
+    def write(batch, batch_id):
+        def sleep(rows):
+            time.sleep(60)
+            yield from rows
+
+        if slow[0]:
+            batch = batch.mapInArrow(sleep, batch.schema)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    def start():
+        writer = platform.stream().writeStream.foreachBatch(write).trigger(availableNow=True)
+        return writer.option("checkpointLocation", platform.checkpoint("slow")).start()
+
+    began = time.monotonic()
+    with pytest.raises(ingest.BatchTimeout):
+        ingest.run_within(start(), batch_seconds=2, poll_seconds=0.2)
+    assert time.monotonic() - began < 40
+    slow[0] = False
+    ingest.run_within(start(), batch_seconds=60, poll_seconds=0.2)
+    assert platform.spark.read.parquet(out).count() == 1
+
+
+def test_outcomes_of_a_log_that_refuses_some(platform):
+    rows = [(str(n) if n % 5 else None, "x" * n if n % 7 else None) for n in range(200)]
+    df = platform.spark.createDataFrame(rows, "key string, value string").repartition(4)
+    path = str(platform.root / "outcomes")
+
+    def open_sender():
+        return lambda batch: ["Too large" if len(value) > 150 else None for _, value in batch]
+
+    counts = publish_acknowledged(df, open_sender, path)
+    expected = ["No key or no value" if k is None or v is None else "Too large" if len(v) > 150 else None for k, v in rows]
+    assert (counts.success, counts.failure) == (expected.count(None), len(rows) - expected.count(None))
+    found = sorted((r.key or "", r.value or "", r.error or "") for r in platform.spark.read.parquet(path).collect())
+    assert found == sorted((k or "", v or "", e or "") for (k, v), e in zip(rows, expected, strict=True))
+
+
+def test_outcomes_of_a_task_that_runs_again_count_once(platform):
+    df = platform.spark.createDataFrame([("k", "v")] * 20, "key string, value string").repartition(1)
+    path, tried = str(platform.root / "again"), str(platform.root / "tried")
+
+    def open_sender():
+        again = os.path.exists(tried)
+        open(tried, "w").close()
+
+        def deliver(batch):
+            if not again:
+                os._exit(1)  # the worker is lost with its first batch
+            return [None] * len(batch)
+
+        return deliver
+
+    with pytest.raises(Exception, match="(?i)crash|exit|abort|fail"):
+        publish_acknowledged(df, open_sender, path)  # a local session does not retry tasks
+    counts = publish_acknowledged(df, open_sender, path)
+    assert counts.success == 20 and platform.spark.read.parquet(path).count() == 20
+
+
+def test_a_sender_must_answer_for_each_message(platform):
+    df = platform.spark.createDataFrame([("k", "v")], "key string, value string")
+    with pytest.raises(Exception, match="1 messages sent, 0 answers"):
+        publish_acknowledged(df, lambda: lambda batch: [], str(platform.root / "short"))
+
+
+def test_history_reads_new_files_only(platform):
+    spark, lake, store = platform.spark, str(platform.root / "a lake"), str(platform.root / "store")
+    people = [json.loads(event(n, DAY + n * HOUR)) for n in range(6)]
+    kinds = "id string, name string, email string, age int, city string, status string, createdAt string, eventTime long"
+    for part in (people[:4], people[4:] + [people[0] | {"age": 150}]):
+        write_lake(spark.createDataFrame(part, kinds), lake)
+        assert jobs.refresh_history(spark, lake, store, most_files=2) == len(part)
+        assert jobs.refresh_history(spark, lake, store) == 0
+        kept, whole = jobs.read_history(spark, lake, store), jobs.export_history(spark, lake)
+        assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, whole.collect()))
+    compact_lake(spark, lake)
+    jobs.refresh_history(spark, lake, store)
+    kept, whole = jobs.read_history(spark, lake, store), jobs.export_history(spark, lake)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_history_of_no_files(platform):
+    absent, store = str(platform.root / "absent"), str(platform.root / "store")
+    assert jobs.refresh_history(platform.spark, absent, store) == 0
+    assert jobs.read_history(platform.spark, absent, store).collect() == []

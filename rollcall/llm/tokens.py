@@ -24,6 +24,8 @@ END_OF_TEXT = 50_256
 SEQUENCE_TOKENS = 1024
 SHARD_SEQUENCES = 4096
 TOKEN_BYTES = 2
+#: Neighbouring shards that one task puts in order, 8 MB each by default.
+SHARDS_A_TASK = 16
 
 
 def load_encoder(ranks: bytes):
@@ -158,8 +160,8 @@ def training_records(
     read, cut every ``sequence_tokens``; the last sequence is padded with end marks.  The keyed
     permutation of sequence numbers gives each its slot in training order; a shard holds
     ``shard_sequences`` slots in a row, and a record lies at slot within shard times the stride.
-    Each shard is one task's sorted rows and one file in the shared scratch folder; the rows
-    returned are those of the files.  Every column but doc_id and text is left behind; a null
+    Shards are dealt in ranges of neighbours; each is one task's sorted rows and one file in the
+    shared scratch folder; the rows returned are those of the files.  Every column but doc_id and text is left behind; a null
     doc_id is a null in doc_ids; an empty table gives no sequences.
 
     Texts are encoded once into a staged table; only cut ids are shuffled, and once.
@@ -176,7 +178,8 @@ def training_records(
     sequences = -(-total // sequence_tokens)
     slotted = pieces.withColumn("slot", permute(F.col("sequence"), max(1, sequences), key))
     slotted = slotted.withColumn("shard", F.floor(F.col("slot") / shard_sequences).cast("int"))
-    dealt = slotted.repartition("shard").sortWithinPartitions("slot", "at")
+    shards = -(-sequences // shard_sequences)
+    dealt = _by_range(slotted, shards).sortWithinPartitions("slot", "at")
     records = dealt.select("sequence", "slot", "doc_id", "ids").mapInArrow(
         _join_pieces(sequence_tokens), "sequence bigint, slot bigint, n_tokens int, doc_ids array<bigint>, tokens binary"
     )
@@ -185,6 +188,12 @@ def training_records(
     return read_shards(docs.sparkSession, path, sequence_tokens, shard_sequences)
 
 
+def _by_range(rows: DataFrame, shards: int) -> DataFrame:
+    """Rows in ranges of neighbouring shards, at most ``SHARDS_A_TASK`` in one, a shard never divided."""
+    ranges = max(-(-shards // SHARDS_A_TASK), min(shards, rows.sparkSession.sparkContext.defaultParallelism))
+    return rows.repartitionById(ranges, F.floor(F.col("shard").cast("bigint") * ranges / shards).cast("int"))
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The file of each shard, whose records arrive in slot order: their bytes, then the index and its size."""
     now, held, index = None, [], []
@@ -221,7 +230,8 @@ def write_shards(records: DataFrame, path: str) -> None:
     puts out the bytes as they are and a line feed, on any store, and commits a shard when its
     task has succeeded.
     """
-    _write_dealt(records.repartition("shard").sortWithinPartitions("slot"), path)
+    shards = (records.agg(F.max("shard")).first()[0] or 0) + 1
+    _write_dealt(_by_range(records, shards).sortWithinPartitions("slot"), path)
 
 
 def _unpack(stride: int, shard_sequences: int):

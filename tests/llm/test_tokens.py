@@ -66,3 +66,13 @@ def test_very_long_runs_survive(spark, docs):
     texts = [" " * 10_000_000, "a" + "\n" * 10_000_000 + "b", "x" * 10_000_000, "end"]
     rows = K.training_records(docs(list(enumerate(texts))), "key").collect()
     assert Counter(decoded(rows)) == Counter(texts)
+
+
+def test_shards_are_dealt_in_ranges(spark, monkeypatch):
+    rows = spark.range(1000).selectExpr("CAST(id % 50 AS INT) AS shard")
+    for a_task, ranges in ((16, 4), (5, 10), (1, 50)):
+        monkeypatch.setattr(K, "SHARDS_A_TASK", a_task)
+        dealt = K._by_range(rows, 50).selectExpr("shard", "spark_partition_id() AS task").distinct().collect()
+        tasks = [task for _, task in sorted(map(tuple, dealt))]
+        assert len(tasks) == 50 and tasks == sorted(tasks) and len(set(tasks)) == ranges
+        assert max(Counter(tasks).values()) <= max(a_task, -(-50 // ranges))

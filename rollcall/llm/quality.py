@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import broadcast_if_small, staged, text_or_empty, words
@@ -12,15 +12,17 @@ SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
-#: Whole per-mille statistics a rule can reject on when they are over its cutoff.
+#: Whole per-mille statistics a rule can reject on when they are over its cutoff, in the order in
+#: which rules are tried: the most trusted first.
 STATISTICS = {
     "symbol_rate": ("n_symbols", "word_chars"),
-    "dup_line_rate": ("n_dup_lines", "n_lines"),
-    "repeat_rate": ("n_repeat_words", "n_words"),
     "shout_rate": ("n_shouts", "n_words"),
+    "repeat_rate": ("n_repeat_words", "n_words"),
+    "dup_line_rate": ("n_dup_lines", "n_lines"),
 }
-#: Cutoffs tried for each statistic, per mille.
-CUTOFFS = tuple(range(0, 1000, 20))
+#: Cutoffs tried for each statistic, per mille, from loose to strict.
+CUTOFFS = tuple(range(980, -1, -20))
+STEPS = len(STATISTICS) * len(CUTOFFS)
 FALSE_REJECTION = 0.02
 RISK = 0.05
 
@@ -114,45 +116,77 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     )
 
 
-def certified_cutoffs(
+def first_rejection() -> Column:
+    """The first step of the path, from 1, whose rules reject the document; null if none does.
+
+    A step's rules are all cutoffs of the statistics before its own, and its own statistic's down
+    to its cutoff, so the rules of a step reject all that those of the steps before it do.
+    """
+
+    def passed(value: Column) -> Column:
+        return F.size(F.filter(F.array(*[F.lit(c) for c in CUTOFFS]), lambda cutoff: cutoff >= value))
+
+    own = [passed(statistic(name)) for name in STATISTICS]
+    return F.least(*[F.when(n < len(CUTOFFS), n + k * len(CUTOFFS) + 1) for k, n in enumerate(own)])
+
+
+def certified_steps(
     featured: DataFrame,
     labels: DataFrame,
     stratum: str,
     false_rejection: float = FALSE_REJECTION,
     risk: float = RISK,
 ) -> DataFrame:
-    """(stratum, statistic, cutoff, holdout, false_rejections, p_value): the lowest certified cutoffs.
-
-    The holdout of a stratum is its documents labelled quality 1 that the base rules keep.  A
-    cutoff is certified when, were the true share of good documents over it as high as
-    ``false_rejection`` / number of statistics, so few false rejections as were seen would have
-    a chance of at most ``risk`` / (strata x statistics x cutoffs): the exact binomial lower
-    tail with Bonferroni's correction, so with chance 1 - ``risk`` no stratum loses more than
-    ``false_rejection`` of its good documents to all rules together.  A stratum with too few
-    labels gets no cutoff, and nothing in it is rejected.
+    """(stratum, holdout, step, false_rejections, p_value) and a cutoff of each statistic, null if it has none.
+
+    The holdout of a stratum is its documents labelled quality 1 that the base rules keep.  Steps
+    are tested from the loosest on, and the first that fails ends the path.  A step passes when,
+    were the true share of good documents its rules reject as high as ``false_rejection``, so few
+    false rejections as were seen would have a chance of at most ``risk`` / m: the exact lower
+    tail of the binomial.  The order is fixed before the labels are seen, so the steps of a
+    stratum need no correction among themselves; m corrects for the strata, less those whose
+    holdouts are too small to pass any test at that level (Tarone's count).  With chance 1 -
+    ``risk`` no stratum loses more than ``false_rejection`` of its good documents to all rules
+    together.  A stratum with too few labels stays at step 0, where nothing is rejected.
     """
-    share = false_rejection / len(STATISTICS)
     good = labels.where("quality = 1").select(F.col("doc_id").alias("_labelled")).distinct()
     held = featured.join(good, featured["doc_id"] == good["_labelled"], "left_semi").where(~base_failed())
-    values = held.select(
-        F.col(stratum).alias("stratum"),
-        F.explode(F.array(*[F.struct(F.lit(s).alias("statistic"), statistic(s).alias("value")) for s in STATISTICS])).alias("v"),
-    ).select("stratum", "v.*")
-    # Rows per value first: at most 1001 for each stratum and statistic, whatever the labels.
-    counts = values.groupBy("stratum", "statistic", F.least("value", F.lit(1000)).alias("value")).agg(F.count("*").alias("rows"))
-    tries = counts.select("*", F.explode(F.array(*[F.lit(c) for c in CUTOFFS])).alias("cutoff"))
-    seen = tries.groupBy("stratum", "statistic", "cutoff").agg(
-        F.sum("rows").alias("holdout"),
-        F.sum(F.when(F.col("value") > F.col("cutoff"), F.col("rows")).otherwise(0)).alias("false_rejections"),
+    # Rows per step first: at most one more than there are steps for each stratum, whatever the labels.
+    counts = held.select(F.col(stratum).alias("stratum"), F.coalesce(first_rejection(), F.lit(STEPS + 1)).alias("step"))
+    counts = counts.groupBy("stratum", "step").agg(F.count("*").alias("rows"))
+    so_far = Window.partitionBy("stratum").orderBy("step")
+    # A row for each step at which the count of false rejections grows, and one before them all.
+    seen = counts.withColumns(
+        {"holdout": F.sum("rows").over(Window.partitionBy("stratum")), "rejected": F.sum("rows").over(so_far)}
+    )
+    strata = seen.groupBy("stratum").agg(F.max("holdout").alias("holdout"))
+    strata = strata.withColumn("least_p", F.pow(F.lit(1 - false_rejection), F.col("holdout")))
+    # The least m such that no more than m strata can pass at risk / m.  One row per stratum.
+    ranked = Window.orderBy("least_p")
+    ranks = strata.select(F.row_number().over(ranked).alias("m"), F.lead("least_p").over(ranked).alias("next"))
+    level = ranks.where(F.col("next").isNull() | (F.col("next") * F.col("m") > risk)).agg((F.lit(risk) / F.min("m")).alias("level"))
+    tests = seen.where(F.col("step") <= STEPS).select("stratum", "step", "holdout", "rejected")
+    tests = tests.unionByName(strata.select("stratum", F.lit(0).alias("step"), "holdout", F.lit(0).cast("bigint").alias("rejected")))
+    p_value = F.when(F.col("rejected") > F.col("holdout") * false_rejection, F.lit(1.0)).otherwise(
+        binomial_tail(F.col("holdout"), F.col("rejected"), false_rejection)
     )
-    strata = seen.agg(F.count_distinct(F.struct("stratum")).alias("strata"))
-    tail = F.when(F.col("false_rejections") > F.col("holdout") * share, F.lit(1.0)).otherwise(
-        binomial_tail(F.col("holdout"), F.col("false_rejections"), share)
+    tests = tests.withColumn("p_value", p_value).join(F.broadcast(level))
+    passed = F.col("p_value") <= F.col("level")
+    # Counts only grow along the path, so the tests passed are those before the first that fails.
+    ended = tests.groupBy("stratum").agg(
+        F.max("holdout").alias("holdout"),
+        F.greatest(F.coalesce(F.min(F.when(~passed, F.col("step"))) - 1, F.lit(STEPS)), F.lit(0)).alias("step"),
+        F.coalesce(F.max(F.when(passed, F.col("rejected"))), F.lit(0).cast("bigint")).alias("false_rejections"),
+        F.max(F.when(passed, F.col("p_value"))).alias("p_value"),
+    )
+    cutoffs = F.array(*[F.lit(c) for c in CUTOFFS])
+    return ended.select(
+        "*",
+        *[
+            F.get(cutoffs, F.least(F.col("step") - k * len(CUTOFFS), F.lit(len(CUTOFFS))) - 1).alias(f"{name}_cutoff")
+            for k, name in enumerate(STATISTICS)
+        ],
     )
-    tested = seen.join(F.broadcast(strata)).withColumn("p_value", tail)
-    passed = tested.where(F.col("p_value") * F.col("strata") * (len(STATISTICS) * len(CUTOFFS)) <= risk)
-    lowest = F.min_by(F.struct("cutoff", "holdout", "false_rejections", "p_value"), "cutoff").alias("_best")
-    return passed.groupBy("stratum", "statistic").agg(lowest).select("stratum", "statistic", "_best.*")
 
 
 def judge(
@@ -163,17 +197,13 @@ def judge(
     Texts are read once: their features are staged, and cutoffs and verdicts come from those.
     A document is dropped that fails a base rule or is over a certified cutoff of its stratum.
     A null stratum is a stratum of its own.  Labels of unknown documents, repeated labels and
-    null labels change nothing.  An empty table gives an empty result.
+    null labels change nothing.  Columns of ``docs`` named like a result are replaced by it.  An
+    empty table gives an empty result.
     """
     features = document_features(docs).drop("text").withColumn("base_failed", base_failed())
     featured = staged(features, "quality-features")
-    cutoffs = staged(certified_cutoffs(featured, labels, stratum, false_rejection, risk), "quality-cutoffs")
-    per_stratum = cutoffs.groupBy(F.col("stratum").alias("_stratum")).agg(
-        *[F.min(F.when(F.col("statistic") == s, F.col("cutoff"))).alias(f"_cut_{s}") for s in STATISTICS]
-    )
-    joined = featured.join(broadcast_if_small(per_stratum), featured[stratum].eqNullSafe(per_stratum["_stratum"]), "left")
-    over = F.lit(False)
-    for s in STATISTICS:
-        over = over | F.coalesce(statistic(s) > F.col(f"_cut_{s}"), F.lit(False))
-    return joined.withColumn("kept", ~(F.col("base_failed") | over)).drop("_stratum", *[f"_cut_{s}" for s in STATISTICS])
-
+    certified = staged(certified_steps(featured, labels, stratum, false_rejection, risk), "quality-cutoffs")
+    steps = certified.select(F.col("stratum").alias("_stratum"), F.col("step").alias("_step"))
+    joined = featured.join(broadcast_if_small(steps), featured[stratum].eqNullSafe(steps["_stratum"]), "left")
+    over = F.coalesce(first_rejection() <= F.col("_step"), F.lit(False))
+    return joined.withColumn("kept", ~(F.col("base_failed") | over)).drop("_stratum", "_step")

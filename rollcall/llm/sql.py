@@ -108,23 +108,36 @@ FEATURES = rf"""
       CASE WHEN n_words > 0 THEN n_shouts * 1000 // n_words ELSE 0 END AS shout_rate
     FROM features
   ),
+  stepped AS (
+    SELECT *, least(
+        CASE WHEN symbol_rate > 0 THEN 50 - least(49, (symbol_rate - 1) // 20) END,
+        CASE WHEN shout_rate > 0 THEN 100 - least(49, (shout_rate - 1) // 20) END,
+        CASE WHEN repeat_rate > 0 THEN 150 - least(49, (repeat_rate - 1) // 20) END,
+        CASE WHEN dup_line_rate > 0 THEN 200 - least(49, (dup_line_rate - 1) // 20) END) AS step
+    FROM failed
+  ),
   holdout AS (
-    UNPIVOT (
-      SELECT lang, symbol_rate, dup_line_rate, repeat_rate, shout_rate FROM failed
-      WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
-    ) ON symbol_rate, dup_line_rate, repeat_rate, shout_rate INTO NAME statistic VALUE value
+    SELECT lang, step FROM stepped WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+  ),
+  strata AS (SELECT lang, count(*) AS n, 0.98 ** count(*) AS least_p FROM holdout GROUP BY lang),
+  level AS (
+    SELECT 0.05 / min(m) AS level FROM (SELECT row_number() OVER () AS m FROM strata) r
+    WHERE (SELECT count(*) FROM strata WHERE least_p * m <= 0.05) <= m
   ),
   tried AS (
-    SELECT lang, statistic, cutoff, count(*) AS n, count(*) FILTER (WHERE value > cutoff) AS k
-    FROM holdout, range(0, 1000, 20) AS r(cutoff) GROUP BY ALL
+    SELECT lang, s, count(*) AS n, count(*) FILTER (WHERE step <= s) AS k FROM holdout, range(0, 201) AS r(s) GROUP BY ALL
+  ),
+  failing AS (
+    SELECT lang, min(s) AS s FROM tried, level
+    WHERE k > n * 0.02 OR list_sum(list_transform(range(0, k + 1), lambda j:
+        exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.02) + (n - j) * ln(0.98)))) > level
+    GROUP BY lang
   ),
   certified AS (
-    SELECT lang, statistic, min(cutoff) AS cutoff FROM tried
-    WHERE k <= n * 0.005 AND list_sum(list_transform(range(0, k + 1), lambda j:
-        exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.005) + (n - j) * ln(0.995))))
-      * (SELECT count(DISTINCT coalesce(lang, chr(0))) FROM tried) * 200 <= 0.05
-    GROUP BY ALL
-  )"""
+    SELECT t.lang, greatest(coalesce(f.s - 1, 200), 0) AS step
+    FROM strata t LEFT JOIN failing f ON t.lang IS NOT DISTINCT FROM f.lang
+  )
+"""
 
 
 #: CRC-32 in plain SQL: a table of 256 remainders, and a fold over a list of bytes.
@@ -170,16 +183,10 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM following GROUP BY conv_id
 """,
     "op9_certified_quality": f"""
-WITH {FEATURES},
-  cuts AS (
-    SELECT lang, min(cutoff) FILTER (WHERE statistic = 'symbol_rate') AS c1, min(cutoff) FILTER (WHERE statistic = 'dup_line_rate') AS c2,
-      min(cutoff) FILTER (WHERE statistic = 'repeat_rate') AS c3, min(cutoff) FILTER (WHERE statistic = 'shout_rate') AS c4
-    FROM certified GROUP BY lang
-  )
+WITH {FEATURES}
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR coalesce(symbol_rate > c1, false) OR coalesce(dup_line_rate > c2, false)
-       OR coalesce(repeat_rate > c3, false) OR coalesce(shout_rate > c4, false)) AS kept
-FROM failed f LEFT JOIN cuts c ON f.lang IS NOT DISTINCT FROM c.lang
+  NOT (base_failed OR coalesce(f.step <= c.step, false)) AS kept
+FROM stepped f LEFT JOIN certified c ON f.lang IS NOT DISTINCT FROM c.lang
 """,
     "op10_hierarchical_mix": f"""
 WITH {mix_ctes("rollcall-mix", 2, "documents")}

@@ -167,20 +167,53 @@ WITH turns AS (
         + length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</', '<\/')) + 3 AS chars
     FROM turns
   ),
-  placed AS (
-    SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  parted AS (
+    SELECT *, place = 1 AND lower(role) = 'system' AS is_system,
+      max(CASE WHEN place = 1 AND lower(role) = 'system' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS system
     FROM sized
   ),
-  windowed AS (SELECT *, start // 384 AS win, place = 1 AND lower(role) = 'system' AS is_system FROM placed),
-  following AS (
-    SELECT *, min(start) OVER (PARTITION BY conv_id ORDER BY win RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM windowed
+  budgeted AS (
+    SELECT *, greatest(least(128, CAST(floor((512 - system) / 3) AS BIGINT)), 0) AS reach, CASE WHEN is_system THEN 0 ELSE tokens END AS counted
+    FROM parted
+  ),
+  placed AS (
+    SELECT *, greatest(512 - system - reach, 1) AS stride, sum(counted) OVER (PARTITION BY conv_id ORDER BY place) - counted AS start FROM budgeted
+  ),
+  celled AS (
+    SELECT *, start // stride AS cell, NOT is_system AND start + counted > (start // stride + 1) * stride AS crosses FROM placed
+  ),
+  spans AS (
+    SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY CASE WHEN is_system THEN 0 WHEN place = 2 AND system > 0 THEN 0
+      ELSE 2 * cell + crosses::INT + 1 END) AS any_rank FROM celled
+  ),
+  own AS (
+    -- Behind a system turn the second turn is in the first window, with those of its cell if it does not cross.
+    SELECT *, CASE WHEN system > 0 AND NOT first_value(crosses) OVER (PARTITION BY conv_id ORDER BY place = 2 DESC)
+        AND cell = 0 AND NOT crosses THEN 1 ELSE any_rank END AS win
+    FROM spans
+  ),
+  wins AS (
+    SELECT conv_id, win, min(start) AS s, sum(tokens) AS own_tokens, any_value(system) AS system, bool_or(is_system) AS holds_system
+    FROM own GROUP BY conv_id, win
+  ),
+  repeated AS (
+    SELECT t.conv_id, w.win, t.tokens, t.chars FROM own t JOIN wins w
+      ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND w.win > t.win AND NOT t.is_system AND t.start >= w.s - t.reach
+  ),
+  context AS (SELECT conv_id, win, sum(tokens) AS tokens, sum(chars) AS chars FROM repeated GROUP BY conv_id, win),
+  filled AS (
+    SELECT w.conv_id, own_tokens + coalesce(c.tokens, 0) + CASE WHEN holds_system THEN 0 ELSE system END AS tokens, coalesce(c.chars, 0) AS chars
+    FROM wins w LEFT JOIN context c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.win = c.win
+  ),
+  per_conv AS (
+    SELECT conv_id, count(*) AS n_windows, count(*) FILTER (WHERE tokens > 512) AS n_over_budget, sum(chars) AS chars FROM filled GROUP BY conv_id
   )
-SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+SELECT o.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(chars) + coalesce(sum(chars) FILTER (WHERE NOT is_system AND start >= next - 128), 0)
-    + coalesce(sum(chars) FILTER (WHERE is_system), 0) * (count(DISTINCT win) - 1) AS BIGINT) AS formatted_chars
-FROM following GROUP BY conv_id
+  CAST(sum(o.chars) + any_value(p.chars) + coalesce(sum(o.chars) FILTER (WHERE is_system), 0) * (any_value(n_windows) - 1) AS BIGINT) AS formatted_chars,
+  any_value(n_windows) AS n_windows, any_value(n_over_budget) AS n_over_budget
+FROM own o JOIN per_conv p ON o.conv_id IS NOT DISTINCT FROM p.conv_id GROUP BY o.conv_id
 """,
     "op9_certified_quality": f"""
 WITH {FEATURES}

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from rollcall.llm import chat
 
@@ -29,12 +30,74 @@ def test_windows_round_trip_and_train_each_answer_once(spark):
 
 def test_history_is_limited_and_masked(spark):
     rows = [(1, i, ("user", "assistant")[i % 2], "z" * 80) for i in range(40)]
-    budget = chat.Budget(stride=100, history=50)
+    budget = chat.Budget(tokens=150, history=50)
     windows = chat.format_windows(spark.createDataFrame(rows, TURNS), budget).collect()
     assert max(r["n_context"] for r in windows) == 2  # 24 tokens each
+    assert max(r["n_tokens"] for r in windows) <= 150 and not any(r["over_budget"] for r in windows)
     assert sum(len(r["loss_spans"]) for r in windows) == 20
 
 
+def plain_windows(turns, budget, history):
+    """(tokens, own places, repeated places) of each window, turn after turn; ``turns`` are (role, tokens)."""
+    system = turns[0][1] if turns[0][0] == "system" else 0
+    reach = max(min(history, (budget - system) // 3), 0)
+    stride = max(budget - system - reach, 1)
+    start, starts, keys = 0, [], []
+    for k, (_, size) in enumerate(turns):
+        starts.append(start)
+        if k == 0 and system:
+            keys.append((0, False))
+            continue
+        keys.append((start // stride, start + size > (start // stride + 1) * stride))
+        start += size
+    windows = [[0]]
+    for k in range(1, len(turns)):
+        if keys[k] == keys[k - 1] or (k == 1 and system):
+            windows[-1].append(k)
+        else:
+            windows.append([k])
+    out = []
+    for n, own in enumerate(windows):
+        again = [k for k in range(own[0]) if starts[k] >= starts[own[0]] - reach and not (k == 0 and system)]
+        total = sum(turns[k][1] for k in own + again) + (system if n else 0)
+        out.append((total, own, again))
+    return out
+
+
+def test_windows_fit_the_budget_and_match_the_plain_form(spark):
+    rng = random.Random(4)
+    rows, plain = [], {}
+    for conv in range(60):
+        sizes = [rng.choice([1, 4, 20, 60, 200, 700, 1500]) for _ in range(rng.randrange(1, 40))]
+        roles = [("user", "assistant")[i % 2] for i in range(len(sizes))]
+        if conv % 3 == 0:
+            roles[0] = "system"
+        rows += [(conv, i, role, "q" * size) for i, (role, size) in enumerate(zip(roles, sizes, strict=True))]
+        plain[conv] = plain_windows([(r, (n + 3) // 4 + 4) for r, n in zip(roles, sizes, strict=True)], 160, 40)
+    got = {}
+    for r in chat.format_windows(spark.createDataFrame(rows, TURNS), chat.Budget(tokens=160, history=40)).collect():
+        got[r["conv_id"], r["window"]] = r
+    assert len(got) == sum(map(len, plain.values()))
+    fits = 0
+    for conv, windows in plain.items():
+        system = conv % 3 == 0
+        for n, (total, own, again) in enumerate(windows):
+            r = got[conv, n]
+            assert (r["n_tokens"], r["over_budget"], r["n_context"]) == (total, total > 160, len(again) + (1 if system and n else 0))
+            assert r["text"].count("</turn>") == len(own) + r["n_context"]
+            if total > 160:
+                assert len(own) - (1 if system and n == 0 else 0) <= 1
+            fits += total <= 160 and len(own) > 1
+    assert fits > 50
+
+
+def test_a_system_turn_beyond_the_budget(spark):
+    rows = [(1, 0, "system", "s" * 4000), (1, 1, "user", "a"), (1, 2, "assistant", "b")]
+    windows = sorted(chat.format_windows(spark.createDataFrame(rows, TURNS)).collect(), key=lambda r: r["window"])
+    assert [r["over_budget"] for r in windows] == [True, True]
+    assert all(r["text"].startswith("### system: sss") for r in windows)
+
+
 def test_an_empty_table(spark):
     windows = chat.format_windows(spark.createDataFrame([], TURNS))
     assert chat.conversation_digests(windows).count() == 0

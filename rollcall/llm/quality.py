@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import broadcast_if_small, staged, text_or_empty, words
+from rollcall.llm.common import broadcast_if_small, free_name, staged, text_or_empty, words
 
 # What counts as a symbol, and the two base rules.
 SYMBOLS = "[#*$%&|<>]"
@@ -42,12 +42,13 @@ def document_features(docs: DataFrame) -> DataFrame:
     are compared by a 64-bit hash.  A text of any length is handled within its row.
     """
     text = text_or_empty()
-    base = docs.withColumn("_text", text).withColumn("_words", words(F.col("_text")))
-    parts = F.col("_words")
-    base = base.withColumn("_windows", _windows(parts))
-    lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    base = base.withColumn("_lines", lines)
-    placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    own_text, own_words, own_windows, own_lines = (free_name(docs, n) for n in ("_text", "_words", "_windows", "_lines"))
+    base = docs.withColumn(own_text, text).withColumn(own_words, words(F.col(own_text)))
+    parts = F.col(own_words)
+    base = base.withColumn(own_windows, _windows(parts))
+    lines = F.filter(F.split(own_text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    base = base.withColumn(own_lines, lines)
+    placed = F.sort_array(F.transform(own_windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     # A window equal to a neighbour in hash order is repeated.  Over the sorted places of these,
     # each adds the words it covers up to the next: three at most.
     # The sorted windows are kept as a variable of a one-element transform so they are made once.
@@ -75,18 +76,18 @@ def document_features(docs: DataFrame) -> DataFrame:
     )
     base = base.withColumns(
         {
-            "n_words": F.size("_words").cast("bigint"),
-            "word_chars": F.length(F.regexp_replace("_text", r"[\x20\x09-\x0D]", "")).cast("bigint"),
-            "n_symbols": F.regexp_count("_text", F.lit(SYMBOLS)).cast("bigint"),
-            "n_lines": F.size("_lines").cast("bigint"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
-            "n_shouts": F.regexp_count("_text", F.lit(r"!!(?=[\x20\x09-\x0D]|\z)")).cast("bigint"),
+            "n_words": F.size(own_words).cast("bigint"),
+            "word_chars": F.length(F.regexp_replace(own_text, r"[\x20\x09-\x0D]", "")).cast("bigint"),
+            "n_symbols": F.regexp_count(own_text, F.lit(SYMBOLS)).cast("bigint"),
+            "n_lines": F.size(own_lines).cast("bigint"),
+            "n_dup_lines": (F.size(own_lines) - F.size(F.array_distinct(own_lines))).cast("bigint"),
+            "n_shouts": F.regexp_count(own_text, F.lit(r"!!(?=[\x20\x09-\x0D]|\z)")).cast("bigint"),
             "n_repeat_words": F.when(
-                F.size("_windows") == F.size(F.array_distinct("_windows")), F.lit(0).cast("bigint")
+                F.size(own_windows) == F.size(F.array_distinct(own_windows)), F.lit(0).cast("bigint")
             ).otherwise(covered),
         }
     )
-    return base.drop("_text", "_words", "_windows", "_lines")
+    return base.drop(own_text, own_words, own_windows, own_lines)
 
 
 def base_failed() -> Column:
@@ -203,7 +204,8 @@ def judge(
     features = document_features(docs).drop("text").withColumn("base_failed", base_failed())
     featured = staged(features, "quality-features")
     certified = staged(certified_steps(featured, labels, stratum, false_rejection, risk), "quality-cutoffs")
-    steps = certified.select(F.col("stratum").alias("_stratum"), F.col("step").alias("_step"))
-    joined = featured.join(broadcast_if_small(steps), featured[stratum].eqNullSafe(steps["_stratum"]), "left")
-    over = F.coalesce(first_rejection() <= F.col("_step"), F.lit(False))
-    return joined.withColumn("kept", ~(F.col("base_failed") | over)).drop("_stratum", "_step")
+    of, last = free_name(featured, "_stratum"), free_name(featured, "_step")
+    steps = certified.select(F.col("stratum").alias(of), F.col("step").alias(last))
+    joined = featured.join(broadcast_if_small(steps), featured[stratum].eqNullSafe(steps[of]), "left")
+    over = F.coalesce(first_rejection() <= F.col(last), F.lit(False))
+    return joined.withColumn("kept", ~(F.col("base_failed") | over)).drop(of, last)

@@ -104,6 +104,6 @@ def test_steps_match_tests_one_after_the_other(spark):
 
 def test_columns_named_like_results_are_replaced(spark, docs):
     labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
-    rows = docs([(1, "a b"), (2, "w " * 60)], n_words=7, kept="'x'", step=3, stratum="'z'")
-    got = {r["doc_id"]: (r["n_words"], r["kept"], r["step"]) for r in quality.judge(rows, labels).collect()}
-    assert got[1] == (2, False, 3) and got[2][0] == 60
+    rows = docs([(1, "a b"), (2, "w " * 60)], n_words=7, kept="'x'", step=3, stratum="'z'", _step=1, _stratum=2, _text="'t'", _lines=4)
+    got = {r["doc_id"]: (r["n_words"], r["kept"], r["step"], r["_step"], r["_text"], r["_lines"]) for r in quality.judge(rows, labels).collect()}
+    assert got[1] == (2, False, 3, 1, "t", 4) and got[2][0] == 60

@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import batched, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,15 @@ SHARD_SEQUENCES = 4096
 TOKEN_BYTES = 2
 #: Neighbouring shards that one task puts in order, 8 MB each by default.
 SHARDS_A_TASK = 16
+#: Bytes of ids that a task gathers by shard before it sends them, and that go in one bundle.
+HELD_BYTES = 16 << 20
+BUNDLE_BYTES = 1 << 18
+BUNDLE_LEVEL = 3
+#: Bundles of one batch, of those that are left at a task's end.
+BATCH_BUNDLES = 64
+BUNDLE = "shard int, slots array<bigint>, sequences array<bigint>, ats array<int>, sizes array<int>, doc_ids array<bigint>, ids binary"
+BUNDLE_NAMES = ["shard", "slots", "sequences", "ats", "sizes", "doc_ids", "ids"]
+BUNDLE_KINDS = [pa.int32(), *map(pa.list_, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())), pa.binary()]
 
 
 def load_encoder(ranks: bytes):
@@ -65,7 +76,7 @@ def _encode(ranks: bytes):
         for batch in batches:
             starts, sizes, ids = [], [], []
             for text in batch.column("text").to_pylist():
-                got = np.array([*encode_text(encoder, text), END_OF_TEXT], "<u2")
+                got = np.array(array("H", [*encode_text(encoder, text), END_OF_TEXT]), "<u2")
                 starts.append(at)
                 sizes.append(got.size)
                 ids.append(got.tobytes())
@@ -92,54 +103,88 @@ def encode_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
         )
 
 
-def _chop(length: int):
-    """Cut each text's ids at the sequence borders of the whole stream."""
+def _bundle(length: int, shard_sequences: int):
+    """Cut each text's ids at the sequence borders of the whole stream; pieces of one shard go in bundles, their ids compressed together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=BUNDLE_LEVEL)
+        held: dict[int, tuple[list, ...]] = {}
+        sizes: dict[int, int] = {}
+
+        def close(shard: int) -> tuple:
+            *about, ids = held.pop(shard)
+            del sizes[shard]
+            return (shard, *about, codec.compress(b"".join(ids), asbytes=True))
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), BUNDLE_KINDS, strict=True)], BUNDLE_NAMES)
+
         for batch in batches:
-            rows = [[], [], [], []]
-            for doc, start, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "tokens")), strict=True):
+            rows, total = [], sum(sizes.values())
+            for doc, start, ids, slots in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "tokens", "slots")), strict=True):
                 size, taken = len(ids) // TOKEN_BYTES, 0
-                while taken < size:
+                for slot in slots:
                     at = (start + taken) % length
                     take = min(length - at, size - taken)
-                    rows[0].append((start + taken) // length)
-                    rows[1].append(at)
-                    rows[2].append(doc)
-                    rows[3].append(ids[taken * TOKEN_BYTES : (taken + take) * TOKEN_BYTES])
+                    shard, piece = slot // shard_sequences, ids[taken * TOKEN_BYTES : (taken + take) * TOKEN_BYTES]
+                    pieces = held.setdefault(shard, ([], [], [], [], [], []))
+                    for values, value in zip(pieces, (slot, (start + taken) // length, at, take, doc, piece), strict=True):
+                        values.append(value)
+                    sizes[shard] = sizes.get(shard, 0) + len(piece)
+                    total += len(piece)
                     taken += take
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], ["sequence", "at", "doc_id", "ids"])
+                    if sizes[shard] >= BUNDLE_BYTES:
+                        total -= sizes[shard]
+                        rows.append(close(shard))
+                    if total >= HELD_BYTES:
+                        total = 0
+                        rows.extend([close(k) for k in list(held)])
+            if rows:
+                yield batch_of(rows)
+        for some in batched(list(held), BATCH_BUNDLES):
+            yield batch_of([close(shard) for shard in some])
 
     return run
 
 
-def _join_pieces(length: int):
-    """Put the pieces of each slot, which arrive in order, together; the last sequence is padded."""
+def _shard_file(shard: int, records: Iterable[tuple]) -> pa.RecordBatch:
+    """The file of a shard, from (tokens, sequence, n_tokens, doc_ids) in slot order: the tokens, then the index and its size."""
+    held, index = [], []
+    for tokens, *about in records:
+        held.append(tokens)
+        index.append(about)
+    about = json.dumps(index, separators=(",", ":")).encode()
+    content = b"".join([*held, about, b"%016x" % len(about)])
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([content], pa.binary())], ["shard", "content"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["sequence", "slot", "n_tokens", "doc_ids", "tokens"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
-        now, held, docs = None, [], []
 
-        def close() -> tuple:
-            ids = b"".join(held)
-            pad = np.full(length - len(ids) // TOKEN_BYTES, END_OF_TEXT, "<u2").tobytes()
-            return (now[0], now[1], len(ids) // TOKEN_BYTES, docs, ids + pad)
+def _join_pieces(pieces: list[tuple], length: int) -> Iterator[tuple]:
+    """Records of (slot, at, sequence, doc_id, ids) in slot order; the last sequence is padded."""
+    pieces.sort(key=lambda piece: piece[:2])
+    for _, own in groupby(pieces, key=lambda piece: piece[0]):
+        _, _, sequences, docs, ids = zip(*own, strict=True)
+        ids = b"".join(ids)
+        n_tokens = len(ids) // TOKEN_BYTES
+        yield ids + np.full(length - n_tokens, END_OF_TEXT, "<u2").tobytes(), sequences[0], n_tokens, docs
+
 
+def _unbundle(length: int):
+    """The file of each shard, whose bundles arrive one after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, now, pieces = pa.Codec("zstd"), None, []
         for batch in batches:
-            rows = []
-            for sequence, slot, doc, ids in zip(*(batch.column(c).to_pylist() for c in ("sequence", "slot", "doc_id", "ids")), strict=True):
-                if now is not None and now[1] != slot:
-                    rows.append(close())
-                    held, docs = [], []
-                now = (sequence, slot)
-                held.append(ids)
-                docs.append(doc)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            for shard, slots, sequences, ats, sizes, docs, packed in zip(*(batch.column(c).to_pylist() for c in BUNDLE_NAMES), strict=True):
+                if now is not None and now != shard:
+                    yield _shard_file(now, _join_pieces(pieces, length))
+                    pieces = []
+                now, ids, begin = shard, codec.decompress(packed, sum(sizes) * TOKEN_BYTES, asbytes=True), 0
+                for slot, sequence, at, size, doc in zip(slots, sequences, ats, sizes, docs, strict=True):
+                    end = begin + size * TOKEN_BYTES
+                    pieces.append((slot, at, sequence, doc, ids[begin:end]))
+                    begin = end
         if now is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(close(), kinds, strict=True)], names)
+            yield _shard_file(now, _join_pieces(pieces, length))
 
     return run
 
@@ -164,7 +209,8 @@ def training_records(
     shared scratch folder; the rows returned are those of the files.  Every column but doc_id and text is left behind; a null
     doc_id is a null in doc_ids; an empty table gives no sequences.
 
-    Texts are encoded once into a staged table; only cut ids are shuffled, and once.
+    Texts are encoded once into a staged table; only cut ids are shuffled, and once.  A task
+    holds ``HELD_BYTES`` of ids until it sends them in compressed bundles, one or more a shard.
     """
     encoded = encode_documents(docs, tokenizer)
     sizes = encoded.groupBy("part").agg(F.sum("n_tokens").alias("n"))
@@ -173,18 +219,14 @@ def training_records(
         return docs.sparkSession.createDataFrame([], RECORD)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = encoded.join(F.broadcast(bases), "part").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "tokens")
-    pieces = placed.mapInArrow(_chop(sequence_tokens), "sequence bigint, at int, doc_id bigint, ids binary")
+    placed = encoded.join(F.broadcast(bases), "part").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "tokens")
     sequences = -(-total // sequence_tokens)
-    slotted = pieces.withColumn("slot", permute(F.col("sequence"), max(1, sequences), key))
-    slotted = slotted.withColumn("shard", F.floor(F.col("slot") / shard_sequences).cast("int"))
-    shards = -(-sequences // shard_sequences)
-    dealt = _by_range(slotted, shards).sortWithinPartitions("slot", "at")
-    records = dealt.select("sequence", "slot", "doc_id", "ids").mapInArrow(
-        _join_pieces(sequence_tokens), "sequence bigint, slot bigint, n_tokens int, doc_ids array<bigint>, tokens binary"
-    )
+    touched = F.sequence(F.expr(f"start div {sequence_tokens}"), F.expr(f"(start + n_tokens - 1) div {sequence_tokens}"))
+    slots = F.transform(touched, lambda sequence: permute(sequence, max(1, sequences), key))
+    bundles = placed.select("doc_id", "start", "tokens", slots.alias("slots")).mapInArrow(_bundle(sequence_tokens, shard_sequences), BUNDLE)
+    dealt = _by_range(bundles, -(-sequences // shard_sequences)).sortWithinPartitions("shard")
     path = scratch_dir(docs.sparkSession, "training-shards")
-    _write_dealt(records.withColumn("shard", F.floor(F.col("slot") / shard_sequences).cast("int")), path)
+    _write_files(dealt.mapInArrow(_unbundle(sequence_tokens), "shard int, content binary"), path)
     return read_shards(docs.sparkSession, path, sequence_tokens, shard_sequences)
 
 
@@ -195,30 +237,22 @@ def _by_range(rows: DataFrame, shards: int) -> DataFrame:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The file of each shard, whose records arrive in slot order: their bytes, then the index and its size."""
-    now, held, index = None, [], []
-
-    def close() -> pa.RecordBatch:
-        about = json.dumps(index, separators=(",", ":")).encode()
-        content = b"".join([*held, about, b"%016x" % len(about)])
-        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([content], pa.binary())], ["shard", "content"])
-
+    """The file of each shard, whose records arrive in slot order."""
+    now, records = None, []
     for batch in batches:
         names = ("shard", "tokens", "sequence", "n_tokens", "doc_ids")
-        for shard, tokens, *about in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+        for shard, *record in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
             if now is not None and now != shard:
-                yield close()
-                held, index = [], []
+                yield _shard_file(now, records)
+                records = []
             now = shard
-            held.append(tokens)
-            index.append(about)
+            records.append(record)
     if now is not None:
-        yield close()
+        yield _shard_file(now, records)
 
 
-def _write_dealt(records: DataFrame, path: str) -> None:
-    files = records.select("shard", "tokens", "sequence", "n_tokens", "doc_ids").mapInArrow(_pack, "shard int, content binary")
-    with small_batches(records.sparkSession):
+def _write_files(files: DataFrame, path: str) -> None:
+    with small_batches(files.sparkSession):
         files.select("shard", F.col("content").cast("string").alias("value")).write.partitionBy("shard").text(path)
 
 
@@ -231,7 +265,9 @@ def write_shards(records: DataFrame, path: str) -> None:
     task has succeeded.
     """
     shards = (records.agg(F.max("shard")).first()[0] or 0) + 1
-    _write_dealt(_by_range(records, shards).sortWithinPartitions("slot"), path)
+    dealt = _by_range(records, shards).sortWithinPartitions("slot")
+    files = dealt.select("shard", "tokens", "sequence", "n_tokens", "doc_ids").mapInArrow(_pack, "shard int, content binary")
+    _write_files(files, path)
 
 
 def _unpack(stride: int, shard_sequences: int):

@@ -1,6 +1,8 @@
+import json
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from rollcall.llm import tokens as K
 
@@ -76,3 +78,35 @@ def test_shards_are_dealt_in_ranges(spark, monkeypatch):
         tasks = [task for _, task in sorted(map(tuple, dealt))]
         assert len(tasks) == 50 and tasks == sorted(tasks) and len(set(tasks)) == ranges
         assert max(Counter(tasks).values()) <= max(a_task, -(-50 // ranges))
+
+
+def test_pieces_of_a_shard_travel_in_compressed_bundles(monkeypatch):
+    monkeypatch.setattr(K, "HELD_BYTES", 6000)
+    monkeypatch.setattr(K, "BUNDLE_BYTES", 2500)
+    length, a_shard = 64, 4
+    stream = np.tile(np.arange(50, dtype="<u2"), 400)[:19_990]
+    cuts = [0, 0, 1, 63, 64, 65, 900, 12_000, stream.size]
+    docs = [(i if i % 3 else None, a, stream[a:b].tobytes()) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+    slot_of = lambda sequence: sequence * 5 % 313
+    slots = [[slot_of(k) for k in range(a // length, (a + len(ids) // 2 - 1) // length + 1)] for _, a, ids in docs]
+    rows = [pa.array(c, k) for c, k in zip([*zip(*docs, strict=True), slots], (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())), strict=True)]
+    whole = pa.RecordBatch.from_arrays(rows, ["doc_id", "start", "tokens", "slots"])
+    sent = list(K._bundle(length, a_shard)(iter([whole.slice(0, 3), whole.slice(3)])))
+    bundles = [b for batch in sent for b in batch.to_pylist()]
+    assert len(bundles) > len({b["shard"] for b in bundles})
+    assert sum(len(b["ids"]) for b in bundles) < 0.7 * stream.nbytes
+    assert all(sum(b["sizes"]) * 2 <= 2500 + length * 2 for b in bundles)
+    table = pa.Table.from_batches(sent).sort_by("shard").to_batches(max_chunksize=3)
+    files = [(f["shard"], f["content"]) for batch in K._unbundle(length)(iter(table)) for f in batch.to_pylist()]
+    assert len(files) == len({shard for shard, _ in files})
+    records = {}
+    for shard, content in files:
+        size = int(content[-16:], 16)
+        for k, (sequence, n_tokens, doc_ids) in enumerate(json.loads(content[-16 - size : -16])):
+            records[sequence] = (shard, n_tokens, doc_ids, content[k * length * 2 : (k + 1) * length * 2])
+    assert sorted(records) == list(range(313))
+    for sequence, (shard, n_tokens, doc_ids, ids) in records.items():
+        low, high = sequence * length, min((sequence + 1) * length, stream.size)
+        assert shard == slot_of(sequence) // a_shard and n_tokens == high - low
+        assert ids == stream[low:high].tobytes() + np.full(length - n_tokens, K.END_OF_TEXT, "<u2").tobytes()
+        assert doc_ids == [d for d, a, own in docs if a < high and a + len(own) // 2 > low]

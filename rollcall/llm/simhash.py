@@ -187,5 +187,7 @@ def first_of_each_group(docs: DataFrame) -> DataFrame:
     printed, root = free_name(docs, "_print"), free_name(docs, "_root")
     firsts = firsts.select(F.col("doc_id").alias("_id"), F.col("bits").alias("_bits"), F.col("root").alias(root)).distinct()
     together = together.withColumn(printed, fingerprint(text_or_empty()))
-    together = together.join(firsts, together["doc_id"].eqNullSafe(firsts["_id"]) & (together[printed] == firsts["_bits"]))
+    # With == Spark would filter on non-null prints first: of all rows, in Python, twice in a task.
+    met = together["doc_id"].eqNullSafe(firsts["_id"]) & together[printed].eqNullSafe(firsts["_bits"])
+    together = together.join(firsts, met)
     return alone.unionAll(together.dropDuplicates([root]).select(*[together[c] for c in docs.columns]))

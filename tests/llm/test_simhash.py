@@ -97,3 +97,10 @@ def test_rows_that_share_a_doc_id_or_have_none_are_judged_by_their_text(docs):
     assert kept([(5, same), (5, other), (5, same)]) == [(5, same), (5, other)]
     assert kept([(None, same), (None, other), (None, same), (7, other)]) == [(7, other), (None, same)]
     assert kept([(None, None), (1, ""), (1, None)]) in ([(1, "")], [(1, None)])
+
+
+def test_only_rows_not_told_apart_by_id_are_printed_again(docs):
+    """One Python step for shared ids and one for null ones, each above what picks its rows."""
+    kept = simhash.first_of_each_group(docs([(1, "a b c"), (1, "d e f"), (2, "g h i"), (None, "j k l")]))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2 and "isnotnull(pythonUDF" not in plan

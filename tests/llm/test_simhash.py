@@ -2,7 +2,7 @@ import random
 
 import xxhash
 
-from rollcall.llm import simhash
+from rollcall.llm import components, simhash
 from rollcall.llm.components import connected_components
 
 
@@ -104,3 +104,49 @@ def test_only_rows_not_told_apart_by_id_are_printed_again(docs):
     kept = simhash.first_of_each_group(docs([(1, "a b c"), (1, "d e f"), (2, "g h i"), (None, "j k l")]))
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 2 and "isnotnull(pythonUDF" not in plan
+
+
+def test_components_take_few_tasks_and_no_round_for_stars(spark):
+    """What the driver keeps grows with the tasks it starts, and a shuffle starts as many as it has partitions."""
+    context, partitions, before = spark.sparkContext, 20, {}
+    tracker = context.statusTracker()
+    for key, value in (("spark.sql.shuffle.partitions", partitions), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+        before[key] = spark.conf.get(key)
+        spark.conf.set(key, value)
+
+    def next_stage():
+        context.setJobGroup("probe", "probe")
+        context.parallelize([1], 1).count()
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return max(s for j in tracker.getJobIdsForGroup("probe") for s in tracker.getJobInfo(j).stageIds)
+
+    def shuffles(links):
+        frame = spark.createDataFrame(links, "a bigint, b bigint").coalesce(1)
+        first = next_stage()
+        found = {(r["node"], r["root"]) for r in connected_components(frame).collect()}
+        infos = [tracker.getStageInfo(s) for s in range(first + 1, next_stage())]
+        return found, sum(i.numCompletedTasks for i in infos if i) / partitions
+
+    try:
+        star, of_star = shuffles([(100, 100 + i) for i in range(1, 30)])
+        chain, of_chain = shuffles([(i, i + 1) for i in range(40)])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert star == {(100 + i, 100) for i in range(30)} and chain == {(i, 0) for i in range(41)}
+    print("shuffles", of_star, of_chain)
+    assert of_star < 6 and of_chain < 40
+
+
+def test_components_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(components, "BROADCAST_ROWS", 0)
+    rng = random.Random(3)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1, k) for k in range(40, 80)]
+    groups = {v: {v} for p in pairs for v in p}
+    for a, b in pairs:
+        joined = groups[a] | groups[b]
+        for v in joined:
+            groups[v] = joined
+    found = connected_components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
+    linked = {v for a, b in pairs if a != b for v in (a, b)}
+    assert sorted((r["node"], r["root"]) for r in found) == sorted((v, min(groups[v])) for v in linked)
